@@ -48,7 +48,7 @@ SALES_PAGE_LENGTH = 10
 SEARCH_TOKEN = "the"
 SEARCH_LANG = "en"
 NESTED_ROLE = "assistant"
-NESTED_TOKEN = "merci"
+NESTED_TOKEN = "que"
 HIGHLIGHT_TOKEN = "the"
 STREAM_BATCHES = 6                       # arrival files for the stream queries
 STREAM_DELAY = "2 days"

@@ -28,3 +28,45 @@ dau AS (
     SELECT *, row_number() OVER (PARTITION BY dt, mid ORDER BY ts, "partition", "offset") AS rn
     FROM logs WHERE kind = 'start') WHERE rn = 1
 )"""
+
+# Orders as the change feed carries them, typed back.
+ORDERS_CTE = """
+li AS (
+  SELECT l_orderkey,
+         sum(CAST(l_extendedprice AS DECIMAL(16,2))) AS orig,
+         round(sum(CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_discount AS DECIMAL(4,2))), 2) AS benefit
+  FROM lineitem GROUP BY l_orderkey
+),
+ord AS (
+  SELECT o.o_orderkey AS id, o.o_custkey AS user_id, CAST(c.c_nationkey AS BIGINT) AS province_id,
+         o.o_orderstatus AS order_status,
+         CAST(CAST(o.o_totalprice AS DECIMAL(16,2)) AS DOUBLE) AS final_total_amount,
+         CAST(li.benefit AS DOUBLE) AS benefit_reduce_amount,
+         CAST(li.orig AS DOUBLE) AS original_total_amount,
+         CAST(0 AS DOUBLE) AS feight_fee,
+         strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400), '%Y-%m-%d %H:%M:%S') AS create_time
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+                LEFT JOIN li ON li.l_orderkey = o.o_orderkey
+)"""
+
+BATCH_FROM = params.ORDER_STATE_CUTOFF.isoformat()
+BATCH_TO = params.ORDER_BATCH_END.isoformat()
+
+FLAGS_CTE = ORDERS_CTE + f""",
+st AS (SELECT DISTINCT user_id FROM ord WHERE create_time < '{BATCH_FROM}'),
+b AS (SELECT * FROM ord WHERE create_time >= '{BATCH_FROM}' AND create_time < '{BATCH_TO}'),
+flags AS (
+  SELECT b.*, CASE WHEN row_number() OVER (PARTITION BY b.user_id ORDER BY b.create_time, b.id) = 1
+                    AND b.user_id NOT IN (SELECT user_id FROM st) THEN '1' ELSE '0' END AS if_first_order
+  FROM b
+)"""
+
+USER_DIM_SQL = f"""
+SELECT c_custkey AS user_id,
+       CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS user_gender,
+       CAST(15 + c_custkey % 50 AS BIGINT) AS user_age,
+       CASE WHEN 15 + c_custkey % 50 < 20 THEN '{params.AGE_BAND_UNDER_20}'
+            WHEN 15 + c_custkey % 50 <= 30 THEN '{params.AGE_BAND_20_30}'
+            ELSE '{params.AGE_BAND_OVER_30}' END AS user_age_group,
+       c_mktsegment AS user_level
+FROM customer"""

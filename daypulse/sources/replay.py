@@ -87,7 +87,8 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
           .select("l_orderkey", "l_extendedprice", "l_discount")
           .groupBy("l_orderkey")
           .agg(F.sum(F.col("l_extendedprice").cast("decimal(16,2)")).alias("orig"),
-               F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(16,2)")).alias("benefit")))
+               F.round(F.sum(F.col("l_extendedprice").cast("decimal(16,2)")
+                             * F.col("l_discount").cast("decimal(4,2)")), 2).alias("benefit")))
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .join(li, o.o_orderkey == li.l_orderkey, "left"))
     create_ts = F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("int"))
