@@ -50,5 +50,11 @@ SEARCH_LANG = "en"
 NESTED_ROLE = "assistant"
 NESTED_TOKEN = "que"
 HIGHLIGHT_TOKEN = "the"
-STREAM_BATCHES = 6                       # arrival files for the stream queries
 STREAM_DELAY = "2 days"
+LOG_WINDOW_MS = 5 * 86_400_000          # arrival window of the log replay
+ORDER_WINDOW_MS = 365 * 86_400_000      # arrival window of the order replay
+STALL_PARTITION = 3                      # collector partition that stalled ...
+STALL_FROM = _dt.date(2024, 1, 10)       # ... for these event days ...
+STALL_TO = _dt.date(2024, 1, 11)
+STALL_DELAY_MS = 3 * 86_400_000          # ... and delivered this much later
+STREAM_DELAY_MS = 2 * 86_400_000         # same as STREAM_DELAY

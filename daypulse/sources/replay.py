@@ -127,10 +127,16 @@ def cdc_records(spark: SparkSession, sf_dir: str, *, rows_per_message: int = par
     a real feed has them."""
     rows = order_rows(spark, sf_dir)
     n = rows_per_message
-    packed = (rows.withColumn("msg", (F.col("id").cast("long") / F.lit(n)).cast("long"))
-              .groupBy("msg")
-              .agg(F.collect_list(_row_map(rows)).alias("data"),
-                   F.min(F.col("create_time")).alias("first_time")))
+    if n == 1:
+        # one message per row, sent at its create time (time-ordered feed)
+        packed = rows.select(F.col("id").cast("long").alias("msg"),
+                             F.array(_row_map(rows)).alias("data"),
+                             F.col("create_time").alias("first_time"))
+    else:
+        packed = (rows.withColumn("msg", (F.col("id").cast("long") / F.lit(n)).cast("long"))
+                  .groupBy("msg")
+                  .agg(F.collect_list(_row_map(rows)).alias("data"),
+                       F.min(F.col("create_time")).alias("first_time")))
     body = F.to_json(F.struct(
         F.lit("order_info").alias("table"),
         F.lit("INSERT").alias("type"),
@@ -150,5 +156,5 @@ def cdc_records(spark: SparkSession, sf_dir: str, *, rows_per_message: int = par
          ("empty", '{"table":"order_info","type":"INSERT","isDdl":false,"es":-1,"data":[]}',
           params.CDC_TOPIC, 0, -1)],
         "key string, value string, topic string, partition int, offset bigint",
-    ).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    ).withColumn("timestamp", F.timestamp_millis(F.lit(0)))
     return msgs.unionByName(extra)
