@@ -71,9 +71,10 @@ def stream_first_order(spark, sf_dir):
     """First-order flag from keyed state across micro-batches (orders replayed
     in create-time order, one window per year)."""
     table, ckpt = work_path(spark, "order_flags"), work_path(spark, "ckpt_first")
+    state = work_path(spark, "user_state")
     recs = cdc_records(spark, sf_dir, rows_per_message=1)
     replay_windows(spark, recs, params.ORDER_WINDOW_MS,
-                   lambda landing: start_first_order(spark, landing, table, ckpt))
+                   lambda landing: start_first_order(spark, landing, table, ckpt, state))
     return spark.read.parquet(table).select("id", "user_id", "if_first_order")
 
 

@@ -38,17 +38,19 @@ def day_start(ts_ms_col: str = "ts"):
     return F.timestamp_millis(F.floor(F.col(ts_ms_col) / F.lit(MS_PER_DAY)) * F.lit(MS_PER_DAY))
 
 
+def state_dedup_sink(table: str):
+    def sink(df: DataFrame, batch_id: int) -> None:
+        _write_batch(df.select(*DAU_COLUMNS).withColumn("batch_id", F.lit(batch_id)), table)
+    return sink
+
+
 def start_state_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str,
                       delay: str) -> StreamingQuery:
     start = start_logs(parse_logs(stream_records(spark, landing)))
     deduped = (start.withColumn("day_ts", day_start())
                .withWatermark("day_ts", delay)
                .dropDuplicates(["day_ts", "mid"]))
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        _write_batch(df.select(*DAU_COLUMNS).withColumn("batch_id", F.lit(batch_id)), table)
-
-    return (deduped.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (deduped.writeStream.foreachBatch(state_dedup_sink(table)).option("checkpointLocation", checkpoint)
             .queryName("dau_state_dedup").trigger(availableNow=True).start())
 
 
@@ -59,9 +61,9 @@ def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
-    start = start_logs(parse_logs(stream_records(spark, landing)))
-
+def table_dedup_sink(spark: SparkSession, table: str):
+    """foreachBatch body: first row per (dt, mid) of the batch, minus keys the
+    table already holds from earlier batches, written as (dt, batch_id)."""
     def sink(df: DataFrame, batch_id: int) -> None:
         firsts = daily_active(df)
         seen = _table_or_none(spark, table)
@@ -71,8 +73,12 @@ def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint:
                      .join(days, "dt", "left_semi").select("dt", "mid"))
             firsts = firsts.join(prior, ["dt", "mid"], "left_anti")
         _write_batch(firsts.withColumn("batch_id", F.lit(batch_id)), table)
+    return sink
 
-    return (start.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+
+def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
+    start = start_logs(parse_logs(stream_records(spark, landing)))
+    return (start.writeStream.foreachBatch(table_dedup_sink(spark, table)).option("checkpointLocation", checkpoint)
             .queryName("dau_table_dedup").trigger(availableNow=True).start())
 
 
