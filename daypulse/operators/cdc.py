@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from daypulse import params
 from daypulse.functions.time import time_string_parts
 from daypulse.operators.dedup import last_per_key
+from daypulse.operators.logs import parsed_once
 from daypulse.schemas import CDC_ENVELOPE, MONEY
 
 _OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 def parse_envelopes(records: DataFrame) -> DataFrame:
-    env = F.from_json(F.col("value"), CDC_ENVELOPE, _OPTS)
-    return records.select("partition", "offset", env.alias("e")).select(
+    env = parsed_once(F.from_json(F.col("value"), CDC_ENVELOPE, _OPTS), "e")
+    return records.select("partition", "offset", env).select(
         "partition", "offset",
         F.col("e.table").alias("table"), F.col("e.type").alias("type"),
         F.col("e.isDdl").alias("isDdl"), F.col("e.data").alias("data"),

@@ -40,3 +40,14 @@ def daily_active(start: DataFrame) -> DataFrame:
     first = first_per_key(start, ["dt", "mid"], ["ts", "partition", "offset"],
                           ["uid", "ar", "ch", "vc", "hr"])
     return first.select(*DAU_COLUMNS)
+
+
+def daily_active_keys(start: DataFrame, offset_ms: int = 0) -> DataFrame:
+    """``dt, mid, hr, ts`` of the first start log per (dt, mid), for figures
+    that need no other attribute of the row. The hour is a function of the
+    first ``ts`` (equal times give equal hours), so ``min(ts)`` -- a
+    fixed-width hash aggregate with map-side combine -- replaces the
+    sort-based ``min(struct)`` that string attributes require."""
+    from daypulse.functions.time import epoch_ms_to_hour
+    first = start.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
+    return first.select("dt", "mid", epoch_ms_to_hour(F.col("ts"), offset_ms).alias("hr"), "ts")

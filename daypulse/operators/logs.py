@@ -3,7 +3,7 @@ nested access (P3, P4) and day/hour keys (P5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daypulse import params
@@ -13,6 +13,15 @@ from daypulse.schemas import APP_LOG
 _PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
+def parsed_once(parsed: Column, name: str) -> Column:
+    """Evaluate a parse once per row. Filters on parsed fields are pushed
+    below the projection by Catalyst, which substitutes the alias and would
+    run the parse once per referenced field (six times for the log filter).
+    A one-element generator is a boundary filters cannot cross, so the parse
+    runs exactly once and downstream filters read its output."""
+    return F.inline(F.array(F.struct(parsed.alias(name))))
+
+
 def parse_logs(records: DataFrame, offset_ms: int = 0) -> DataFrame:
     """Kafka-shaped log records -> one row per record with the parsed fields,
     a quarantine ``reason`` (null for good rows) and the content ``kind``.
@@ -20,8 +29,8 @@ def parse_logs(records: DataFrame, offset_ms: int = 0) -> DataFrame:
     Bad JSON does not fail the batch (it did in the reference): it gets
     ``reason='malformed_json'``; a line without ``common.mid`` gets
     ``'missing_mid'``; without ``ts``, ``'missing_ts'``."""
-    j = F.from_json(F.col("value"), APP_LOG, _PARSE_OPTS)
-    p = records.select("partition", "offset", "value", j.alias("j"))
+    p = records.select("partition", "offset", "value",
+                       parsed_once(F.from_json(F.col("value"), APP_LOG, _PARSE_OPTS), "j"))
     reason = (F.when(F.col("j").isNull() | F.col("j._corrupt_record").isNotNull(), F.lit("malformed_json"))
               .when(F.col("j.common.mid").isNull(), F.lit("missing_mid"))
               .when(F.col("j.ts").isNull(), F.lit("missing_ts")))

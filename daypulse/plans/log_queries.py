@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daypulse import params
 from daypulse.operators import dashboard as dash
 from daypulse.operators import logs as L
-from daypulse.operators.dedup import daily_active
+from daypulse.operators.dedup import daily_active, daily_active_keys
 from daypulse.plans.oracle_common import DAU_CTE, LOG_DAY, LOGS_CTE
 from daypulse.plans.registry import query
 from daypulse.sinks.files import archive_raw
@@ -22,9 +22,15 @@ def parsed_logs(spark, sf_dir, corrupt=False):
 
 
 def dau_table(spark, sf_dir):
+    """Full active-device rows (what the stream writes to the daily table)."""
     return daily_active(L.start_logs(parsed_logs(spark, sf_dir)))
 
 
+def dau_keys(spark, sf_dir):
+    """``dt, mid, hr`` of the active devices, enough for every dashboard figure."""
+    return daily_active_keys(L.start_logs(parsed_logs(spark, sf_dir)))
+
+
 @query("log_source_replay", """
 WITH {logs}
 SELECT CAST(e.user_id AS VARCHAR) AS key,
@@ -93,7 +99,7 @@ WITH {DAU_CTE}
 SELECT DATE '{LOG_DAY}' AS dt, count(*) AS value FROM dau WHERE dt = DATE '{LOG_DAY}'
 """)
 def dau_total(spark, sf_dir):
-    return dash.dau_total(dau_table(spark, sf_dir), D)
+    return dash.dau_total(dau_keys(spark, sf_dir), D)
 
 
 @query("dau_hour", f"""
@@ -101,7 +107,7 @@ WITH {DAU_CTE}
 SELECT hr, count(*) AS n FROM dau WHERE dt = DATE '{LOG_DAY}' GROUP BY hr
 """)
 def dau_hour(spark, sf_dir):
-    return dash.dau_hour(dau_table(spark, sf_dir), D)
+    return dash.dau_hour(dau_keys(spark, sf_dir), D)
 
 
 DAU_HOUR_COMPARE_SQL = f"""
@@ -119,7 +125,7 @@ FROM grid g LEFT JOIN c USING (hr)
 @query("dau_hour_compare", DAU_HOUR_COMPARE_SQL)
 def dau_hour_compare(spark, sf_dir):
     """Yesterday and today per hour, 24 rows, zero filled (flagship)."""
-    return dash.dau_hour_compare(spark, dau_table(spark, sf_dir), D)
+    return dash.dau_hour_compare(spark, dau_keys(spark, sf_dir), D)
 
 
 @query("hour_map_json", f"""
@@ -135,7 +141,7 @@ FROM c
 """)
 def hour_map_json(spark, sf_dir):
     """The two-day hourly reply as JSON text."""
-    return dash.hour_map_json(dau_table(spark, sf_dir), D)
+    return dash.hour_map_json(dau_keys(spark, sf_dir), D)
 
 
 @query("start_count", f"""
@@ -171,7 +177,7 @@ SELECT dt, hr, n, CAST(sum(n) OVER (PARTITION BY dt ORDER BY hr
 FROM h
 """)
 def dau_cumulative(spark, sf_dir):
-    return dash.dau_cumulative(dau_table(spark, sf_dir))
+    return dash.dau_cumulative(dau_keys(spark, sf_dir))
 
 
 @query("kpi_total", f"""
@@ -184,7 +190,7 @@ FROM (SELECT mid, min(dt) AS f FROM logs GROUP BY mid) WHERE f = DATE '{LOG_DAY}
 """)
 def kpi_total(spark, sf_dir):
     logs = parsed_logs(spark, sf_dir)
-    return dash.kpi_total(daily_active(L.start_logs(logs)), L.good_logs(logs), D)
+    return dash.kpi_total(daily_active_keys(L.start_logs(logs)), L.good_logs(logs), D)
 
 
 @query("kpi_dod_rate", f"""
@@ -195,4 +201,4 @@ SELECT t.dt, t.n AS today, y.n AS yesterday,
 FROM d t LEFT JOIN d y ON y.dt = t.dt - INTERVAL 1 DAY
 """)
 def kpi_dod_rate(spark, sf_dir):
-    return dash.kpi_dod_rate(dau_table(spark, sf_dir))
+    return dash.kpi_dod_rate(dau_keys(spark, sf_dir))
