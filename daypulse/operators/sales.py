@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.functions.joins import bounded_broadcast
+from daypulse.functions.money import cents, cents_to_double
 from daypulse.functions.text import keyword_filter
 from daypulse.operators.orders import PROVINCE_MAX_ROWS, province_dim, user_dim
 from daypulse.operators.orders import age_group as age_band
@@ -108,15 +109,15 @@ def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
     """Orders and money per province with every province present (zeros kept).
     Orders are aggregated per nation key first; the dimension join then sees
     one row per province."""
-    o = orders.select("o_custkey", F.col("o_totalprice").cast("decimal(16,2)").alias("amt"))
+    o = orders.select("o_custkey", cents(F.col("o_totalprice")).alias("amt_c"))
     c = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("province_id"))
     per = (o.join(c, "o_custkey", "inner").groupBy("province_id")
-           .agg(F.count(F.lit(1)).alias("value"), F.sum("amt").alias("amount")))
+           .agg(F.count(F.lit(1)).alias("value"), F.sum("amt_c").alias("amount_c")))
     prov = bounded_broadcast(province_dim(nation), PROVINCE_MAX_ROWS)
     j = prov.join(per, "province_id", "left")
     value = F.coalesce("value", F.lit(0)).cast("bigint")
     return j.select(
         F.col("province_name").alias("name"),
         value.alias("value"),
-        F.coalesce(F.col("amount"), F.lit(0)).cast("double").alias("amount"),
+        cents_to_double(F.coalesce(F.col("amount_c"), F.lit(0))).alias("amount"),
         F.least(F.floor(value / F.lit(params.PROVINCE_BIN_WIDTH)), F.lit(params.PROVINCE_BIN_MAX)).cast("bigint").alias("bin"))

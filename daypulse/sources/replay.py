@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse import params
+from daypulse.functions.money import cents, cents_to_money, hundredths, round_half_up_to_cents
 from daypulse.functions.time import ntz_to_epoch_ms
 from daypulse.sources.tables import read_table
 
@@ -84,11 +85,10 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     li = (read_table(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_extendedprice", "l_discount")
+          .select("l_orderkey", cents(F.col("l_extendedprice")).alias("pc"),
+                  hundredths(F.col("l_discount")).alias("dh"))
           .groupBy("l_orderkey")
-          .agg(F.sum(F.col("l_extendedprice").cast("decimal(16,2)")).alias("orig"),
-               F.round(F.sum(F.col("l_extendedprice").cast("decimal(16,2)")
-                             * F.col("l_discount").cast("decimal(4,2)")), 2).alias("benefit")))
+          .agg(F.sum("pc").alias("orig_c"), F.sum(F.col("pc") * F.col("dh")).alias("benefit_u")))
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .join(li, o.o_orderkey == li.l_orderkey, "left"))
     create_ts = F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("int"))
@@ -98,8 +98,8 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").cast("decimal(16,2)").cast("string").alias("final_total_amount"),
-        F.col("benefit").cast("decimal(16,2)").cast("string").alias("benefit_reduce_amount"),
-        F.col("orig").cast("decimal(16,2)").cast("string").alias("original_total_amount"),
+        cents_to_money(round_half_up_to_cents(F.col("benefit_u"))).cast("string").alias("benefit_reduce_amount"),
+        cents_to_money(F.col("orig_c")).cast("string").alias("original_total_amount"),
         F.lit("0.00").alias("feight_fee"),
         F.lit(None).cast("string").alias("expire_time"),
         F.date_format(create_ts, "yyyy-MM-dd HH:mm:ss").alias("create_time"),
