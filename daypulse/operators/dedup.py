@@ -8,6 +8,7 @@ collapses to one row per task before it moves."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,21 @@ def daily_active_keys(start: DataFrame, offset_ms: int = 0) -> DataFrame:
     from daypulse.functions.time import epoch_ms_to_hour
     first = start.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
     return first.select("dt", "mid", epoch_ms_to_hour(F.col("ts"), offset_ms).alias("hr"), "ts")
+
+
+_ID_SPAN = Decimal(10 ** 19)   # every non-negative BIGINT id is below this
+
+
+def first_id_per_key(df: DataFrame, keys: Sequence[str], time_s: str, id_col: str) -> DataFrame:
+    """Per key, the id of the earliest row by (time, id), as ``first_id``.
+
+    (time seconds, id) is packed into one DECIMAL(38,0) -- time * 10^19 + id
+    -- so ``min`` runs as a fixed-width hash aggregate with map-side combine
+    (a struct or string ordering would need the sort-based aggregate).
+    Requires non-negative ids and times; rows with a null time are not
+    candidates."""
+    packed = (F.col(time_s).cast("decimal(38,0)") * F.lit(_ID_SPAN).cast("decimal(38,0)")
+              + F.col(id_col).cast("decimal(38,0)"))
+    m = df.groupBy(*keys).agg(F.min(packed).alias("_k"))
+    first = F.pmod(F.col("_k"), F.lit(_ID_SPAN).cast("decimal(38,0)")).cast("long")
+    return m.select(*keys, first.alias("first_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.functions.joins import bounded_broadcast
-from daypulse.operators.dedup import first_per_key
+from daypulse.operators.dedup import first_id_per_key
 
 # A province dimension never holds more rows than this; beyond it the
 # broadcast hint is dropped and AQE decides.
@@ -31,15 +31,22 @@ def first_order_flags(batch: DataFrame, state: DataFrame) -> DataFrame:
     goes back onto the batch by the unique order id. No join on ``user_id``
     touches the raw batch rows, so a user with a third of all orders never
     lands whole in one task."""
-    firsts = first_per_key(batch, ["user_id"], ["create_time", "id"], [])
+    firsts = first_orders(batch)
     consumed = state.where(F.col("if_consumed") == "1").select("user_id")
     new_firsts = firsts.join(consumed, "user_id", "left_anti").select(
-        "id", F.lit("1").alias("_flag"))
+        F.col("first_id").alias("id"), F.lit("1").alias("_flag"))
     return (batch.join(new_firsts, "id", "left")
             .withColumn("if_first_order", F.coalesce("_flag", F.lit("0")))
             .drop("_flag"))
 
 
+def first_orders(orders: DataFrame) -> DataFrame:
+    """``user_id, first_id``: the earliest order of each user by (create
+    time, id), via a hash aggregate on a packed key."""
+    secs = F.unix_timestamp(F.col("create_time"), "yyyy-MM-dd HH:mm:ss")
+    return first_id_per_key(orders.withColumn("_ct", secs), ["user_id"], "_ct", "id")
+
+
 def province_dim(nation: DataFrame) -> DataFrame:
     return nation.select(
         F.col("n_nationkey").cast("bigint").alias("province_id"),

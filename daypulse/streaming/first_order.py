@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from daypulse.operators import cdc
-from daypulse.operators.dedup import first_per_key
+from daypulse.operators.orders import first_orders
 from daypulse.sources.files import stream_records
 
 OUT = T.StructType([
@@ -99,13 +99,13 @@ def _state_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 def flag_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_path: str) -> DataFrame:
     """Flags for one batch against the state as of the previous batch.
     Returns the flagged orders; the new users are appended to the state."""
-    firsts = first_per_key(orders, ["user_id"], ["create_time", "id"], [])
+    firsts = first_orders(orders)
     state = _state_or_none(spark, state_path)
     if state is not None:
         prior = state.where(F.col("batch_id") < batch_id).select("user_id")
         firsts = firsts.join(prior, "user_id", "left_anti")
     # cut the lineage that reads the state path before that path is written
-    new_users = firsts.select("user_id", F.col("id").alias("first_id")).checkpoint(eager=True)
+    new_users = firsts.select("user_id", "first_id").checkpoint(eager=True)
     flagged = (orders.join(new_users.select(F.col("first_id").alias("id"), F.lit("1").alias("_f")), "id", "left")
                .withColumn("if_first_order", F.coalesce("_f", F.lit("0"))).drop("_f"))
     (new_users.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
