@@ -23,6 +23,8 @@ def build_session(app: str = "daypulse", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # commit only the changelog per batch; snapshots are made in the background
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

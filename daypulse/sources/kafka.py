@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 def read_records(spark: SparkSession, bootstrap: str, topic: str, *, streaming: bool = True,
                  starting_offsets: dict | str = "latest", group_id: str | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+                 min_partitions: int | None = None, max_offsets: int | None = None) -> DataFrame:
     """Topic -> ``key, value, topic, partition, offset, timestamp`` with string
     key and value. ``starting_offsets`` is "latest", "earliest" or the
     per-partition map of a manual rewind, e.g. ``{"t": {"0": 42}}``; a
@@ -26,6 +26,8 @@ def read_records(spark: SparkSession, bootstrap: str, topic: str, *, streaming:
         r = r.option("kafka.group.id", group_id)
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
+    if max_offsets and streaming:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets))
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"),
                            "topic", "partition", "offset", "timestamp")
 

@@ -116,3 +116,19 @@ def test_resume_processes_only_new_files(spark, scratch):
     p = run_until_done(S.start_state_dedup(spark, landing, table, ckpt, "2 days"), 120)
     assert sum(x["numInputRows"] for x in p) == 1
     assert spark.read.parquet(table).where(F.col("mid") == "b").count() == 1
+
+
+def test_dau_job_runs_with_processing_time_trigger_and_audits(spark, scratch):
+    from daypulse.streaming.jobs import dau_job, source
+    landing = scratch + "/l"
+    land(spark, landing, 0, [day1("a"), day1("b"), day2("a")])
+    q = dau_job(spark, source(spark, landing=landing), scratch + "/t", scratch + "/audit",
+                scratch + "/c", interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    keys = sorted((r.mid, str(r.dt)) for r in spark.read.parquet(scratch + "/t").collect())
+    assert keys == [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01")]
+    audit = spark.read.parquet(scratch + "/audit").collect()
+    assert sum(r.n for r in audit) == 3 and all(r.until_offset > r.from_offset for r in audit)
