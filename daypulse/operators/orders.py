@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from daypulse import params
 from daypulse.functions.joins import bounded_broadcast
 from daypulse.operators.dedup import first_id_per_key
+from daypulse.sources.lookup import for_keys
 
 # A province dimension never holds more rows than this; beyond it the
 # broadcast hint is dropped and AQE decides.
@@ -32,7 +33,7 @@ def first_order_flags(batch: DataFrame, state: DataFrame) -> DataFrame:
     touches the raw batch rows, so a user with a third of all orders never
     lands whole in one task."""
     firsts = first_orders(batch)
-    consumed = state.where(F.col("if_consumed") == "1").select("user_id")
+    consumed = for_keys(state.where(F.col("if_consumed") == "1"), firsts, ["user_id"]).select("user_id")
     new_firsts = firsts.join(consumed, "user_id", "left_anti").select(
         F.col("first_id").alias("id"), F.lit("1").alias("_flag"))
     return (batch.join(new_firsts, "id", "left")

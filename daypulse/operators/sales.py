@@ -67,11 +67,20 @@ def keyset_page(detail_with_key: DataFrame, after: tuple | None, length: int) ->
     keys = [f"_k_{k}" for k in DETAIL_KEY]
     df = detail_with_key
     if after is not None:
-        cond = F.struct(*[F.col(k) for k in keys]) > F.struct(*[F.lit(v) for v in after])
-        df = df.where(cond)
+        df = df.where(after_key(df, keys, after))
     return df.orderBy(*keys).limit(length)
 
 
+def after_key(df: DataFrame, keys: list[str], values: tuple) -> F.Column:
+    """Lexicographic ``(k1, k2, ...) > (v1, v2, ...)`` as an OR-chain, with a
+    leading ``k1 >= v1`` that the scan can use for pushdown."""
+    lits = [F.lit(v).cast(df.schema[k].dataType) for k, v in zip(keys, values)]
+    cond = F.col(keys[-1]) > lits[-1]
+    for k, v in zip(reversed(keys[:-1]), reversed(lits[:-1])):
+        cond = (F.col(k) > v) | ((F.col(k) == v) & cond)
+    return (F.col(keys[0]) >= lits[0]) & cond
+
+
 def total(detail: DataFrame) -> DataFrame:
     return detail.agg(F.count(F.lit(1)).alias("total"))
 
@@ -107,12 +116,17 @@ def stat_sets(detail: DataFrame) -> DataFrame:
 
 def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Orders and money per province with every province present (zeros kept).
-    Orders are aggregated per nation key first; the dimension join then sees
-    one row per province."""
-    o = orders.select("o_custkey", cents(F.col("o_totalprice")).alias("amt_c"))
+
+    Orders are first combined per customer (map-side), so the customer join
+    sees one row per customer on both sides -- a customer with a third of all
+    orders costs no single task -- then per province, and the dimension join
+    sees one row per province."""
+    per_cust = (orders.select("o_custkey", cents(F.col("o_totalprice")).alias("amt_c"))
+                .groupBy("o_custkey")
+                .agg(F.count(F.lit(1)).alias("value"), F.sum("amt_c").alias("amount_c")))
     c = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("province_id"))
-    per = (o.join(c, "o_custkey", "inner").groupBy("province_id")
-           .agg(F.count(F.lit(1)).alias("value"), F.sum("amt_c").alias("amount_c")))
+    per = (per_cust.join(c, "o_custkey", "inner").groupBy("province_id")
+           .agg(F.sum("value").alias("value"), F.sum("amount_c").alias("amount_c")))
     prov = bounded_broadcast(province_dim(nation), PROVINCE_MAX_ROWS)
     j = prov.join(per, "province_id", "left")
     value = F.coalesce("value", F.lit(0)).cast("bigint")

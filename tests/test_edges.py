@@ -135,3 +135,33 @@ def test_bounded_broadcast_respects_bound(spark):
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower() or \
         "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString()
     assert j2.count() == 100
+
+
+def test_keyset_page_continues_offset_page(spark):
+    from daypulse.operators import sales as S
+    from daypulse.sources.tables import read_table
+    from tests.conftest import SF_SMALL
+    t = {n: read_table(spark, SF_SMALL, n) for n in ("lineitem", "orders", "customer", "part")}
+    d = S.wide_detail(t["lineitem"], t["orders"], t["customer"], t["part"], keep_key=True)
+    keys = [f"_k_{k}" for k in S.DETAIL_KEY]
+    first = S.keyset_page(d, None, 15).collect()
+    nxt = S.keyset_page(d, tuple(first[-1][k] for k in keys), 10).select(*S.WIDE_COLUMNS).collect()
+    assert [tuple(r) for r in nxt] == [tuple(r) for r in S.page(d, 15, 10).collect()]
+
+
+def test_lookup_pruned_to_batch_keys(spark, scratch):
+    from daypulse.sources.lookup import for_keys, read_lookup
+    spark.createDataFrame([(1, "1"), (2, "1"), (3, "0")], "user_id long, if_consumed string") \
+        .write.parquet(scratch + "/state")
+    st = read_lookup(spark, path=scratch + "/state")
+    got = sorted(r.user_id for r in for_keys(st, spark.createDataFrame([(2,), (3,), (3,), (9,)], "user_id long"),
+                                             ["user_id"]).collect())
+    assert got == [2, 3]
+
+
+def test_dau_total_from_logs_exact_and_approx(spark):
+    from daypulse.operators.dashboard import dau_total_from_logs
+    vals = [log(m, MIDNIGHT + i, '"start":{"x":1},') for i, m in enumerate("abcabcd")]
+    start = start_logs(parse_logs(records(spark, vals)))
+    assert dau_total_from_logs(start, dt.date(2024, 1, 2)).first().value == 4
+    assert dau_total_from_logs(start, dt.date(2024, 1, 2), approx=True).first().value == 4

@@ -58,3 +58,11 @@ def test_dashboard_figures_use_hash_aggregates(spark):
         p = plan(Q[name](spark, SF_SMALL))
         assert "SortAggregate" not in p, name
         assert "HashAggregate" in p, name
+
+
+def test_first_row_aggregates_combine_before_the_shuffle(spark):
+    """Hot keys collapse map-side: a partial aggregate sits below every
+    exchange that feeds the first-row / last-writer aggregates."""
+    for name in ("dau_info", "order_first_flag", "province_sales", "new_devices"):
+        p = plan(Q[name](spark, SF_SMALL))
+        assert "partial_" in p or "PartialMerge" in p, name
