@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from daypulse.streaming.conf import stream_start_conf
 from pyspark.sql.streaming import StreamingQuery
 
 from daypulse.functions.time import MS_PER_DAY
@@ -50,8 +51,9 @@ def start_state_dedup(spark: SparkSession, landing: str, table: str, checkpoint:
     deduped = (start.withColumn("day_ts", day_start())
                .withWatermark("day_ts", delay)
                .dropDuplicates(["day_ts", "mid"]))
-    return (deduped.writeStream.foreachBatch(state_dedup_sink(table)).option("checkpointLocation", checkpoint)
-            .queryName("dau_state_dedup").trigger(availableNow=True).start())
+    with stream_start_conf(spark):
+        return (deduped.writeStream.foreachBatch(state_dedup_sink(table)).option("checkpointLocation", checkpoint)
+                .queryName("dau_state_dedup").trigger(availableNow=True).start())
 
 
 def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -78,8 +80,9 @@ def table_dedup_sink(spark: SparkSession, table: str):
 
 def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
     start = start_logs(parse_logs(stream_records(spark, landing)))
-    return (start.writeStream.foreachBatch(table_dedup_sink(spark, table)).option("checkpointLocation", checkpoint)
-            .queryName("dau_table_dedup").trigger(availableNow=True).start())
+    with stream_start_conf(spark):
+        return (start.writeStream.foreachBatch(table_dedup_sink(spark, table)).option("checkpointLocation", checkpoint)
+                .queryName("dau_table_dedup").trigger(availableNow=True).start())
 
 
 def stream_keys(spark: SparkSession, table: str) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from daypulse.streaming.conf import stream_start_conf
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from daypulse.operators import cdc
@@ -122,8 +123,9 @@ def start_first_order(spark: SparkSession, landing: str, table: str, checkpoint:
         (flagged.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
 
-    return (orders.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .queryName("first_order").trigger(availableNow=True).start())
+    with stream_start_conf(spark):
+        return (orders.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+                .queryName("first_order").trigger(availableNow=True).start())
 
 
 def start_first_order_pandas(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
@@ -138,5 +140,6 @@ def start_first_order_pandas(spark: SparkSession, landing: str, table: str, chec
         (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
 
-    return (flagged.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .queryName("first_order_pandas").trigger(availableNow=True).start())
+    with stream_start_conf(spark):
+        return (flagged.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+                .queryName("first_order_pandas").trigger(availableNow=True).start())

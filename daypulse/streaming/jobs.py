@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from daypulse.streaming.conf import stream_start_conf
 from pyspark.sql.streaming import StreamingQuery
 
 from daypulse.operators.cdc import offset_ranges
@@ -51,8 +52,9 @@ def dau_job(spark: SparkSession, records: DataFrame, table: str, audit: str, che
         finally:
             df.unpersist()
 
-    return (records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-            .queryName("dau_job").trigger(processingTime=interval).start())
+    with stream_start_conf(spark):
+        return (records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+                .queryName("dau_job").trigger(processingTime=interval).start())
 
 
 def console_preview(df: DataFrame, rows: int = 1000, interval: str = "5 seconds") -> StreamingQuery:
