@@ -9,6 +9,7 @@ from daypulse.operators import orders as O
 from daypulse.plans.cdc_queries import typed_orders
 from daypulse.plans.oracle_common import FLAGS_CTE, USER_DIM_SQL
 from daypulse.plans.registry import query
+from daypulse.session import checkpoint_root
 from daypulse.sources.tables import read_table
 
 FROM = params.ORDER_STATE_CUTOFF.isoformat()
@@ -18,7 +19,11 @@ TO = params.ORDER_BATCH_END.isoformat()
 def flagged_batch(spark, sf_dir):
     """Known users = anyone with an order before the cutoff (the state table);
     the batch = orders from the cutoff to the batch end."""
-    o = typed_orders(spark, sf_dir)
+    # typed orders feed three branches (batch, first orders, state): checkpoint
+    # them once into the shared folder -- the ODS table between the change-feed
+    # job and the order job -- instead of recomputing the feed three times
+    checkpoint_root(spark)
+    o = typed_orders(spark, sf_dir).checkpoint(eager=True)
     state = O.user_state_from_orders(o.where(F.col("create_time") < F.lit(FROM)))
     batch = o.where((F.col("create_time") >= F.lit(FROM)) & (F.col("create_time") < F.lit(TO)))
     return O.first_order_flags(batch, state)
