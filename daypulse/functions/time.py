@@ -3,7 +3,7 @@ on the JVM or session zone; a business zone is an offset parameter."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MS_PER_DAY = 86_400_000
@@ -42,6 +42,6 @@ def time_string_parts(s: Column) -> tuple[Column, Column]:
     return date_part, hour_part
 
 
-def hour_grid(spark) -> "DataFrame":  # noqa: F821
+def hour_grid(spark: SparkSession) -> DataFrame:
     """The 24 hour keys '00'..'23' (a fixed, 24-row table)."""
     return spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))

@@ -112,7 +112,7 @@ ORDER_FIELDS = ("id", "user_id", "province_id", "order_status", "final_total_amo
                 "expire_time", "create_time", "operate_time")
 
 
-def _row_map(df: DataFrame, fields=ORDER_FIELDS):
+def _row_map(fields=ORDER_FIELDS):
     return F.map_from_arrays(F.array(*[F.lit(f) for f in fields]),
                              F.array(*[F.col(f) for f in fields]))
 
@@ -130,12 +130,12 @@ def cdc_records(spark: SparkSession, sf_dir: str, *, rows_per_message: int = par
     if n == 1:
         # one message per row, sent at its create time (time-ordered feed)
         packed = rows.select(F.col("id").cast("long").alias("msg"),
-                             F.array(_row_map(rows)).alias("data"),
+                             F.array(_row_map()).alias("data"),
                              F.col("create_time").alias("first_time"))
     else:
         packed = (rows.withColumn("msg", (F.col("id").cast("long") / F.lit(n)).cast("long"))
                   .groupBy("msg")
-                  .agg(F.collect_list(_row_map(rows)).alias("data"),
+                  .agg(F.collect_list(_row_map()).alias("data"),
                        F.min(F.col("create_time")).alias("first_time")))
     body = F.to_json(F.struct(
         F.lit("order_info").alias("table"),
