@@ -128,3 +128,10 @@ def kpi_dod_rate(dau: DataFrame) -> DataFrame:
     rate = F.when(F.col("yesterday") > 0,
                   F.round((F.col("today") - F.col("yesterday")) / F.col("yesterday"), 4))
     return j.select("dt", "today", "yesterday", rate.cast("double").alias("rate"))
+
+
+def kpi_json(kpi: DataFrame) -> DataFrame:
+    """The KPI reply ``[{"id":..,"name":..,"value":..}, ...]`` (a handful of
+    rows, sorted by id)."""
+    items = F.array_sort(F.collect_list(F.struct("id", "name", "value")))
+    return kpi.agg(F.to_json(items).alias("json"))

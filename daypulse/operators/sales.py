@@ -135,3 +135,19 @@ def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
         value.alias("value"),
         cents_to_double(F.coalesce(F.col("amount_c"), F.lit(0))).alias("amount"),
         F.least(F.floor(value / F.lit(params.PROVINCE_BIN_WIDTH)), F.lit(params.PROVINCE_BIN_MAX)).cast("bigint").alias("bin"))
+
+
+def stat_json(stat_sets_df: DataFrame) -> DataFrame:
+    """The share reply ``{"age":[{"name":..,"value":..}],"gender":[...]}`` from
+    ``stat_sets`` (one row per band or gender: a handful)."""
+    per_kind = (stat_sets_df.groupBy("kind")
+                .agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("items")))
+    return per_kind.agg(F.to_json(F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("kind", "items"))))).alias("json"))
+
+
+def province_json(province_sales_df: DataFrame) -> DataFrame:
+    """The map reply ``[{"name":..,"value":..}, ...]``: one entry per province
+    (the dimension's size, checked by ``bounded_broadcast`` upstream)."""
+    items = F.array_sort(F.collect_list(F.struct("name", "value")))
+    return province_sales_df.agg(F.to_json(items).alias("json"))

@@ -2,7 +2,7 @@
 
 ``start_state_dedup``: first arrival per (day, device) kept by the state
 store of ``dropDuplicates`` under an event-time watermark on the day start
-(the reference kept a Redis set per day with a 24 h expiry). A day's state
+(the reference kept an external per-day key set with a 24 h expiry). A day's state
 is dropped once the watermark passes it; rows for such a day are late and
 dropped (counted in ``numRowsDroppedByWatermark``), and ``reconcile`` repairs
 them from the archive.

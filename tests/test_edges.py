@@ -165,3 +165,19 @@ def test_dau_total_from_logs_exact_and_approx(spark):
     start = start_logs(parse_logs(records(spark, vals)))
     assert dau_total_from_logs(start, dt.date(2024, 1, 2)).first().value == 4
     assert dau_total_from_logs(start, dt.date(2024, 1, 2), approx=True).first().value == 4
+
+
+def test_reply_shapes(spark):
+    from daypulse.operators.dashboard import kpi_json
+    from daypulse.operators.sales import province_json, stat_json
+    kpi = spark.createDataFrame([("new_mid", "New devices", 3), ("dau", "Daily active devices", 7)],
+                                "id string, name string, value long")
+    assert kpi_json(kpi).first().json == (
+        '[{"id":"dau","name":"Daily active devices","value":7},{"id":"new_mid","name":"New devices","value":3}]')
+    st = spark.createDataFrame([("age", "under 20", 2), ("gender", "M", 4), ("age", "20-30", 1), ("gender", "F", 3)],
+                               "kind string, name string, value long")
+    assert stat_json(st).first().json == (
+        '{"age":[{"name":"20-30","value":1},{"name":"under 20","value":2}],'
+        '"gender":[{"name":"F","value":3},{"name":"M","value":4}]}')
+    pv = spark.createDataFrame([("B", 2, 1.0, 0), ("A", 0, 0.0, 0)], "name string, value long, amount double, bin long")
+    assert province_json(pv).first().json == '[{"name":"A","value":0},{"name":"B","value":2}]'
