@@ -16,7 +16,7 @@ WHERE lang = '{params.SEARCH_LANG}' AND regexp_matches(text, '{token_pattern(par
 ORDER BY n_chars DESC, doc_id LIMIT {params.SEARCH_PAGE_SIZE}
 """)
 def search_docs(spark, sf_dir):
-    return Q.search_docs(read_table(spark, sf_dir, "documents"), params.SEARCH_TOKEN, params.SEARCH_LANG)
+    return Q.search_docs(read_table(spark, sf_dir, "documents", spread_small=True), params.SEARCH_TOKEN, params.SEARCH_LANG)
 
 
 @query("search_nested", f"""
@@ -24,7 +24,7 @@ SELECT DISTINCT conv_id FROM conversations
 WHERE role = '{params.NESTED_ROLE}' AND regexp_matches(text, '{token_pattern(params.NESTED_TOKEN)}')
 """)
 def search_nested(spark, sf_dir):
-    return Q.turns_match(read_table(spark, sf_dir, "conversations"), params.NESTED_ROLE, params.NESTED_TOKEN)
+    return Q.turns_match(read_table(spark, sf_dir, "conversations", spread_small=True), params.NESTED_ROLE, params.NESTED_TOKEN)
 
 
 @query("search_hits", f"""
@@ -36,7 +36,7 @@ WHERE lang = '{params.SEARCH_LANG}' AND regexp_matches(text, '{token_pattern(par
 """)
 def search_hits(spark, sf_dir):
     """Whole-word hit count per matching document (whole texts)."""
-    return Q.highlighted(read_table(spark, sf_dir, "documents"), params.HIGHLIGHT_TOKEN,
+    return Q.highlighted(read_table(spark, sf_dir, "documents", spread_small=True), params.HIGHLIGHT_TOKEN,
                          params.SEARCH_LANG).select("doc_id", "hits")
 
 
@@ -44,4 +44,4 @@ def search_hits(spark, sf_dir):
 def search_highlight(spark, sf_dir):
     """Matching documents with every hit wrapped in markers (no oracle: the
     marking uses look-around, which the oracle's regex dialect lacks)."""
-    return Q.highlighted(read_table(spark, sf_dir, "documents"), params.HIGHLIGHT_TOKEN, params.SEARCH_LANG)
+    return Q.highlighted(read_table(spark, sf_dir, "documents", spread_small=True), params.HIGHLIGHT_TOKEN, params.SEARCH_LANG)

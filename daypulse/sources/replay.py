@@ -36,7 +36,7 @@ def app_log_records(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
     case of the content split occurs. With ``corrupt=True`` some lines are cut
     mid-JSON and some lose ``common`` (quarantine input).
     The Kafka offset is the event id: rising inside a partition, with gaps."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = read_table(spark, sf_dir, "events", spread_small=True).select("event_id", "ts", "user_id", "event_type", "props")
     cust = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("ar_key"))
     # customer is a dimension keyed by user: a plain left join, AQE picks the strategy.
@@ -81,7 +81,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rules: ``create_time = o_orderdate + (o_orderkey % 86400) s``; ``province_id``
     = nation of the customer; original amount = sum of line prices, benefit =
     sum of price * discount (lineitem pre-aggregated per order before the join)."""
-    o = read_table(spark, sf_dir, "orders").select(
+    o = read_table(spark, sf_dir, "orders", spread_small=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     li = (read_table(spark, sf_dir, "lineitem")

@@ -23,7 +23,9 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_small: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_small: bool = False) -> DataFrame:
+    """``spread_small`` for scans that feed heavy per-row work (JSON, regex);
+    light scans feeding joins and aggregates are better left as they are."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
