@@ -135,3 +135,19 @@ def kpi_json(kpi: DataFrame) -> DataFrame:
     rows, sorted by id)."""
     items = F.array_sort(F.collect_list(F.struct("id", "name", "value")))
     return kpi.agg(F.to_json(items).alias("json"))
+
+
+def kpi_total_from_logs(logs: DataFrame, day: _dt.date) -> DataFrame:
+    """The KPI list straight from the logs in one pass: one aggregate per
+    device (first day ever, and whether it sent a start log on ``day``,
+    combined map-side), then both counts from that, unpacked to two rows."""
+    active = F.max(F.when((F.col("kind") == "start") & (F.col("dt") == _d(day)), 1).otherwise(0))
+    per_mid = logs.groupBy("mid").agg(F.min("dt").alias("first_dt"), active.alias("active"))
+    tot = per_mid.agg(F.sum("active").cast("bigint").alias("dau"),
+                      F.count_if(F.col("first_dt") == _d(day)).alias("new_mid"))
+    rows = F.array(
+        F.struct(F.lit(params.KPI_DAU[0]).alias("id"), F.lit(params.KPI_DAU[1]).alias("name"),
+                 F.coalesce(F.col("dau"), F.lit(0)).cast("bigint").alias("value")),
+        F.struct(F.lit(params.KPI_NEW_MID[0]).alias("id"), F.lit(params.KPI_NEW_MID[1]).alias("name"),
+                 F.col("new_mid").cast("bigint").alias("value")))
+    return tot.select(F.inline(rows))

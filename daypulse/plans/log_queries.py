@@ -189,8 +189,8 @@ SELECT '{params.KPI_NEW_MID[0]}', '{params.KPI_NEW_MID[1]}', count(*)
 FROM (SELECT mid, min(dt) AS f FROM logs GROUP BY mid) WHERE f = DATE '{LOG_DAY}'
 """)
 def kpi_total(spark, sf_dir):
-    logs = parsed_logs(spark, sf_dir)
-    return dash.kpi_total(daily_active_keys(L.start_logs(logs)), L.good_logs(logs), D)
+    """Active and new devices of the day, from one aggregate per device."""
+    return dash.kpi_total_from_logs(L.good_logs(parsed_logs(spark, sf_dir)), D)
 
 
 @query("kpi_dod_rate", f"""
