@@ -66,3 +66,14 @@ def test_first_row_aggregates_combine_before_the_shuffle(spark):
     for name in ("dau_info", "order_first_flag", "province_sales", "new_devices"):
         p = plan(Q[name](spark, SF_SMALL))
         assert "partial_" in p or "PartialMerge" in p, name
+
+
+STREAMS = {"stream_dau", "stream_hour_counts", "stream_first_order", "dau_reconcile"}
+
+
+def test_no_query_plans_a_cross_product(spark):
+    for name, build in sorted(Q.items()):
+        if name in STREAMS:
+            continue
+        p = plan(build(spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
