@@ -12,10 +12,11 @@ from daypulse.operators.logs import parse_logs, start_logs
 from daypulse.plans.oracle_common import DAU_CTE, LOGS_CTE, ORDERS_CTE
 from daypulse.plans.registry import query
 from daypulse.session import work_path
+from daypulse.sinks.files import archive_raw
 from daypulse.sources.replay import app_log_records, cdc_records
 from daypulse.streaming import dau as dau_stream
 from daypulse.streaming.first_order import start_first_order
-from daypulse.streaming.reconcile import reconcile
+from daypulse.streaming.reconcile import reconcile, repair
 from daypulse.streaming.runner import replay_windows
 
 
@@ -101,9 +102,14 @@ def dau_reconcile(spark, sf_dir):
     stream table and are marked ``repaired`` by the batch recompute."""
     recs = stalled(app_log_records(spark, sf_dir), params.STALL_PARTITION, params.STALL_FROM,
                    params.STALL_TO, params.STALL_DELAY_MS)
+    archive = archive_raw(spark, recs)                 # the collector's raw archive (S6)
     table, _ = run_state_dedup(spark, recs)
-    batch_keys = daily_active(start_logs(parse_logs(app_log_records(spark, sf_dir)))).select("dt", "mid")
-    return reconcile(dau_stream.stream_keys(spark, table), batch_keys)
+    stream_keys = dau_stream.stream_keys(spark, table).checkpoint(eager=True)   # before the repair writes
+    batch_rows = daily_active(start_logs(parse_logs(spark.read.parquet(archive))))
+    repair(table, batch_rows, stream_keys)
+    # the status reads the key snapshot taken before the repair and the archive,
+    # so it stays lazy: the repair does not change it
+    return reconcile(stream_keys, batch_rows.select("dt", "mid"))
 
 
 

@@ -17,3 +17,15 @@ def reconcile(stream_keys: DataFrame, batch_keys: DataFrame) -> DataFrame:
     status = (F.when(F.col("_s") & F.col("_b"), F.lit("kept"))
               .when(F.col("_b"), F.lit("repaired")).otherwise(F.lit("extra")))
     return j.select("dt", "mid", status.alias("status"))
+
+
+REPAIR_BATCH = -1   # partition of repaired rows; a re-run overwrites only it
+
+
+def repair(table: str, batch_rows: DataFrame, stream_keys: DataFrame) -> None:
+    """Write the rows the stream missed into the daily table, partition
+    ``(dt, batch_id=-1)``. Later micro-batches treat them as prior keys, and
+    running the repair again rewrites the same partitions (idempotent)."""
+    missing = batch_rows.join(stream_keys.select("dt", "mid"), ["dt", "mid"], "left_anti")
+    (missing.withColumn("batch_id", F.lit(REPAIR_BATCH)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").parquet(table))
