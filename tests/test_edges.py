@@ -185,3 +185,17 @@ def test_reply_shapes(spark):
         '"gender":[{"name":"F","value":3},{"name":"M","value":4}]}')
     pv = spark.createDataFrame([("B", 2, 1.0, 0), ("A", 0, 0.0, 0)], "name string, value long, amount double, bin long")
     assert province_json(pv).first().json == '[{"name":"A","value":0},{"name":"B","value":2}]'
+
+
+def test_one_pass_kpi_equals_two_aggregates(spark):
+    from daypulse import params
+    from daypulse.operators.dashboard import kpi_total, kpi_total_from_logs
+    from daypulse.operators.dedup import daily_active_keys
+    from daypulse.operators.logs import good_logs
+    from daypulse.plans.log_queries import parsed_logs
+    from tests.conftest import SF_SMALL
+    logs = parsed_logs(spark, SF_SMALL)
+    one = sorted(tuple(r) for r in kpi_total_from_logs(good_logs(logs), params.LOG_DAY).collect())
+    two = sorted(tuple(r) for r in kpi_total(daily_active_keys(start_logs(logs)), good_logs(logs),
+                                            params.LOG_DAY).collect())
+    assert one == two
