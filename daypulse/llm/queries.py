@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daypulse.llm import bitpack, exact_dedup, mixing, packing, quality, sharding, simhash
-from daypulse.llm.common import documents
+from daypulse.llm import (
+    bitpack, chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, toxicity)
+from daypulse.llm.common import documents, table
 
 
 def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]):
@@ -18,13 +19,25 @@ def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]):
     return run
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op1_chat_formatting(spark, table(spark, sf_dir, "conversations"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op3_toxicity(spark, documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting, "op3_toxicity": op3_toxicity}
+QUERIES |= {
     f.__name__: _over_documents(f) for f in (
-        exact_dedup.op4_exact_dedup, simhash.op5_simhash, quality.op6_quality_rules,
+        substring.op2_substring_dedup, exact_dedup.op4_exact_dedup, simhash.op5_simhash, quality.op6_quality_rules,
         sharding.op7_balanced_sharding, bitpack.op8_bit_packing, mixing.op9_mix_sources,
         packing.op10_best_fit_packing)}
 
 ORACLE: dict[str, str] = {
+    "op1_chat_formatting": chat.OP1_SQL.strip(),
+    "op2_substring_dedup": substring.OP2_SQL.strip(),
     "op4_exact_dedup": exact_dedup.OP4_SQL.strip(),
     "op6_quality_rules": quality.OP6_SQL.strip(),
     "op9_mix_sources": mixing.OP9_SQL.strip(),
