@@ -1,18 +1,34 @@
-"""Join helpers."""
+"""Join of many rows with a keyed table when a few keys hold many of the rows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: The most frequent keys are split, this many of them, into so many parts each.
+HOT_KEYS, PARTS = 256, 32
+
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a proven size bound.
+def split_join(rows: DataFrame, keyed: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner",
+               keys_from: DataFrame | None = None, hot_keys: int = HOT_KEYS, parts: int = PARTS) -> DataFrame:
+    """``rows`` joined with ``keyed`` (one row per ``key``) without a key meeting
+    in one task.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    passed, so the check costs at most ``max_rows + 1`` rows even on a large
-    table. Past the bound the frame is returned unhinted and AQE chooses
-    between a sort-merge join and its own size-checked broadcast at run time."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    The ``hot_keys`` most frequent keys come from an aggregate with map-side
+    combine and a top-k, so that list is bounded and safe to broadcast. It is
+    taken from ``keys_from``, a cheap frame with the same keys (a scan or a
+    written table), or from ``rows`` if those are cheap to read twice. Rows of
+    those keys are dealt to ``parts`` by a hash of ``spread_by``, and their
+    keyed rows are repeated once per part. Any other key stays whole; the result
+    is that of a plain join at every size."""
+    hot = ((rows if keys_from is None else keys_from).where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .orderBy(F.col("_n").desc(), key).limit(hot_keys).select(key, F.lit(True).alias("_hot")))
+    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("_part", part).drop("_hot")
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    one = F.array(F.lit(0))
+    repeated = (keyed.join(F.broadcast(hot), key, "left")
+                .withColumn("_part", F.explode(F.when(F.col("_hot"), every).otherwise(one))).drop("_hot"))
+    return dealt.join(repeated, [key, "_part"], how).drop("_part")

@@ -16,8 +16,8 @@ def ntz_to_epoch_ms(ts: Column) -> Column:
 
 
 def epoch_ms_to_date(ms: Column, offset_ms: int = 0) -> Column:
-    """Calendar day of an epoch-ms instant (DATE)."""
-    return F.date_from_unix_date(F.floor((ms + F.lit(offset_ms)) / F.lit(MS_PER_DAY)).cast("int"))
+    """Calendar day of an epoch-ms instant (DATE); null beyond the range of days."""
+    return F.date_from_unix_date(F.floor((ms + F.lit(offset_ms)) / F.lit(MS_PER_DAY)).try_cast("int"))
 
 
 def epoch_ms_to_hour(ms: Column, offset_ms: int = 0) -> Column:
@@ -26,10 +26,6 @@ def epoch_ms_to_hour(ms: Column, offset_ms: int = 0) -> Column:
     return F.lpad(h.cast("string"), 2, "0")
 
 
-def epoch_ms_to_ts(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
-
-
 def time_string_parts(s: Column) -> tuple[Column, Column]:
     """'yyyy-MM-dd HH:mm:ss' text -> (create_date, create_hour) text parts.
 
@@ -42,6 +38,12 @@ def time_string_parts(s: Column) -> tuple[Column, Column]:
     return date_part, hour_part
 
 
+def time_string_seconds(s: Column) -> Column:
+    """Seconds of 'yyyy-MM-dd HH:mm:ss' or date-only text; null for any other text."""
+    whole = F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.unix_timestamp(F.coalesce(whole, F.try_to_timestamp(s, F.lit("yyyy-MM-dd"))))
+
+
 def hour_grid(spark: SparkSession) -> DataFrame:
     """The 24 hour keys '00'..'23' (a fixed, 24-row table)."""
     return spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))

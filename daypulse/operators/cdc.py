@@ -1,6 +1,6 @@
 """Change-feed operators: parse envelopes, explode rows (P9), route (P10),
 row to JSON (P11), typed order rows from quoted values (P2), create-time
-parts (P6), last-writer-wins upsert (S7, T5) and offset audit (S4)."""
+parts (P6) and offset audit (S4)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.functions.time import time_string_parts
-from daypulse.operators.dedup import last_per_key
 from daypulse.operators.logs import parsed_once
 from daypulse.schemas import CDC_ENVELOPE, MONEY
 
@@ -76,13 +75,6 @@ def with_time_parts(orders: DataFrame) -> DataFrame:
     return orders.withColumn("create_date", d).withColumn("create_hour", h)
 
 
-def upsert(existing: DataFrame | None, changes: DataFrame, keys, version, carry) -> DataFrame:
-    """Last writer wins by ``version`` over the union of table and changes:
-    arrival order and duplicate deliveries do not matter."""
-    allrows = changes if existing is None else existing.unionByName(changes)
-    return last_per_key(allrows, keys, version, carry)
-
-
 def offset_ranges(records: DataFrame, batch: Column) -> DataFrame:
     """Per-batch offset range of each topic partition: ``from`` is the first
     offset read, ``until`` one past the last, ``n`` the records read."""

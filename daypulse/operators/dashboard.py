@@ -51,11 +51,9 @@ def _two_day_counts(dau: DataFrame, day: _dt.date) -> DataFrame:
 
 
 def dau_hour_compare(spark: SparkSession, dau: DataFrame, day: _dt.date) -> DataFrame:
-    """24 rows ``hr, yesterday, today`` with zeros for silent hours. The
-    counts side is broadcast: it has one row per hour key, and ``hr`` is
-    derived as a two-digit hour, so it can never exceed 24 rows."""
+    """24 rows ``hr, yesterday, today`` with zeros for silent hours."""
     counts = _two_day_counts(dau, day)
-    return (hour_grid(spark).join(F.broadcast(counts), "hr", "left")
+    return (hour_grid(spark).join(counts, "hr", "left")
             .select("hr",
                     F.coalesce("yesterday", F.lit(0)).cast("bigint").alias("yesterday"),
                     F.coalesce("today", F.lit(0)).cast("bigint").alias("today")))

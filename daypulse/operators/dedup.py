@@ -54,19 +54,26 @@ def daily_active_keys(start: DataFrame, offset_ms: int = 0) -> DataFrame:
     return first.select("dt", "mid", epoch_ms_to_hour(F.col("ts"), offset_ms).alias("hr"), "ts")
 
 
-_ID_SPAN = Decimal(10 ** 19)   # every non-negative BIGINT id is below this
+_SPAN = Decimal(2 ** 64)             # BIGINT ids, moved up by half of it, are below
+_HALF = Decimal(2 ** 63)
+_TIME_SHIFT = Decimal(10 ** 12)      # beyond any second of years -9999 to 9999
+_NO_TIME = Decimal(3 * 10 ** 12)     # sorts after every time
 
 
 def first_id_per_key(df: DataFrame, keys: Sequence[str], time_s: str, id_col: str) -> DataFrame:
-    """Per key, the id of the earliest row by (time, id), as ``first_id``.
-
-    (time seconds, id) is packed into one DECIMAL(38,0) -- time * 10^19 + id
-    -- so ``min`` runs as a fixed-width hash aggregate with map-side combine
-    (a struct or string ordering would need the sort-based aggregate).
-    Requires non-negative ids and times; rows with a null time are not
-    candidates."""
-    packed = (F.col(time_s).cast("decimal(38,0)") * F.lit(_ID_SPAN).cast("decimal(38,0)")
-              + F.col(id_col).cast("decimal(38,0)"))
-    m = df.groupBy(*keys).agg(F.min(packed).alias("_k"))
-    first = F.pmod(F.col("_k"), F.lit(_ID_SPAN).cast("decimal(38,0)")).cast("long")
+    """Per key, the id of the earliest row by (time, id), as ``first_id``. Rows
+    without a time come after those with one; rows without an id cannot be
+    first, and a key with none but such rows gets null.
+
+    (time seconds, id) is packed into one DECIMAL(38,0), both moved to be
+    non-negative, so that ``min`` runs as a fixed-width hash aggregate with
+    map-side combine (a struct ordering would need the sort-based one)."""
+    def dec(x):
+        return F.lit(x).cast("decimal(38,0)")
+
+    time = F.coalesce(F.col(time_s).cast("decimal(38,0)") + dec(_TIME_SHIFT), dec(_NO_TIME)).cast("decimal(18,0)")
+    key = (time * F.lit(_SPAN).cast("decimal(20,0)")).cast("decimal(38,0)") + (
+        F.col(id_col).cast("decimal(38,0)") + dec(_HALF))
+    m = df.groupBy(*keys).agg(F.min(key.cast("decimal(38,0)")).alias("_k"))
+    first = (F.pmod(F.col("_k"), dec(_SPAN)) - dec(_HALF)).cast("long")
     return m.select(*keys, first.alias("first_id"))

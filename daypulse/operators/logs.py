@@ -22,18 +22,30 @@ def parsed_once(parsed: Column, name: str) -> Column:
     return F.inline(F.array(F.struct(parsed.alias(name))))
 
 
-def parse_logs(records: DataFrame, offset_ms: int = 0) -> DataFrame:
+def plausible(ms: Column, arrival_ms: Column, ahead_ms: int, behind_ms: int) -> Column:
+    known = ms.between(arrival_ms - F.lit(behind_ms), arrival_ms + F.lit(ahead_ms))
+    return F.coalesce(known, ms.between(F.lit(0), F.lit(params.LATEST_TS_MS)))
+
+
+def parse_logs(records: DataFrame, offset_ms: int = 0, max_ahead_ms: int = params.LOG_MAX_AHEAD_MS,
+               max_behind_ms: int = params.LOG_MAX_BEHIND_MS) -> DataFrame:
     """Kafka-shaped log records -> one row per record with the parsed fields,
     a quarantine ``reason`` (null for good rows) and the content ``kind``.
 
     Bad JSON does not fail the batch (it did in the reference): it gets
     ``reason='malformed_json'``; a line without ``common.mid`` gets
-    ``'missing_mid'``; without ``ts``, ``'missing_ts'``."""
-    p = records.select("partition", "offset", "value",
+    ``'missing_mid'``; without ``ts``, ``'missing_ts'``. A device clock is not
+    trusted: ``ts`` more than ``max_ahead_ms`` after the record's arrival or
+    ``max_behind_ms`` before it (from 1970 to 2100 where no arrival is known)
+    gives ``'bad_ts'``, so that no line can move a watermark, open a far-off
+    day or overflow."""
+    p = records.select("partition", "offset", "value", "timestamp",
                        parsed_once(F.from_json(F.col("value"), APP_LOG, _PARSE_OPTS), "j"))
     reason = (F.when(F.col("j").isNull() | F.col("j._corrupt_record").isNotNull(), F.lit("malformed_json"))
               .when(F.col("j.common.mid").isNull(), F.lit("missing_mid"))
-              .when(F.col("j.ts").isNull(), F.lit("missing_ts")))
+              .when(F.col("j.ts").isNull(), F.lit("missing_ts"))
+              .when(~plausible(F.col("j.ts"), F.unix_millis("timestamp"), max_ahead_ms, max_behind_ms),
+                    F.lit("bad_ts")))
     start = F.col("j.start")
     kind = F.when(start.isNotNull() & (F.length(start) > 0), F.lit("start")).otherwise(F.lit("event"))
     ms = F.col("j.ts")
@@ -47,8 +59,9 @@ def parse_logs(records: DataFrame, offset_ms: int = 0) -> DataFrame:
         F.col("j.common.ch").alias("ch"),
         F.col("j.common.vc").alias("vc"),
         ms.alias("ts"),
-        epoch_ms_to_date(ms, offset_ms).alias("dt"),
-        epoch_ms_to_hour(ms, offset_ms).alias("hr"),
+        F.when(reason.isNull(), epoch_ms_to_date(ms, offset_ms)).alias("dt"),
+        F.when(reason.isNull(), epoch_ms_to_hour(ms, offset_ms)).alias("hr"),
+        F.col("timestamp").alias("arrival"),
     )
 
 

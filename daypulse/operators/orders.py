@@ -7,15 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypulse import params
-from daypulse.functions.joins import bounded_broadcast
+from daypulse.functions.joins import split_join
+from daypulse.functions.time import time_string_seconds
 from daypulse.operators.dedup import first_id_per_key
 from daypulse.sources.lookup import for_keys
 
-# A province dimension never holds more rows than this; beyond it the
-# broadcast hint is dropped and AQE decides.
-PROVINCE_MAX_ROWS = 10_000
-
-
 def user_state_from_orders(orders: DataFrame) -> DataFrame:
     """``user_id, if_consumed='1'`` for every user with an order (the keyed
     state table of the reference, rebuilt from history)."""
@@ -23,9 +19,10 @@ def user_state_from_orders(orders: DataFrame) -> DataFrame:
             .select("user_id", F.lit("1").alias("if_consumed")))
 
 
-def first_order_flags(batch: DataFrame, state: DataFrame) -> DataFrame:
+def first_order_flags(batch: DataFrame, state: DataFrame | None) -> DataFrame:
     """``if_first_order='1'`` for the earliest order of a user in the batch
     (by create time, then id) when the user has not consumed before, else '0'.
+    Without a ``state`` nobody has.
 
     Skew-safe shape: the per-user minimum combines map-side, the state test is
     an anti join of one row per user against one row per user, and the flag
@@ -33,9 +30,10 @@ def first_order_flags(batch: DataFrame, state: DataFrame) -> DataFrame:
     touches the raw batch rows, so a user with a third of all orders never
     lands whole in one task."""
     firsts = first_orders(batch)
-    consumed = for_keys(state.where(F.col("if_consumed") == "1"), firsts, ["user_id"]).select("user_id")
-    new_firsts = firsts.join(consumed, "user_id", "left_anti").select(
-        F.col("first_id").alias("id"), F.lit("1").alias("_flag"))
+    if state is not None:
+        consumed = for_keys(state.where(F.col("if_consumed") == "1"), firsts, ["user_id"]).select("user_id")
+        firsts = firsts.join(consumed, "user_id", "left_anti")
+    new_firsts = firsts.select(F.col("first_id").alias("id"), F.lit("1").alias("_flag"))
     return (batch.join(new_firsts, "id", "left")
             .withColumn("if_first_order", F.coalesce("_flag", F.lit("0")))
             .drop("_flag"))
@@ -43,9 +41,12 @@ def first_order_flags(batch: DataFrame, state: DataFrame) -> DataFrame:
 
 def first_orders(orders: DataFrame) -> DataFrame:
     """``user_id, first_id``: the earliest order of each user by (create
-    time, id), via a hash aggregate on a packed key."""
-    secs = F.unix_timestamp(F.col("create_time"), "yyyy-MM-dd HH:mm:ss")
-    return first_id_per_key(orders.withColumn("_ct", secs), ["user_id"], "_ct", "id")
+    time, id), via a hash aggregate on a packed key. An order whose time cannot
+    be read comes after those with one, so it is first only if it is alone;
+    orders without a user or an id are nobody's first."""
+    secs = time_string_seconds(F.col("create_time"))
+    known = orders.where(F.col("user_id").isNotNull() & F.col("id").isNotNull())
+    return first_id_per_key(known.withColumn("_ct", secs), ["user_id"], "_ct", "id")
 
 
 def province_dim(nation: DataFrame) -> DataFrame:
@@ -73,8 +74,11 @@ def user_dim(customer: DataFrame) -> DataFrame:
         F.col("c_mktsegment").alias("user_level"))
 
 
-def enrich(orders: DataFrame, provinces: DataFrame, users: DataFrame) -> DataFrame:
-    """Order ⟕ province (bounded, broadcast) ⟕ user (large: AQE chooses)."""
-    p = bounded_broadcast(provinces, PROVINCE_MAX_ROWS)
-    return (orders.join(p, "province_id", "left")
-            .join(users.select("user_id", "user_age_group", "user_gender"), "user_id", "left"))
+def enrich(orders: DataFrame, provinces: DataFrame, users: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+    """Order ⟕ province ⟕ user. Province is a key that a third of all orders can
+    share, and so is a user: both joins split their frequent keys, which are
+    counted on ``keys_from`` (the orders before they were flagged)."""
+    u = users.select("user_id", "user_age_group", "user_gender")
+    base = orders if keys_from is None else keys_from
+    wide = split_join(orders, provinces, "province_id", ["id"], "left", base)
+    return split_join(wide, u, "user_id", ["id"], "left", base)

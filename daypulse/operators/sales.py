@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypulse import params
-from daypulse.functions.joins import bounded_broadcast
+from daypulse.functions.joins import split_join
 from daypulse.functions.money import cents, cents_to_double
 from daypulse.functions.text import keyword_filter
-from daypulse.operators.orders import PROVINCE_MAX_ROWS, province_dim, user_dim
+from daypulse.operators.orders import province_dim, user_dim
 from daypulse.operators.orders import age_group as age_band
 
 WIDE_COLUMNS = ("order_detail_id", "order_id", "user_id", "sku_id", "user_gender", "user_age",
@@ -28,7 +28,11 @@ def wide_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, par
                 keyword: str | None = None, keep_key: bool = False) -> DataFrame:
     """detail ⋈ order ⋈ user ⋈ sku. Filters are applied to the dimension
     sides before the joins (date on orders, keyword on part), so they reach
-    the scans and the runtime filters of the big lineitem join."""
+    the scans and the runtime filters of the big lineitem join.
+
+    Users are joined to orders, one row per order, before the detail rows: those
+    move twice, on the order (a few lines each) and on the sku. A user or a sku
+    with a third of all rows is split over many tasks."""
     o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
     if date_from is not None:
         o = o.where(F.col("dt") >= F.lit(date_from))
@@ -39,9 +43,9 @@ def wide_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, par
     p = p.where(keyword_filter(F.col("sku_name"), keyword))
     u = user_dim(customer).select(F.col("user_id").alias("o_custkey"), "user_gender", "user_age", "user_level")
     li = lineitem.select(*DETAIL_KEY)
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(p, "l_partkey", "inner")
-         .join(u, "o_custkey", "left"))
+    o = split_join(o, u, "o_custkey", ["o_orderkey"], "left")
+    j = split_join(li.join(o, li.l_orderkey == o.o_orderkey, "inner"), p, "l_partkey",
+                   ["l_orderkey", "l_linenumber"], keys_from=li)
     cols = [
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_detail_id"),
         F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
@@ -81,8 +85,16 @@ def after_key(df: DataFrame, keys: list[str], values: tuple) -> F.Column:
     return (F.col(keys[0]) >= lits[0]) & cond
 
 
-def total(detail: DataFrame) -> DataFrame:
-    return detail.agg(F.count(F.lit(1)).alias("total"))
+def total(lineitem: DataFrame, orders: DataFrame, part: DataFrame, date_from: _dt.date, date_to: _dt.date,
+          keyword: str | None) -> DataFrame:
+    """Number of filtered detail rows; a total needs no user. Lines are counted
+    per sku before the sku is joined, so none is hot there."""
+    day = F.to_date("o_orderdate")
+    o = orders.where(day.between(F.lit(date_from), F.lit(date_to))).select(F.col("o_orderkey").alias("l_orderkey"))
+    p = part.where(keyword_filter(F.col("p_name"), keyword)).select(F.col("p_partkey").alias("l_partkey"))
+    per_sku = (lineitem.select("l_orderkey", "l_partkey").join(o, "l_orderkey")
+               .groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")))
+    return per_sku.join(p, "l_partkey").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
 
 def _share(grouped: DataFrame) -> DataFrame:
@@ -127,8 +139,7 @@ def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
     c = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("province_id"))
     per = (per_cust.join(c, "o_custkey", "inner").groupBy("province_id")
            .agg(F.sum("value").alias("value"), F.sum("amount_c").alias("amount_c")))
-    prov = bounded_broadcast(province_dim(nation), PROVINCE_MAX_ROWS)
-    j = prov.join(per, "province_id", "left")
+    j = province_dim(nation).join(per, "province_id", "left")
     value = F.coalesce("value", F.lit(0)).cast("bigint")
     return j.select(
         F.col("province_name").alias("name"),
@@ -147,7 +158,7 @@ def stat_json(stat_sets_df: DataFrame) -> DataFrame:
 
 
 def province_json(province_sales_df: DataFrame) -> DataFrame:
-    """The map reply ``[{"name":..,"value":..}, ...]``: one entry per province
-    (the dimension's size, checked by ``bounded_broadcast`` upstream)."""
+    """The map reply ``[{"name":..,"value":..}, ...]``: one entry per province,
+    one row as the page asks for it; the input has one row per province."""
     items = F.array_sort(F.collect_list(F.struct("name", "value")))
     return province_sales_df.agg(F.to_json(items).alias("json"))

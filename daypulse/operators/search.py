@@ -3,7 +3,7 @@ with a page of 20 (L1), nested element match, and highlighting."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypulse import params
@@ -43,5 +43,20 @@ def highlighted(docs: DataFrame, token: str, lang: str) -> DataFrame:
                     highlight(F.col("text"), token, params.HIGHLIGHT_PRE, params.HIGHLIGHT_POST).alias("marked"))
 
 
-def role_term(role: str) -> Column:
-    return F.col("role") == role
+def request(turns: DataFrame, token: str, term_role: str, size: int = params.SEARCH_PAGE_SIZE) -> DataFrame:
+    """The search page as one request over conversations (documents with nested
+    turns): match ``token`` in any turn AND an exact nested term (a turn with
+    ``role``), best score first, ``size`` documents, highlighted.
+
+    Score is the number of hits over all turns. Scores combine map-side per
+    conversation; only the page's conversations, at most ``size``, go back to
+    the turns for their first matching text."""
+    hits = token_hits(F.col("text"), token)
+    scored = turns.select("conv_id", "role", hits.alias("hits")).groupBy("conv_id").agg(
+        F.sum("hits").alias("score"), F.max((F.col("role") == term_role).cast("int")).alias("term"))
+    page = (scored.where("score > 0 AND term = 1").select("conv_id", "score")
+            .orderBy(F.col("score").desc(), "conv_id").limit(size))
+    first = (turns.where(has_token(F.col("text"), token)).join(F.broadcast(page), "conv_id")
+             .groupBy("conv_id", "score").agg(F.min(F.struct("turn", "text")).alias("t")))
+    marked = highlight(F.col("t.text"), token, params.HIGHLIGHT_PRE, params.HIGHLIGHT_POST)
+    return first.select("conv_id", "score", F.col("t.turn").alias("turn"), marked.alias("marked"))

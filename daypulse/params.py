@@ -37,8 +37,12 @@ LOG_PARTITIONS = 4
 LOG_DAY = _dt.date(2024, 1, 15)          # "today" of the dashboard queries
 CORRUPT_EVERY = 97                       # adapter cuts these log lines mid-JSON
 NO_COMMON_EVERY = 101                    # adapter drops `common` from these
-ORDER_STATE_CUTOFF = _dt.date(1995, 7, 1)   # orders before: known users
-ORDER_BATCH_END = _dt.date(1996, 1, 1)      # batch: cutoff .. end
+BAD_CLOCK_EVERY = 103                    # adapter sets these clocks 400 days ahead
+HUGE_TS_EVERY = 107                      # adapter writes the largest BIGINT as ts
+LOG_MAX_AHEAD_MS = 86_400_000            # ts may lie this far after arrival ...
+LOG_MAX_BEHIND_MS = 30 * 86_400_000      # ... and this far before it
+LATEST_TS_MS = 4_102_444_800_000         # 2100-01-01, where no arrival is known
+ORDER_STATE_CUTOFF = _dt.date(1995, 7, 1)   # users with orders before are known
 CDC_ROWS_PER_MESSAGE = 10
 SALES_DATE_FROM = _dt.date(1996, 1, 1)
 SALES_DATE_TO = _dt.date(1996, 12, 31)
@@ -50,11 +54,19 @@ SEARCH_LANG = "en"
 NESTED_ROLE = "assistant"
 NESTED_TOKEN = "que"
 HIGHLIGHT_TOKEN = "the"
+SEARCH_TERM_ROLE = "system"
 STREAM_DELAY = "2 days"
+STATE_PARTITIONS = 4                     # fixed for ever at a stream's first start:
+                                         # give the cores that the state shall use
+UPSERT_BUCKETS = 8                       # folders of a keyed table, by hash of the key:
+                                         # about one per 128 MB the table will reach
+MERGE_EVERY = 16                         # batches between merges of a table's parts
+DISORDER_PARTITION = 2                   # collector partition that is always ...
+DISORDER_DELAY_MS = 86_400_000           # ... this much late, within STREAM_DELAY
 LOG_WINDOW_MS = 5 * 86_400_000          # arrival window of the log replay
 ORDER_WINDOW_MS = 365 * 86_400_000      # arrival window of the order replay
 STALL_PARTITION = 3                      # collector partition that stalled ...
 STALL_FROM = _dt.date(2024, 1, 10)       # ... for these event days ...
 STALL_TO = _dt.date(2024, 1, 11)
-STALL_DELAY_MS = 3 * 86_400_000          # ... and delivered this much later
+STALL_DELAY_MS = 10 * 86_400_000         # ... and delivered this much later
 STREAM_DELAY_MS = 2 * 86_400_000         # same as STREAM_DELAY

@@ -12,11 +12,9 @@ from daypulse.plans.oracle_common import ORDERS_CTE
 from daypulse.plans.registry import query
 from daypulse.session import work_path
 from daypulse.sinks.files import write_routed
-from daypulse.sinks.upsert import bucket_of, upsert_table
-from daypulse.sources.replay import app_log_records, cdc_records, order_rows
-
-
-UPSERT_BUCKETS = 16
+from daypulse.sinks.upsert import current, upsert
+from daypulse.sources.replay import app_log_records, cdc_records, user_records
+from daypulse.sources.tables import read_table
 
 
 def change_rows(spark, sf_dir):
@@ -41,15 +39,49 @@ def cdc_rows(spark, sf_dir):
                     F.col("row")["create_time"].alias("create_time"))
 
 
+def two_table_records(spark, sf_dir, rows_per_message=params.CDC_ROWS_PER_MESSAGE):
+    """A change feed of two tables, as one topic carries it."""
+    return cdc_records(spark, sf_dir, rows_per_message=rows_per_message).unionByName(user_records(spark, sf_dir))
+
+
 @query("cdc_routed_counts", f"""
 SELECT '{params.ROUTE_PREFIX}ORDER_INFO' AS topic, count(*) AS n FROM orders
+UNION ALL
+SELECT '{params.ROUTE_PREFIX}USER_INFO', count(*) FROM customer
 """)
 def cdc_routed_counts(spark, sf_dir):
-    """Rows written to their routed topic (file twin), counted after read-back."""
-    path = write_routed(spark, cdc.routed(change_rows(spark, sf_dir)))
+    """Rows written to their routed topics (file twin), counted after read-back."""
+    rows = cdc.explode_rows(cdc.parse_envelopes(two_table_records(spark, sf_dir)))
+    path = write_routed(spark, cdc.routed(rows))
     return spark.read.parquet(path).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+ROUTED_SQL = f"""
+WITH {ORDERS_CTE}
+SELECT '{params.ROUTE_PREFIX}ORDER_INFO' AS topic, 'order_info:' || id AS key,
+  '{{"id":"' || id || '","user_id":"' || user_id || '"'
+  || CASE WHEN province_id IS NULL THEN '' ELSE ',"province_id":"' || province_id || '"' END
+  || ',"order_status":"' || order_status
+  || '","final_total_amount":"' || CAST(CAST(final_total_amount AS DECIMAL(16,2)) AS VARCHAR)
+  || CASE WHEN benefit_reduce_amount IS NULL THEN '"' ELSE
+       '","benefit_reduce_amount":"' || CAST(CAST(benefit_reduce_amount AS DECIMAL(16,2)) AS VARCHAR)
+       || '","original_total_amount":"' || CAST(CAST(original_total_amount AS DECIMAL(16,2)) AS VARCHAR) || '"' END
+  || ',"feight_fee":"0.00","create_time":"' || create_time || '"}}' AS value
+FROM ord
+UNION ALL
+SELECT '{params.ROUTE_PREFIX}USER_INFO', 'user_info:' || c_custkey,
+  '{{"id":"' || c_custkey || '","name":"' || c_name || '","user_level":"' || c_mktsegment
+  || '","province_id":"' || c_nationkey || '"}}'
+FROM customer
+"""
+
+
+@query("cdc_routed", ROUTED_SQL)
+def cdc_routed(spark, sf_dir):
+    """Topic, key and JSON of every changed row, routed by its table."""
+    return cdc.routed(cdc.explode_rows(cdc.parse_envelopes(two_table_records(spark, sf_dir))))
+
+
 @query("order_typed", f"""
 WITH {ORDERS_CTE}
 SELECT id, province_id, order_status, user_id, final_total_amount FROM ord
@@ -75,7 +107,8 @@ def versioned_change_records(spark, sf_dir):
     """Each order sent as single-row messages with versions 1..k,
     k = id % 3 + 1; earlier versions carry an interim status. Offsets run in
     reverse version order, so arrival order contradicts version order."""
-    rows = order_rows(spark, sf_dir).select("id", "order_status")
+    rows = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("order_status"))
     k = (F.col("id").cast("long") % 3 + 1)
     v = rows.withColumn("k", k).withColumn("version", F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))))
     status = F.when(F.col("version") == F.col("k"), F.col("order_status")).otherwise(
@@ -104,12 +137,12 @@ def upsert_last_wins(spark, sf_dir):
         rows = cdc.explode_rows(cdc.parse_envelopes(batch.drop("version")))
         return rows.select(F.expr("try_cast(row['id'] AS BIGINT)").alias("id"),
                            F.col("row")["order_status"].alias("order_status"),
-                           F.expr("try_cast(row['version'] AS BIGINT)").alias("version")
-                           ).withColumn("bucket", bucket_of("id", UPSERT_BUCKETS))
+                           F.expr("try_cast(row['version'] AS BIGINT)").alias("version"))
 
-    for batch in (recs.where(F.col("version") == 1), recs.where(F.col("version") > 1)):
-        upsert_table(spark, typed(batch), path, ["id"], ["version"], ["order_status", "bucket"], ["bucket"])
-    return spark.read.parquet(path).select("id", "order_status", "version")
+    for batch_id, batch in enumerate((recs.where(F.col("version") == 1), recs.where(F.col("version") > 1))):
+        upsert(spark, typed(batch), path, batch_id, "id", ["version"], ["order_status"],
+               params.UPSERT_BUCKETS, params.MERGE_EVERY)
+    return current(spark, path, "id", ["version"], ["order_status"])
 
 
 @query("batch_offset_audit", f"""
@@ -122,9 +155,7 @@ def batch_offset_audit(spark, sf_dir):
     """Offset range per (micro-batch, topic, partition); micro-batches are
     fixed one-day arrival windows here, ``batch_id`` in a running stream."""
     recs = app_log_records(spark, sf_dir)
+    # the arrival, from the broker; no part of the log line
     batch = F.floor(F.unix_millis("timestamp") / F.lit(MS_PER_DAY)).cast("bigint")
     return cdc.offset_ranges(recs, batch).select(
         "batch_id", "topic", "partition", "from_offset", "until_offset", "n")
-
-
-

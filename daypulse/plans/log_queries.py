@@ -11,6 +11,7 @@ from daypulse.operators import logs as L
 from daypulse.operators.dedup import daily_active, daily_active_keys
 from daypulse.plans.oracle_common import DAU_CTE, LOG_DAY, LOGS_CTE
 from daypulse.plans.registry import query
+from daypulse.session import work_path
 from daypulse.sinks.files import archive_raw
 from daypulse.sources.replay import app_log_records
 
@@ -31,6 +32,21 @@ def dau_keys(spark, sf_dir):
     return daily_active_keys(L.start_logs(parsed_logs(spark, sf_dir)))
 
 
+_daily: dict[tuple[str, str], str] = {}
+
+
+def daily_table(spark, sf_dir):
+    """The daily active-device table, partitioned by day, as the daily job
+    leaves it for the dashboards: written once per application and input, then
+    read with partition pruning."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _daily:
+        path = work_path(spark, "daily_table")
+        dau_table(spark, sf_dir).repartition("dt").write.partitionBy("dt").parquet(path)
+        _daily[key] = path
+    return spark.read.parquet(_daily[key])
+
+
 @query("log_source_replay", """
 WITH {logs}
 SELECT CAST(e.user_id AS VARCHAR) AS key,
@@ -66,7 +82,9 @@ def log_split(spark, sf_dir):
 @query("log_quarantine", f"""
 SELECT reason, count(*) AS n FROM (
   SELECT CASE WHEN event_id % {params.CORRUPT_EVERY} = 0 THEN 'malformed_json'
-              WHEN event_id % {params.NO_COMMON_EVERY} = 0 THEN 'missing_mid' END AS reason
+              WHEN event_id % {params.NO_COMMON_EVERY} = 0 THEN 'missing_mid'
+              WHEN event_id % {params.BAD_CLOCK_EVERY} = 0 OR event_id % {params.HUGE_TS_EVERY} = 0
+              THEN 'bad_ts' END AS reason
   FROM events) WHERE reason IS NOT NULL GROUP BY reason
 """)
 def log_quarantine(spark, sf_dir):
@@ -85,6 +103,26 @@ def raw_archive_daily(spark, sf_dir):
     return back.groupBy("arrival_dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("raw_archive_rows", """
+SELECT CAST(e.ts AS DATE) AS arrival_dt, CAST(e.user_id AS VARCHAR) AS key,
+  CAST(e.user_id % {parts} AS INTEGER) AS "partition", e.event_id AS "offset", epoch_us(e.ts) AS arrival_us,
+  '{{"common":{{"mid":"' || e.user_id || '","uid":"' || e.user_id || '","ar":'
+  || coalesce('"' || CAST(c.c_nationkey AS VARCHAR) || '"', 'null')
+  || ',"ch":"' || e.event_type || '","vc":"v' || json_extract_string(e.props, '$.k') || '"}},'
+  || CASE e.event_type WHEN 'view' THEN '"start":{{"entry":"icon"}},'
+                       WHEN 'signup' THEN '"start":{{"entry":"notice"}},'
+                       WHEN 'click' THEN '"start":"",'
+                       WHEN 'error' THEN '"start":null,' ELSE '' END
+  || '"ts":' || (epoch_us(e.ts) // 1000) || '}}' AS value
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+""".format(parts=params.LOG_PARTITIONS))
+def raw_archive_rows(spark, sf_dir):
+    """Every raw record read back from the archive, key and arrival included."""
+    back = spark.read.parquet(archive_raw(spark, app_log_records(spark, sf_dir)))
+    return back.select("arrival_dt", "key", "partition", "offset",
+                       F.unix_micros("timestamp").alias("arrival_us"), "value")
+
+
 @query("dau_info", f"""
 WITH {DAU_CTE}
 SELECT mid, uid, ar, ch, vc, dt, hr, ts FROM dau
@@ -99,7 +137,7 @@ WITH {DAU_CTE}
 SELECT DATE '{LOG_DAY}' AS dt, count(*) AS value FROM dau WHERE dt = DATE '{LOG_DAY}'
 """)
 def dau_total(spark, sf_dir):
-    return dash.dau_total(dau_keys(spark, sf_dir), D)
+    return dash.dau_total(daily_table(spark, sf_dir), D)
 
 
 @query("dau_hour", f"""
@@ -107,7 +145,7 @@ WITH {DAU_CTE}
 SELECT hr, count(*) AS n FROM dau WHERE dt = DATE '{LOG_DAY}' GROUP BY hr
 """)
 def dau_hour(spark, sf_dir):
-    return dash.dau_hour(dau_keys(spark, sf_dir), D)
+    return dash.dau_hour(daily_table(spark, sf_dir), D)
 
 
 DAU_HOUR_COMPARE_SQL = f"""
@@ -125,7 +163,7 @@ FROM grid g LEFT JOIN c USING (hr)
 @query("dau_hour_compare", DAU_HOUR_COMPARE_SQL)
 def dau_hour_compare(spark, sf_dir):
     """Yesterday and today per hour, 24 rows, zero filled (flagship)."""
-    return dash.dau_hour_compare(spark, dau_keys(spark, sf_dir), D)
+    return dash.dau_hour_compare(spark, daily_table(spark, sf_dir), D)
 
 
 @query("hour_map_json", f"""
@@ -141,7 +179,7 @@ FROM c
 """)
 def hour_map_json(spark, sf_dir):
     """The two-day hourly reply as JSON text."""
-    return dash.hour_map_json(dau_keys(spark, sf_dir), D)
+    return dash.hour_map_json(daily_table(spark, sf_dir), D)
 
 
 @query("start_count", f"""
@@ -201,4 +239,4 @@ SELECT t.dt, t.n AS today, y.n AS yesterday,
 FROM d t LEFT JOIN d y ON y.dt = t.dt - INTERVAL 1 DAY
 """)
 def kpi_dod_rate(spark, sf_dir):
-    return dash.kpi_dod_rate(dau_keys(spark, sf_dir))
+    return dash.kpi_dod_rate(daily_table(spark, sf_dir))

@@ -50,17 +50,24 @@ ord AS (
 )"""
 
 BATCH_FROM = params.ORDER_STATE_CUTOFF.isoformat()
-BATCH_TO = params.ORDER_BATCH_END.isoformat()
 
 FLAGS_CTE = ORDERS_CTE + f""",
 st AS (SELECT DISTINCT user_id FROM ord WHERE create_time < '{BATCH_FROM}'),
-b AS (SELECT * FROM ord WHERE create_time >= '{BATCH_FROM}' AND create_time < '{BATCH_TO}'),
+b AS (SELECT * FROM ord WHERE create_time >= '{BATCH_FROM}'),
 flags AS (
   SELECT b.*, CASE WHEN row_number() OVER (PARTITION BY b.user_id ORDER BY b.create_time, b.id) = 1
                     AND b.user_id NOT IN (SELECT user_id FROM st) THEN '1' ELSE '0' END AS if_first_order
   FROM b
 )"""
 
+# Every order; the first one ever of its user is flagged.
+FIRST_CTE = ORDERS_CTE + """,
+firsts AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) = 1 THEN '1' ELSE '0' END
+         AS if_first_order
+  FROM ord
+)"""
+
 USER_DIM_SQL = f"""
 SELECT c_custkey AS user_id,
        CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS user_gender,

@@ -59,7 +59,9 @@ def sale_detail_page(spark, sf_dir):
 
 @query("sale_detail_total", f"WITH {FILTERED_SQL}\nSELECT count(*) AS total FROM f")
 def sale_detail_total(spark, sf_dir):
-    return S.total(detail(spark, sf_dir))
+    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "part")}
+    return S.total(t["lineitem"], t["orders"], t["part"], params.SALES_DATE_FROM, params.SALES_DATE_TO,
+                   params.SALES_KEYWORD)
 
 
 @query("sale_gender_share", f"""WITH {FILTERED_SQL}

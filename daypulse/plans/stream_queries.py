@@ -6,34 +6,42 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daypulse import params
-
-from daypulse.operators.dedup import daily_active
-from daypulse.operators.logs import parse_logs, start_logs
-from daypulse.plans.oracle_common import DAU_CTE, LOGS_CTE, ORDERS_CTE
+from daypulse.plans.cdc_queries import ROUTED_SQL, two_table_records
+from daypulse.plans.oracle_common import DAU_CTE, FIRST_CTE, LOGS_CTE
+from daypulse.plans.order_queries import WIDE_ORDER_SQL, dimensions, wide_columns
 from daypulse.plans.registry import query
 from daypulse.session import work_path
 from daypulse.sinks.files import archive_raw
+from daypulse.sinks.parts import read_parts
+from daypulse.sinks.topics import file_topics
 from daypulse.sources.replay import app_log_records, cdc_records
 from daypulse.streaming import dau as dau_stream
-from daypulse.streaming.first_order import start_first_order
-from daypulse.streaming.reconcile import reconcile, repair
+from daypulse.streaming import jobs
+from daypulse.streaming.first_order import order_table, start_first_order
+from daypulse.streaming.reconcile import late_days, recompute, reconcile, repair
 from daypulse.streaming.runner import replay_windows
 
+STATE = params.STATE_PARTITIONS
 
-def stalled(records, partition: int, day_from, day_to, delay_ms: int):
-    """A collector partition that stalled: its records of the given event
-    days are delivered ``delay_ms`` late (arrival ``timestamp`` shifted)."""
-    day = F.to_date(F.col("timestamp"))
-    hit = (F.col("partition") == partition) & day.between(F.lit(day_from), F.lit(day_to))
+
+def delayed(records, hit, delay_ms: int):
+    """Records where ``hit`` holds are delivered ``delay_ms`` late (their arrival
+    ``timestamp`` moves)."""
     shifted = F.timestamp_millis(F.unix_millis("timestamp") + F.lit(delay_ms))
     return records.withColumn("timestamp", F.when(hit, shifted).otherwise(F.col("timestamp")))
 
 
+def stalled(records, partition: int, day_from, day_to, delay_ms: int):
+    """A collector partition that stalled on the given event days."""
+    day = F.to_date(F.col("timestamp"))
+    return delayed(records, (F.col("partition") == partition) & day.between(F.lit(day_from), F.lit(day_to)), delay_ms)
+
+
 def run_state_dedup(spark, records):
     table, ckpt = work_path(spark, "dau_table"), work_path(spark, "ckpt_dau")
     progress = replay_windows(
         spark, records, params.LOG_WINDOW_MS,
-        lambda landing: dau_stream.start_state_dedup(spark, landing, table, ckpt, params.STREAM_DELAY))
+        lambda landing: dau_stream.start_state_dedup(spark, landing, table, ckpt, params.STREAM_DELAY, STATE, 1))
     return table, progress
 
 
@@ -42,8 +50,12 @@ WITH {LOGS_CTE}
 SELECT DISTINCT dt, mid FROM logs WHERE kind = 'start'
 """)
 def stream_dau(spark, sf_dir):
-    """(dt, mid) keys kept by the watermarked state-store dedup stream."""
-    table, _ = run_state_dedup(spark, app_log_records(spark, sf_dir))
+    """(dt, mid) keys kept by the watermarked state-store dedup stream. One
+    collector partition is always a day late, so rows come out of order within
+    the watermark's delay."""
+    records = delayed(app_log_records(spark, sf_dir), F.col("partition") == params.DISORDER_PARTITION,
+                      params.DISORDER_DELAY_MS)
+    table, _ = run_state_dedup(spark, records)
     return dau_stream.stream_keys(spark, table)
 
 
@@ -56,27 +68,79 @@ def stream_hour_counts(spark, sf_dir):
     first-arrival stream maintains."""
     table, ckpt = work_path(spark, "dau_table"), work_path(spark, "ckpt_dau_t")
     replay_windows(spark, app_log_records(spark, sf_dir), params.LOG_WINDOW_MS,
-                   lambda landing: dau_stream.start_table_dedup(spark, landing, table, ckpt))
-    dau = spark.read.parquet(table)
-    return dau.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
+                   lambda landing: dau_stream.start_table_dedup(spark, landing, table, ckpt, STATE, 1))
+    return dau_stream.daily_table(spark, table).groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_first_order", f"""
-WITH {ORDERS_CTE}
-SELECT id, user_id,
-       CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) = 1 THEN '1' ELSE '0' END
-         AS if_first_order
-FROM ord
+WITH {FIRST_CTE}
+SELECT id, user_id, if_first_order FROM firsts
 """)
 def stream_first_order(spark, sf_dir):
     """First-order flag from keyed state across micro-batches (orders replayed
     in create-time order, one window per year)."""
     table, ckpt = work_path(spark, "order_flags"), work_path(spark, "ckpt_first")
     state = work_path(spark, "user_state")
-    recs = cdc_records(spark, sf_dir, rows_per_message=1)
-    replay_windows(spark, recs, params.ORDER_WINDOW_MS,
-                   lambda landing: start_first_order(spark, landing, table, ckpt, state))
-    return spark.read.parquet(table).select("id", "user_id", "if_first_order")
+    replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS,
+                   lambda landing: start_first_order(spark, landing, table, ckpt, state, STATE, 1))
+    return order_table(spark, table).select("id", "user_id", "if_first_order")
+
+
+@query("stream_order_wide", WIDE_ORDER_SQL)
+def stream_order_wide(spark, sf_dir):
+    """Order job: typed, flagged against the user state, province and user
+    merged, saved; read back as wide rows."""
+    table, state, ckpt = (work_path(spark, x) for x in ("orders", "user_state", "ckpt_orders"))
+    provinces, users = dimensions(spark, sf_dir)
+
+    def start(landing):
+        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.order_job(records, table, state, provinces, users, ckpt, interval=None)
+
+    replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS, start)
+    return wide_columns(order_table(spark, table))
+
+
+@query("stream_fan_out", ROUTED_SQL)
+def stream_fan_out(spark, sf_dir):
+    """Change fan-out job over a feed of two tables: topic, key and value of
+    every row, read back from the topics."""
+    out, ckpt = work_path(spark, "topics"), work_path(spark, "ckpt_fan_out")
+
+    def start(landing):
+        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.fan_out_job(records, file_topics(out), ckpt, interval=None)
+
+    replay_windows(spark, two_table_records(spark, sf_dir), params.ORDER_WINDOW_MS, start)
+    return read_parts(spark, out, "topic").select("topic", "key", "value")
+
+
+@query("stream_log_split", """
+SELECT CASE WHEN e.event_type IN ('view', 'signup') THEN '{start}' ELSE '{event}' END AS topic,
+  CAST(e.user_id AS VARCHAR) AS key,
+  '{{"common":{{"mid":"' || e.user_id || '","uid":"' || e.user_id || '","ar":'
+  || coalesce('"' || CAST(c.c_nationkey AS VARCHAR) || '"', 'null')
+  || ',"ch":"' || e.event_type || '","vc":"v' || json_extract_string(e.props, '$.k') || '"}},'
+  || CASE e.event_type WHEN 'view' THEN '"start":{{"entry":"icon"}},'
+                       WHEN 'signup' THEN '"start":{{"entry":"notice"}},'
+                       WHEN 'click' THEN '"start":"",'
+                       WHEN 'error' THEN '"start":null,' ELSE '' END
+  || '"ts":' || (epoch_us(e.ts) // 1000) || '}}' AS value
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+WHERE e.event_id % {a} <> 0 AND e.event_id % {b} <> 0 AND e.event_id % {c} <> 0 AND e.event_id % {d} <> 0
+""".format(start=params.START_TOPIC, event=params.EVENT_TOPIC, a=params.CORRUPT_EVERY, b=params.NO_COMMON_EVERY,
+           c=params.BAD_CLOCK_EVERY, d=params.HUGE_TS_EVERY))
+def stream_log_split(spark, sf_dir):
+    """Collector split as a stream to two topics; damaged lines go to the
+    quarantine."""
+    out, bad, ckpt = (work_path(spark, x) for x in ("topics", "quarantine", "ckpt_split"))
+
+    def start(landing):
+        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.log_split_job(records, file_topics(out), bad, ckpt, interval=None)
+
+    replay_windows(spark, app_log_records(spark, sf_dir, corrupt=True), params.LOG_WINDOW_MS, start)
+    return read_parts(spark, out, "topic").select("topic", "key", "value")
 
 
 _STALL = (f"CASE WHEN \"partition\" = {params.STALL_PARTITION} AND dt BETWEEN DATE '{params.STALL_FROM}' "
@@ -89,7 +153,8 @@ s AS (SELECT dt, mid, ts + {_STALL} AS arr_ms, (ts // 86400000) * 86400000 AS da
       FROM logs WHERE kind = 'start'),
 w AS (SELECT *, arr_ms // {params.LOG_WINDOW_MS} AS win FROM s),
 wmax AS (SELECT win, max(day_ms) AS m FROM w GROUP BY win),
-wm AS (SELECT win, max(m) OVER (ORDER BY win ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+-- a batch drops rows by the watermark that held before the last batch ended
+wm AS (SELECT win, max(m) OVER (ORDER BY win ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
                    - {params.STREAM_DELAY_MS} AS wm FROM wmax),
 kept AS (SELECT DISTINCT dt, mid FROM w JOIN wm USING (win) WHERE wm.wm IS NULL OR w.day_ms > wm.wm),
 allk AS (SELECT DISTINCT dt, mid FROM s)
@@ -97,19 +162,22 @@ SELECT a.dt, a.mid, CASE WHEN k.mid IS NOT NULL THEN 'kept' ELSE 'repaired' END
 FROM allk a LEFT JOIN kept k ON k.dt = a.dt AND k.mid = a.mid
 """)
 def dau_reconcile(spark, sf_dir):
-    """Stream with a stalled partition (its rows for two days arrive three days
+    """Stream with a stalled partition (its rows for two days arrive ten days
     late): keys whose rows all came after the watermark are missing from the
-    stream table and are marked ``repaired`` by the batch recompute."""
+    stream table. Only days that can have lost rows are recomputed from the
+    archive; on the others the stream's keys stand."""
     recs = stalled(app_log_records(spark, sf_dir), params.STALL_PARTITION, params.STALL_FROM,
                    params.STALL_TO, params.STALL_DELAY_MS)
-    archive = archive_raw(spark, recs)                 # the collector's raw archive (S6)
+    archive = spark.read.parquet(archive_raw(spark, recs))   # the collector's raw archive (S6)
     table, _ = run_state_dedup(spark, recs)
-    stream_keys = dau_stream.stream_keys(spark, table).checkpoint(eager=True)   # before the repair writes
-    batch_rows = daily_active(start_logs(parse_logs(spark.read.parquet(archive))))
-    repair(table, batch_rows, stream_keys)
-    # the status reads the key snapshot taken before the repair and the archive,
-    # so it stays lazy: the repair does not change it
-    return reconcile(stream_keys, batch_rows.select("dt", "mid"))
-
-
-
+    days = late_days(archive, params.STREAM_DELAY_MS)
+    keys = dau_stream.stream_keys(spark, table)
+    kept = keys.where(~F.col("dt").isin(days)) if days else keys
+    kept = kept.select("dt", "mid", F.lit("kept").alias("status"))
+    if not days:
+        return kept
+    late = keys.where(F.col("dt").isin(days))
+    batch_rows = recompute(archive, days)
+    repair(table, batch_rows, late)
+    # the stream's own keys leave repairs out, so the status can stay lazy
+    return kept.unionByName(reconcile(late, batch_rows.select("dt", "mid")))

@@ -37,26 +37,4 @@ RECORD = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Active-device row; key (dt, mid).
-DAU_ROW = T.StructType([
-    T.StructField("mid", S), T.StructField("uid", S), T.StructField("ar", S),
-    T.StructField("ch", S), T.StructField("vc", S), T.StructField("dt", T.DateType()),
-    T.StructField("hr", S), T.StructField("ts", T.LongType()),
-])
-
 MONEY = T.DecimalType(16, 2)
-
-# Typed order row (money as DECIMAL(16,2)).
-ORDER = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("province_id", T.LongType()),
-    T.StructField("order_status", S),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("final_total_amount", MONEY),
-    T.StructField("benefit_reduce_amount", MONEY),
-    T.StructField("original_total_amount", MONEY),
-    T.StructField("feight_fee", MONEY),
-    T.StructField("expire_time", S),
-    T.StructField("create_time", S),
-    T.StructField("operate_time", S),
-])

@@ -46,9 +46,9 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is
-    made under /tmp and registered, so that on a cluster nothing ever lands on
-    a machine-local disk."""
+    Read from the session. Where it is unset, a local master gets a folder under
+    /tmp; any other master is refused, because executors would write to disks
+    that the others cannot read."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if base:
@@ -58,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="daypulse-ckpt-", dir="/tmp")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir().rstrip("/")
@@ -66,3 +68,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder (one per run, never reused)."""
     return "/".join([checkpoint_root(spark), "daypulse", *parts, uuid.uuid4().hex])
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at ``path``. Asked of the store itself,
+    so that a failed read is never taken for an empty table."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, none if it is missing."""
+    fs, p = _hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []

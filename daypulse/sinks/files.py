@@ -9,10 +9,11 @@ from daypulse.session import work_path
 
 
 def archive_raw(spark: SparkSession, records: DataFrame, path: str | None = None) -> str:
-    """Append raw lines to a day-partitioned archive (one folder per arrival
-    day, as the collector's daily rolling log file). Returns the path."""
+    """Append raw records, key and arrival time included, to a day-partitioned
+    archive (one folder per arrival day, as the collector's daily rolling log
+    file). Returns the path."""
     path = path or work_path(spark, "raw_archive")
-    (records.select("value", "topic", "partition", "offset",
+    (records.select("key", "value", "topic", "partition", "offset", "timestamp",
                     F.to_date("timestamp").alias("arrival_dt"))
      .write.mode("append").partitionBy("arrival_dt").parquet(path))
     return path

@@ -1,51 +1,40 @@
-"""Keyed upsert into a partitioned Parquet table (the daily index / keyed
-store of the reference, without MERGE).
+"""Keyed upsert into a Parquet table (the daily index / keyed store of the
+reference, without MERGE).
 
-Only the partitions that the changes touch are read and rewritten (dynamic
-partition overwrite). The merged frame is checkpointed into the shared
-checkpoint folder first: that cuts the lineage that reads the same path, so
-the overwrite cannot read what it is deleting, and a lost executor recomputes
-from the checkpoint, not from the source."""
+A batch appends only its own latest rows per key; the highest version is
+resolved when the table is read, and merges keep the number of parts per bucket
+bounded. Nothing that a batch does not change is read, moved or rewritten."""
 
 from __future__ import annotations
 
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from daypulse.operators.dedup import last_per_key
-from daypulse.session import checkpoint_root
-
-
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def upsert_table(spark: SparkSession, changes: DataFrame, path: str, keys: Sequence[str],
-                 version: Sequence[str], carry: Sequence[str], partition_cols: Sequence[str]) -> None:
-    """Apply ``changes`` to the table at ``path``: per key, the row with the
-    highest ``version`` wins (ties impossible when the version is total)."""
-    checkpoint_root(spark)
-    latest = last_per_key(changes, keys, version, carry)
-    table = _read_if_exists(spark, path)
-    if table is not None:
-        touched = latest.select(*partition_cols).distinct()
-        old = table.join(touched, list(partition_cols), "left_semi")
-        merged = last_per_key(old.unionByName(latest.select(*old.columns)), keys, version,
-                              [c for c in old.columns if c not in keys and c not in version])
-    else:
-        merged = latest
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
+from daypulse.sinks.parts import merge_parts, read_parts, write_batch
 
 
 def bucket_of(key_col: str, buckets: int):
     """Stable hash bucket of a key (partition column of a keyed table)."""
     return F.pmod(F.xxhash64(F.col(key_col)), F.lit(buckets)).cast("int")
+
+
+def upsert(spark: SparkSession, changes: DataFrame, path: str, batch_id: int, key: str,
+           version: Sequence[str], carry: Sequence[str], buckets: int, merge_every: int) -> None:
+    """Apply ``changes`` as batch ``batch_id``: per ``key`` the row with the
+    highest ``version`` wins, whatever the order of arrival and however often a
+    batch is delivered. ``buckets`` bounds the folders of the table; choose it
+    for its size, as a bucket is merged as a whole."""
+    latest = last_per_key(changes, [key], version, carry).withColumn("bucket", bucket_of(key, buckets))
+    write_batch(latest.repartition("bucket"), path, "bucket", batch_id)
+    merge_parts(spark, path, "bucket", range(buckets), merge_every,
+                lambda rows: last_per_key(rows, [key], version, [*carry, "batch_id"]))
+
+
+def current(spark: SparkSession, path: str, key: str, version: Sequence[str],
+            carry: Sequence[str]) -> DataFrame | None:
+    """The table as of now: one row per key."""
+    rows = read_parts(spark, path, "bucket")
+    return None if rows is None else last_per_key(rows, [key], version, carry)

@@ -6,30 +6,31 @@ columns from a real topic."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.schemas import RECORD
+from daypulse.session import child_folders, work_path
 
 
 def arrival_window(ts_col: str, window_ms: int):
     return F.floor(F.unix_millis(F.col(ts_col)) / F.lit(window_ms)).cast("long")
 
 
-def arrival_windows(records: DataFrame, window_ms: int) -> list[int]:
-    """Ids of the non-empty arrival windows, in order. One row per window
-    reaches the driver (their number follows the time span, not the data)."""
-    w = records.select(arrival_window("timestamp", window_ms).alias("w")).distinct().orderBy("w")
-    return [r[0] for r in w.collect()]
-
-
-def land_window(records: DataFrame, landing: str, window_ms: int, window_id: int) -> str:
-    """Write the records of one arrival window into its own folder."""
-    path = f"{landing}/window-{window_id:012d}"
-    (records.where(arrival_window("timestamp", window_ms) == F.lit(window_id))
-     .select(*RECORD.fieldNames()).write.mode("errorifexists").parquet(path))
-    return path
+def land_windows(spark: SparkSession, records: DataFrame, landing: str, window_ms: int) -> int:
+    """Writes ``records`` window by window, one file each, and returns how many
+    there are. The feed is computed once, split by window on the cluster; each
+    window is then read from its own folder, so the work follows the data, not
+    data times windows."""
+    staged = work_path(spark, "staged")
+    cols = RECORD.fieldNames()
+    (records.select(*cols, arrival_window("timestamp", window_ms).alias("window"))
+     .write.partitionBy("window").parquet(staged))
+    windows = sorted(int(n.split("=")[1]) for n in child_folders(spark, staged) if n.startswith("window="))
+    for k, w in enumerate(windows):
+        (spark.read.schema(RECORD).parquet(f"{staged}/window={w}").coalesce(1)
+         .write.parquet(f"{landing}/window-{k:012d}"))
+    return len(windows)
 
 
 def stream_records(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -38,9 +39,3 @@ def stream_records(spark: SparkSession, landing: str, max_files: int | None = No
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(f"{landing}/*")
-
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep the record frame while several windows are carved out of it; a
-    lost block is recomputed from the source, so losing an executor is safe."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.functions.money import cents, cents_to_money, hundredths, round_half_up_to_cents
-from daypulse.functions.time import ntz_to_epoch_ms
+from daypulse.functions.time import MS_PER_DAY, ntz_to_epoch_ms
 from daypulse.sources.tables import read_table
 
 
@@ -34,14 +34,18 @@ def app_log_records(spark: SparkSession, sf_dir: str, *, corrupt: bool = False,
     ``start`` carries an object for ``view`` and ``signup``, is ``""`` for
     ``click``, ``null`` for ``error`` and absent for ``purchase``, so every
     case of the content split occurs. With ``corrupt=True`` some lines are cut
-    mid-JSON and some lose ``common`` (quarantine input).
+    mid-JSON, some lose ``common`` and some carry a wrong clock (quarantine input).
     The Kafka offset is the event id: rising inside a partition, with gaps."""
-    ev = read_table(spark, sf_dir, "events", spread_small=True).select("event_id", "ts", "user_id", "event_type", "props")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     cust = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("ar_key"))
-    # customer is a dimension keyed by user: a plain left join, AQE picks the strategy.
+    # customer is keyed by user: a plain left join; AQE picks the strategy and,
+    # both sides being shuffled for the join alone, splits a skewed partition
     j = ev.join(cust, "user_id", "left")
     ms = ntz_to_epoch_ms(F.col("ts"))
+    if corrupt:  # the device's clock, not the arrival
+        ms = (F.when(F.col("event_id") % params.BAD_CLOCK_EVERY == 0, ms + F.lit(400 * MS_PER_DAY))
+              .when(F.col("event_id") % params.HUGE_TS_EVERY == 0, F.lit(2 ** 63 - 1)).otherwise(ms))
     mid = F.col("user_id").cast("string")
     start = (F.when(F.col("event_type") == "view", F.lit('"start":{"entry":"icon"},'))
              .when(F.col("event_type") == "signup", F.lit('"start":{"entry":"notice"},'))
@@ -81,7 +85,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rules: ``create_time = o_orderdate + (o_orderkey % 86400) s``; ``province_id``
     = nation of the customer; original amount = sum of line prices, benefit =
     sum of price * discount (lineitem pre-aggregated per order before the join)."""
-    o = read_table(spark, sf_dir, "orders", spread_small=True).select(
+    o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     li = (read_table(spark, sf_dir, "lineitem")
@@ -112,6 +116,29 @@ ORDER_FIELDS = ("id", "user_id", "province_id", "order_status", "final_total_amo
                 "expire_time", "create_time", "operate_time")
 
 
+USER_FIELDS = ("id", "name", "user_level", "province_id", "phone_num")
+
+
+def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_info`` rows with every value a string; ``phone_num`` is null."""
+    return read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("user_level"), F.col("c_nationkey").cast("string").alias("province_id"),
+        F.lit(None).cast("string").alias("phone_num"))
+
+
+def user_records(spark: SparkSession, sf_dir: str, partitions: int = params.LOG_PARTITIONS) -> DataFrame:
+    """Change envelopes for ``user_info``, one row each, sent before any order."""
+    rows = user_rows(spark, sf_dir)
+    key = F.col("id").cast("long")
+    body = F.to_json(F.struct(F.lit("user_info").alias("table"), F.lit("INSERT").alias("type"),
+                              F.lit(False).alias("isDdl"), key.alias("es"),
+                              F.array(_row_map(USER_FIELDS)).alias("data")))
+    return rows.select(F.col("id").alias("key"), body.alias("value"), F.lit(params.CDC_TOPIC).alias("topic"),
+                       F.pmod(key, F.lit(partitions)).cast("int").alias("partition"),
+                       (-key - 10).alias("offset"), F.timestamp_millis(F.lit(0)).alias("timestamp"))
+
+
 def _row_map(fields=ORDER_FIELDS):
     return F.map_from_arrays(F.array(*[F.lit(f) for f in fields]),
                              F.array(*[F.col(f) for f in fields]))

@@ -1,6 +1,6 @@
 """Reads of the supplied Parquet tables. Column pruning and filter pushdown
-are left to Catalyst: callers select and filter, the scan follows (both pass
-through the round-robin spread below)."""
+are left to Catalyst, the number of splits to ``spark.sql.files.maxPartitionBytes``
+and the layout of the files."""
 
 from __future__ import annotations
 
@@ -11,22 +11,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores (a file smaller
-    than one split, or a single row group) would run every per-row step --
-    JSON, regex over whole texts -- in that many tasks. Such a scan is spread
-    round-robin over all cores; a scan that already has at least that many
-    splits, as every large table does, is left untouched."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_small: bool = False) -> DataFrame:
-    """``spread_small`` for scans that feed heavy per-row work (JSON, regex);
-    light scans feeding joins and aggregates are better left as they are."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(spark, df) if spread_small else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

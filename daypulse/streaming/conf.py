@@ -1,41 +1,26 @@
-"""Settings a stream fixes at its first start.
+"""Settings that a stream fixes at its first start.
 
-The number of state partitions is read from ``spark.sql.shuffle.partitions``
-when a stateful stream first starts and is then kept in its checkpoint for
-ever; the state store provider likewise. They are set here, scoped to the
-``start()`` call, so that a stream does not inherit whatever the calling
-session happens to use (200 partitions of a small default store cost ~10x
-per micro-batch on a small cluster, and too few partitions cap a large one).
-The default is one state partition per core of the cluster."""
+The number of state partitions is taken from ``spark.sql.shuffle.partitions``
+when a stateful stream first starts and is then kept in its checkpoint for ever;
+the state store provider likewise. Every stream gets a session of its own for
+them, so that neither the caller nor another stream sees a change."""
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+from daypulse.session import pin_session
 
-def state_partitions(spark: SparkSession, requested: int | None = None) -> int:
-    return requested or max(2, spark.sparkContext.defaultParallelism)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def stream_start_conf(spark: SparkSession, partitions: int | None = None):
-    want = {
-        "spark.sql.shuffle.partitions": str(state_partitions(spark, partitions)),
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    }
-    old = {k: spark.conf.get(k, None) for k in want}
-    for k, v in want.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of the same application for one stream. ``state_partitions`` is
+    the number of tasks its state is kept in for as long as its checkpoint
+    lives: choose it for the cluster the stream will grow to, not for the
+    executors that happen to be up."""
+    own = pin_session(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return own

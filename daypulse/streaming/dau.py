@@ -12,78 +12,96 @@ its first micro-batch is kept (``min`` per key) and membership is the table
 itself, read only for the days in the batch. Deterministic rows, so hourly
 figures computed from the stream equal the batch ones.
 
-Both sinks write partitions ``(dt, batch_id)`` with dynamic overwrite: a
-replayed batch rewrites exactly its own partitions, so at-least-once
-delivery leaves no duplicates."""
+Both write the parts table of ``sinks.parts`` by day: a replayed batch rewrites
+exactly its own parts, so at-least-once delivery leaves no duplicates."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from daypulse.streaming.conf import stream_start_conf
 from pyspark.sql.streaming import StreamingQuery
 
+from daypulse import params
 from daypulse.functions.time import MS_PER_DAY
 from daypulse.operators.dedup import DAU_COLUMNS, daily_active
 from daypulse.operators.logs import parse_logs, start_logs
+from daypulse.sinks.parts import merge_parts, read_parts, write_batch
 from daypulse.sources.files import stream_records
+from daypulse.streaming.conf import stream_session
 
-
-def _write_batch(df: DataFrame, table: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt", "batch_id").parquet(table))
+#: Tasks that share a device's rows before its state task sees one row of each.
+SPREAD = 8
 
 
 def day_start(ts_ms_col: str = "ts"):
     return F.timestamp_millis(F.floor(F.col(ts_ms_col) / F.lit(MS_PER_DAY)) * F.lit(MS_PER_DAY))
 
 
-def state_dedup_sink(table: str):
-    def sink(df: DataFrame, batch_id: int) -> None:
-        _write_batch(df.select(*DAU_COLUMNS).withColumn("batch_id", F.lit(batch_id)), table)
-    return sink
+def days_of(df: DataFrame) -> list:
+    """Days of a batch. Few: the parse bounds ``ts`` by the arrival time."""
+    return sorted(r.dt for r in df.select("dt").distinct().collect())
+
 
+def first_arrivals(start: DataFrame, delay: str, spread: int = SPREAD) -> DataFrame:
+    """Start logs, one per (day, device) ever. A first stage keeps one row per
+    device and part, so that a device with a third of all rows is deduplicated
+    in ``spread`` tasks and its own state task gets that many rows."""
+    part = F.pmod(F.xxhash64("partition", "offset"), F.lit(spread))
+    return (start.withColumn("day_ts", day_start()).withColumn("_part", part)
+            .withWatermark("day_ts", delay)
+            .dropDuplicates(["day_ts", "mid", "_part"]).dropDuplicates(["day_ts", "mid"]))
 
-def start_state_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                      delay: str) -> StreamingQuery:
-    start = start_logs(parse_logs(stream_records(spark, landing)))
-    deduped = (start.withColumn("day_ts", day_start())
-               .withWatermark("day_ts", delay)
-               .dropDuplicates(["day_ts", "mid"]))
-    with stream_start_conf(spark):
-        return (deduped.writeStream.foreachBatch(state_dedup_sink(table)).option("checkpointLocation", checkpoint)
-                .queryName("dau_state_dedup").trigger(availableNow=True).start())
 
+def start_state_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str, delay: str,
+                      state_partitions: int, max_files: int | None = None) -> StreamingQuery:
+    records = stream_records(stream_session(spark, state_partitions), landing, max_files)
 
-def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    def sink(df: DataFrame, batch_id: int) -> None:
+        rows = df.select(*DAU_COLUMNS).persist()
+        try:
+            write_batch(rows, table, "dt", batch_id)
+            merge_parts(rows.sparkSession, table, "dt", days_of(rows), params.MERGE_EVERY)
+        finally:
+            rows.unpersist()
+
+    return (first_arrivals(start_logs(parse_logs(records)), delay).writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).queryName("dau_state_dedup")
+            .trigger(availableNow=True).start())
 
 
-def table_dedup_sink(spark: SparkSession, table: str):
+def table_dedup_sink(table: str, merge_every: int = params.MERGE_EVERY):
     """foreachBatch body: first row per (dt, mid) of the batch, minus keys the
-    table already holds from earlier batches, written as (dt, batch_id)."""
+    table already holds from earlier batches. The batch is parsed once."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        firsts = daily_active(df)
-        seen = _table_or_none(spark, table)
-        if seen is not None:
-            days = F.broadcast(firsts.select("dt").distinct())   # days of one batch: tiny
-            prior = (seen.where(F.col("batch_id") < batch_id)      # ignore own replayed output
-                     .join(days, "dt", "left_semi").select("dt", "mid"))
-            firsts = firsts.join(prior, ["dt", "mid"], "left_anti")
-        _write_batch(firsts.withColumn("batch_id", F.lit(batch_id)), table)
+        spark = df.sparkSession
+        firsts = daily_active(df).persist()
+        try:
+            days = days_of(firsts)
+            new = firsts
+            seen = read_parts(spark, table, "dt", days)
+            if seen is not None:   # a batch ignores its own replayed output
+                prior = seen.where(F.col("batch_id") < batch_id).select("dt", "mid")
+                new = firsts.join(prior, ["dt", "mid"], "left_anti")
+            write_batch(new, table, "dt", batch_id)
+            merge_parts(spark, table, "dt", days, merge_every)
+        finally:
+            firsts.unpersist()
     return sink
 
 
-def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
-    start = start_logs(parse_logs(stream_records(spark, landing)))
-    with stream_start_conf(spark):
-        return (start.writeStream.foreachBatch(table_dedup_sink(spark, table)).option("checkpointLocation", checkpoint)
-                .queryName("dau_table_dedup").trigger(availableNow=True).start())
+def start_table_dedup(spark: SparkSession, landing: str, table: str, checkpoint: str,
+                      state_partitions: int, max_files: int | None = None) -> StreamingQuery:
+    records = stream_records(stream_session(spark, state_partitions), landing, max_files)
+    return (start_logs(parse_logs(records)).writeStream.foreachBatch(table_dedup_sink(table))
+            .option("checkpointLocation", checkpoint).queryName("dau_table_dedup")
+            .trigger(availableNow=True).start())
+
+
+def daily_table(spark: SparkSession, table: str, days=None) -> DataFrame:
+    """The active-device table as of now (of the given days)."""
+    return read_parts(spark, table, "dt", days).select(*DAU_COLUMNS)
 
 
 def stream_keys(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table).select("dt", "mid")
+    """(dt, mid) keys that the stream itself has written, repairs left out."""
+    return read_parts(spark, table, "dt", repaired=False).select("dt", "mid")

@@ -2,144 +2,87 @@
 ever seen gets ``if_first_order='1'``. Inside a batch the earliest order by
 (create_time, id) is the first.
 
-Two implementations with the same output:
-
-``start_first_order`` (default, JVM only): ``foreachBatch`` computes the
-per-user minimum (combines map-side, so a user with a third of the batch
-costs no single task), anti-joins it with the user-state table, writes the
-flagged orders, then appends the new users to the state table. State rows
-carry the ``batch_id`` that wrote them and a batch only trusts rows of
-earlier batches, so a replayed batch recomputes the same flags and
-overwrites its own partitions. The state table is append-only, one
-partition per batch (compact it periodically).
-
-``start_first_order_pandas``: ``transformWithStateInPandas`` keyed by
-``user_id`` with a ``ValueState`` (RocksDB, no expiry). Rows of a key are
-streamed chunk by chunk, only the best candidate is held back. Measured at
-about 1 ms per key and batch (each state call is a round trip to the JVM),
-so it is the slow path; kept for deployments that want state local to the
-key owner instead of a table scan per batch."""
+``foreachBatch`` computes the per-user minimum (combines map-side, so a user
+with a third of the batch costs no single task), anti-joins it with the
+user-state table and appends the new users. State rows carry the ``batch_id``
+that wrote them and a batch only trusts rows of earlier batches, so a replayed
+batch recomputes the same flags and overwrites its own parts. The state is kept
+by bucket of the user (``sinks.parts``): a batch reads the buckets of its users,
+and merges keep the parts of a bucket bounded."""
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from daypulse.streaming.conf import stream_start_conf
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from daypulse import params
 from daypulse.operators import cdc
-from daypulse.operators.orders import first_orders
+from daypulse.operators.orders import enrich, first_orders
+from daypulse.sinks.parts import merge_parts, read_parts, write_batch
+from daypulse.sinks.upsert import bucket_of
 from daypulse.sources.files import stream_records
+from daypulse.streaming.conf import stream_session
 
-OUT = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("create_time", T.StringType()),
-    T.StructField("if_first_order", T.StringType()),
-])
-SEEN = T.StructType([T.StructField("first_id", T.LongType())])
-
-
-def _frame(pdf: pd.DataFrame, flag: str) -> pd.DataFrame:
-    return pd.DataFrame({"id": pdf["id"].astype("int64").values,
-                         "user_id": pdf["user_id"].astype("int64").values,
-                         "create_time": pdf["create_time"].values,
-                         "if_first_order": flag})
-
-
-class FirstOrderProcessor(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", SEEN)
-
-    def handleInputRows(self, key, rows, timerValues):
-        best = None
-        for pdf in rows:
-            if pdf.empty:
-                continue
-            order = pdf.sort_values(["create_time", "id"], kind="stable")
-            cand = order.iloc[[0]]
-            if best is None or (cand["create_time"].iloc[0], cand["id"].iloc[0]) < (
-                    best["create_time"].iloc[0], best["id"].iloc[0]):
-                if best is not None:
-                    yield _frame(best, "0")
-                best = cand
-                rest = order.iloc[1:]
-            else:
-                rest = order
-            if len(rest):
-                yield _frame(rest, "0")
-        if best is not None:
-            if self.seen.exists():
-                yield _frame(best, "0")
-            else:
-                self.seen.update((int(best["id"].iloc[0]),))
-                yield _frame(best, "1")
-
-    def close(self) -> None:
-        pass
-
-
-def _typed_order_stream(spark: SparkSession, landing: str) -> DataFrame:
-    rows = cdc.explode_rows(cdc.parse_envelopes(stream_records(spark, landing)))
-    return cdc.typed_orders(rows).select("id", "user_id", "create_time")
-
-
-def _state_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def flag_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_path: str) -> DataFrame:
-    """Flags for one batch against the state as of the previous batch.
-    Returns the flagged orders; the new users are appended to the state."""
-    firsts = first_orders(orders)
-    state = _state_or_none(spark, state_path)
-    if state is not None:
-        prior = state.where(F.col("batch_id") < batch_id).select("user_id")
-        firsts = firsts.join(prior, "user_id", "left_anti")
-    # cut the lineage that reads the state path before that path is written
-    new_users = firsts.select("user_id", "first_id").checkpoint(eager=True)
-    flagged = (orders.join(new_users.select(F.col("first_id").alias("id"), F.lit("1").alias("_f")), "id", "left")
-               .withColumn("if_first_order", F.coalesce("_f", F.lit("0"))).drop("_f"))
-    (new_users.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(state_path))
-    return flagged
-
-
-def start_first_order(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                      state_path: str) -> StreamingQuery:
-    orders = _typed_order_stream(spark, landing)
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        flagged = flag_batch(spark, df, batch_id, state_path)
-        (flagged.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
 
-    with stream_start_conf(spark):
-        return (orders.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-                .queryName("first_order").trigger(availableNow=True).start())
+def typed_order_stream(records: DataFrame) -> DataFrame:
+    rows = cdc.explode_rows(cdc.parse_envelopes(records))
+    return cdc.with_time_parts(cdc.typed_orders(rows))
 
 
-def start_first_order_pandas(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
-    # ship the processor by value: executors need not have this package installed
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    orders = _typed_order_stream(spark, landing)
-    flagged = orders.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=FirstOrderProcessor(), outputStructType=OUT,
-        outputMode="Append", timeMode="None")
-
+def flag_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_path: str,
+               buckets: int = params.UPSERT_BUCKETS, merge_every: int = params.MERGE_EVERY) -> DataFrame:
+    """Flags for one batch against the state as of the previous batch. The new
+    users are appended to the state; only a user with a first order enters it,
+    so one whose orders had no usable id can still get a flag later."""
+    firsts = first_orders(orders).where(F.col("first_id").isNotNull())
+    firsts = firsts.withColumn("bucket", bucket_of("user_id", buckets)).persist()
+    try:
+        touched = sorted(r.bucket for r in firsts.select("bucket").distinct().collect())
+        new_users = firsts
+        state = read_parts(spark, state_path, "bucket", touched)
+        if state is not None:
+            prior = state.where(F.col("batch_id") < batch_id).select("user_id")
+            new_users = firsts.join(prior, "user_id", "left_anti")
+        write_batch(new_users.repartition("bucket"), state_path, "bucket", batch_id)
+        merge_parts(spark, state_path, "bucket", touched, merge_every)
+    finally:
+        firsts.unpersist()
+    first = F.lit("0")
+    if (written := read_parts(spark, state_path, "bucket", touched)) is not None:
+        mine = written.where(F.col("batch_id") == batch_id).select(F.col("first_id").alias("id"), F.lit("1").alias("_f"))
+        orders, first = orders.join(mine, "id", "left"), F.coalesce("_f", F.lit("0"))
+    return orders.withColumn("if_first_order", first).drop("_f")
+
+
+def order_year():
+    """Folder of an order in the order table; orders without a date share one."""
+    return F.coalesce(F.substring("create_date", 1, 4), F.lit("none"))
+
+
+def order_sink(table: str, state_path: str, provinces: DataFrame | None = None, users: DataFrame | None = None):
+    """foreachBatch body over typed orders: flag, join province and user where
+    they are given, save the state and the orders. The batch is parsed once."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
-
-    with stream_start_conf(spark):
-        return (flagged.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-                .queryName("first_order_pandas").trigger(availableNow=True).start())
+        spark = df.sparkSession
+        orders = df.persist()
+        try:
+            flagged = flag_batch(spark, orders, batch_id, state_path)
+            if provinces is not None and users is not None:
+                flagged = enrich(flagged, provinces, users, orders)
+            write_batch(flagged.withColumn("year", order_year()), table, "year", batch_id)
+        finally:
+            orders.unpersist()
+    return sink
+
+
+def start_first_order(spark: SparkSession, landing: str, table: str, checkpoint: str, state_path: str,
+                      state_partitions: int, max_files: int | None = None, provinces: DataFrame | None = None,
+                      users: DataFrame | None = None) -> StreamingQuery:
+    records = stream_records(stream_session(spark, state_partitions), landing, max_files)
+    return (typed_order_stream(records).writeStream.foreachBatch(order_sink(table, state_path, provinces, users))
+            .option("checkpointLocation", checkpoint).queryName("first_order").trigger(availableNow=True).start())
+
+
+def order_table(spark: SparkSession, table: str) -> DataFrame:
+    return read_parts(spark, table, "year")

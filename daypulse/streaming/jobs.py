@@ -1,64 +1,100 @@
-"""Deployable stream jobs (T7): the same operators as the replayed queries,
-started with a processing-time trigger and left running.
+"""Deployable stream jobs (T7), left running with a processing-time trigger:
+active devices, order enrichment, change fan-out and the collector split.
 
-Source: a Kafka topic (``sources.kafka.read_records``) or the file twin.
-Every job writes its per-batch offset ranges to an audit table (S4): the
-checkpoint's commit log is the resume point (S2, S3), the audit table is the
-human-readable record of what each batch read."""
+Source: a Kafka topic (``sources.kafka.read_records``) or the file twin; topic
+sinks likewise (``sinks.topics``). The checkpoint's commit log is the resume
+point (S2, S3); the offset ranges of a batch are in the query's progress."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from daypulse.streaming.conf import stream_start_conf
 from pyspark.sql.streaming import StreamingQuery
 
+from daypulse.operators import cdc
 from daypulse.operators.cdc import offset_ranges
-from daypulse.operators.logs import parse_logs, start_logs
+from daypulse.operators.logs import parse_logs, quarantine, route_topic, start_logs
+from daypulse.sinks.parts import write_parts
+from daypulse.sinks.topics import TopicSink
 from daypulse.sources.files import stream_records
 from daypulse.sources.kafka import read_records
+from daypulse.streaming.conf import stream_session
+from daypulse.streaming.dau import table_dedup_sink
+from daypulse.streaming.first_order import order_sink, typed_order_stream
 
-
-def source(spark: SparkSession, *, bootstrap: str | None = None, topic: str | None = None,
-           landing: str | None = None, max_offsets: int | None = None) -> DataFrame:
-    """Kafka when ``bootstrap`` is given, else the landing folder.
-    ``max_offsets`` caps the records per micro-batch, which bounds every
-    per-batch side (e.g. the days of a batch) by configuration."""
-    if bootstrap:
-        return read_records(spark, bootstrap, topic or "", streaming=True, max_offsets=max_offsets)
-    return stream_records(spark, landing)
+Body = Callable[[DataFrame, int], None]
 
 
-def write_audit(batch: DataFrame, batch_id: int, audit_path: str) -> None:
-    (offset_ranges(batch, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(audit_path))
+def source(spark: SparkSession, state_partitions: int, *, bootstrap: str | None = None, topic: str | None = None,
+           landing: str | None = None, max_offsets: int | None = None, max_files: int | None = None) -> DataFrame:
+    """Kafka when ``bootstrap`` is given, else the landing folder, in a session
+    of its own. ``max_offsets`` and ``max_files`` cap a micro-batch."""
+    own = stream_session(spark, state_partitions)
+    if bootstrap:
+        return read_records(own, bootstrap, topic or "", streaming=True, max_offsets=max_offsets)
+    return stream_records(own, landing, max_files)
 
 
-def dau_job(spark: SparkSession, records: DataFrame, table: str, audit: str, checkpoint: str,
-            interval: str = "5 seconds") -> StreamingQuery:
-    """Active-device job: every ``interval`` the new records are parsed, the
-    first start log per (dt, mid) not yet in the table is written to partition
-    (dt, batch_id), and the batch's offset ranges go to the audit table.
-    The batch is persisted while it feeds both writes and released after."""
-    from daypulse.streaming.dau import table_dedup_sink
+def start_job(rows: DataFrame, body: Body, checkpoint: str, name: str, interval: str | None = "5 seconds") -> StreamingQuery:
+    """Runs ``body`` on each micro-batch every ``interval``; without one, over
+    all that is there, and ends."""
+    writer = rows.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint).queryName(name)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
 
-    dedup = table_dedup_sink(spark, table)
 
-    def body(df: DataFrame, batch_id: int) -> None:
+def once(body: Body) -> Body:
+    """The batch is read and parsed once however many outputs it feeds."""
+    def held(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
-            dedup(start_logs(parse_logs(df)), batch_id)
-            write_audit(df, batch_id, audit)
+            body(df, batch_id)
         finally:
             df.unpersist()
+    return held
+
+
+def write_audit(batch: DataFrame, batch_id: int, audit_path: str) -> None:
+    rows = offset_ranges(batch, F.lit(batch_id).cast("bigint")).drop("batch_id")
+    write_parts(rows, audit_path, "topic", f"b-{batch_id:012d}", batch_id)
 
-    with stream_start_conf(spark):
-        return (records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-                .queryName("dau_job").trigger(processingTime=interval).start())
 
+def dau_job(records: DataFrame, table: str, audit: str, checkpoint: str,
+            interval: str | None = "5 seconds") -> StreamingQuery:
+    """Active-device job: the first start log per (dt, mid) not yet in the table
+    is written, and the batch's offset ranges go to the audit table."""
+    dedup = table_dedup_sink(table)
 
-def console_preview(df: DataFrame, rows: int = 1000, interval: str = "5 seconds") -> StreamingQuery:
-    """Print sink for inspection (S9, L4): the first ``rows`` rows per batch."""
-    return (df.writeStream.format("console").option("numRows", rows).option("truncate", False)
-            .trigger(processingTime=interval).start())
+    def body(df: DataFrame, batch_id: int) -> None:
+        dedup(start_logs(parse_logs(df)), batch_id)
+        write_audit(df, batch_id, audit)
+
+    return start_job(records, once(body), checkpoint, "dau_job", interval)
+
+
+def order_job(records: DataFrame, table: str, state: str, provinces: DataFrame, users: DataFrame,
+              checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
+    """Order job: typed orders, time parts, first-order flag against the user
+    state, province and user merged; state and orders saved."""
+    return start_job(typed_order_stream(records), order_sink(table, state, provinces, users), checkpoint,
+                     "order_job", interval)
+
+
+def fan_out_job(records: DataFrame, sink: TopicSink, checkpoint: str,
+                interval: str | None = "5 seconds") -> StreamingQuery:
+    """Change fan-out: every changed row of every table as JSON to its topic."""
+    rows = cdc.routed(cdc.explode_rows(cdc.parse_envelopes(records)))
+    return start_job(rows, sink, checkpoint, "fan_out_job", interval)
+
+
+def log_split_job(records: DataFrame, sink: TopicSink, quarantine_path: str, checkpoint: str,
+                  interval: str | None = "5 seconds") -> StreamingQuery:
+    """Collector split: start logs and event logs to their topics, bad lines to
+    the quarantine with their reason."""
+    def body(df: DataFrame, batch_id: int) -> None:
+        sink(route_topic(df), batch_id)
+        write_parts(quarantine(df), quarantine_path, "reason", f"b-{batch_id:012d}", batch_id)
 
+    return start_job(parse_logs(records), once(body), checkpoint, "log_split_job", interval)

@@ -6,6 +6,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daypulse.functions.time import MS_PER_DAY
+from daypulse.operators.dedup import daily_active
+from daypulse.operators.logs import parse_logs, start_logs
+from daypulse.sinks.parts import write_parts
+
+
+def late_days(archive: DataFrame, delay_ms: int) -> list:
+    """Days that can have lost rows: a row is late only if it arrived more than
+    ``delay_ms`` after the start of its day, so other days need no recompute.
+    Few: the parse bounds ``ts`` by the arrival time."""
+    rows = start_logs(parse_logs(archive))
+    start = F.floor(F.col("ts") / F.lit(MS_PER_DAY)) * F.lit(MS_PER_DAY)
+    late = rows.where(F.unix_millis("arrival") - start > F.lit(delay_ms)).select("dt").distinct()
+    return sorted(r.dt for r in late.collect())
+
+
+def recompute(archive: DataFrame, days: list, max_ahead_days: int = 1, max_behind_days: int = 30) -> DataFrame:
+    """Active devices of ``days`` from the archive, read only for the arrival
+    days on which a log of those days can have come in."""
+    days_lit = [F.lit(d) for d in days]
+    first, last = min(days), max(days)
+    seen = archive.where(F.col("arrival_dt").between(F.date_sub(F.lit(first), max_ahead_days),
+                                                     F.date_add(F.lit(last), max_behind_days + 1)))
+    return daily_active(start_logs(parse_logs(seen)).where(F.col("dt").isin(*days_lit)))
+
 
 def reconcile(stream_keys: DataFrame, batch_keys: DataFrame) -> DataFrame:
     """``kept`` = the stream has the key; ``repaired`` = only the recompute
@@ -19,13 +44,14 @@ def reconcile(stream_keys: DataFrame, batch_keys: DataFrame) -> DataFrame:
     return j.select("dt", "mid", status.alias("status"))
 
 
-REPAIR_BATCH = -1   # partition of repaired rows; a re-run overwrites only it
+REPAIR_BATCH = -1
 
 
 def repair(table: str, batch_rows: DataFrame, stream_keys: DataFrame) -> None:
-    """Write the rows the stream missed into the daily table, partition
-    ``(dt, batch_id=-1)``. Later micro-batches treat them as prior keys, and
-    running the repair again rewrites the same partitions (idempotent)."""
+    """Write the rows the stream missed into the daily table, each day's part
+    ``r``. ``stream_keys`` are the stream's own (``dau.stream_keys``), without
+    earlier repairs: a later repair of a day therefore writes the earlier rows
+    again with the new ones, and any number of runs leave the same table. Later
+    micro-batches treat repaired rows as prior keys."""
     missing = batch_rows.join(stream_keys.select("dt", "mid"), ["dt", "mid"], "left_anti")
-    (missing.withColumn("batch_id", F.lit(REPAIR_BATCH)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").parquet(table))
+    write_parts(missing, table, "dt", "r", REPAIR_BATCH)

@@ -1,10 +1,7 @@
-"""Replay a record frame into a stream, one arrival window at a time.
+"""Replay a record frame into a stream, one arrival window per micro-batch.
 
-Each window is landed as its own folder, then the stream runs with
-``trigger(availableNow=True)`` from its checkpoint: the run picks up exactly
-the new files, in one micro-batch, and stops. So every window is also a
-restart from the checkpoint (offsets, state and watermark restored), which
-is the resume path of the reference's saved offsets."""
+All windows are landed first, in order; then the stream starts once with
+``trigger(availableNow=True)`` and takes one landed file per micro-batch."""
 
 from __future__ import annotations
 
@@ -14,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from daypulse.session import work_path
-from daypulse.sources.files import arrival_windows, land_window, persisted
+from daypulse.sources.files import land_windows
 
 StartFn = Callable[[str], StreamingQuery]
 
 
-def run_until_done(q: StreamingQuery, timeout_s: int) -> list[dict]:
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
+def run_until_done(q: StreamingQuery) -> list[dict]:
+    """Progress of an available-now query once it has read all there is."""
+    q.awaitTermination()
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"stream failed: {err}")
@@ -30,17 +26,11 @@ def run_until_done(q: StreamingQuery, timeout_s: int) -> list[dict]:
 
 
 def replay_windows(spark: SparkSession, records: DataFrame, window_ms: int, start: StartFn,
-                   timeout_s: int = 600, landing: str | None = None) -> list[dict]:
+                   landing: str | None = None) -> list[dict]:
+    """``start(landing)`` must read one file per trigger (``max_files=1``)."""
     landing = landing or work_path(spark, "landing")
-    recs = persisted(records)
-    progress: list[dict] = []
-    try:
-        for w in arrival_windows(recs, window_ms):
-            land_window(recs, landing, window_ms, w)
-            progress.extend(run_until_done(start(landing), timeout_s))
-    finally:
-        recs.unpersist()
-    return progress
+    land_windows(spark, records, landing, window_ms)
+    return run_until_done(start(landing))
 
 
 def rows_dropped_by_watermark(progress: list[dict]) -> int:

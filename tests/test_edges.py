@@ -5,7 +5,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from daypulse.functions.joins import bounded_broadcast
 from daypulse.functions.text import has_token, highlight, token_hits
 from daypulse.functions.time import time_string_parts
 from daypulse.operators import cdc
@@ -45,6 +44,68 @@ def test_content_split_and_quarantine(spark):
     assert reasons == {"malformed_json": 1, "missing_mid": 1, "missing_ts": 1}
 
 
+def arrived(spark, values, at):
+    rows = [(str(i), v, "app_log", 0, i, at) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, RECORD)
+
+
+def test_wrong_clocks_are_quarantined(spark):
+    at = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+    day = 86_400_000
+    stamps = {"ok": MIDNIGHT, "late": MIDNIGHT - 29 * day, "soon": MIDNIGHT + day, "far": MIDNIGHT + 400 * day,
+              "old": MIDNIGHT - 31 * day, "micro": MIDNIGHT * 1000, "huge": 2 ** 63 - 1, "neg": -1}
+    vals = [log(m, t, '"start":{"x":1},') for m, t in stamps.items()]
+    p = parse_logs(arrived(spark, vals, at))
+    assert {r.mid for r in p.where("reason is null").collect()} == {"ok", "late", "soon"}
+    assert {r.reason: r.n for r in quarantine_counts(p).collect()} == {"bad_ts": 5}
+    assert {r.dt for r in p.where("reason is not null").collect()} == {None}
+    # without an arrival time, years 1970 to 2100 pass
+    p = parse_logs(records(spark, vals))
+    assert {r.mid for r in p.where("reason = 'bad_ts'").collect()} == {"micro", "huge", "neg"}
+
+
+def test_odd_order_times_and_ids(spark):
+    from daypulse.operators.orders import first_orders
+    rows = [(5, 1, "2020-01-02 00:00:00"), (6, 1, "2020-01-02"), (7, 1, "garbage"), (8, 1, None),
+            (9, 2, None), (3, 2, "never"), (-4, 3, "1969-12-31 23:59:59"), (4, 3, "1969-12-31 23:59:59"),
+            (None, 4, "2020-01-01 00:00:00"), (1, None, "2020-01-01 00:00:00")]
+    orders = spark.createDataFrame(rows, "id long, user_id long, create_time string")
+    got = {r.user_id: r.first_id for r in first_orders(orders).collect()}
+    # midnight and the bare date tie: smaller id; no usable time: smallest id; ids may be negative
+    assert got == {1: 5, 2: 3, 3: -4}
+    flags = {r.id: r.if_first_order for r in first_order_flags(orders, None).collect()}
+    assert flags == {5: "1", 6: "0", 7: "0", 8: "0", 9: "0", 3: "1", -4: "1", 4: "0", None: "0", 1: "0"}
+
+
+def test_search_request(spark):
+    from daypulse.operators.search import request
+    turns = spark.createDataFrame(
+        [(1, 0, "system", "x"), (1, 1, "user", "the The"), (2, 0, "user", "the the the"), (3, 0, "system", "the"),
+         (4, 0, "system", "no"), (5, 0, "system", None)], "conv_id long, turn long, role string, text string")
+    got = [tuple(r) for r in request(turns, "the", "system").orderBy("conv_id").collect()]
+    assert got == [(1, 2, 1, "<em>the</em> <em>The</em>"), (3, 1, 0, "<em>the</em>")]
+
+
+def test_work_folder_needs_a_shared_place_off_local(spark, monkeypatch):
+    import pytest
+    from daypulse import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
+
+
 def test_midnight_day_and_hour(spark):
     vals = [log("a", MIDNIGHT - 1, '"start":{"x":1},'), log("a", MIDNIGHT, '"start":{"x":1},')]
     p = parse_logs(records(spark, vals)).orderBy("ts").collect()
@@ -69,8 +130,8 @@ def test_cdc_ddl_empty_several_and_quoted(spark):
     vals = [
         '{"table":"order_info","isDdl":true,"data":null}',
         '{"table":"order_info","data":[]}',
-        '{"table":"order_info","data":[{"id":"1","user_id":"7","final_total_amount":"12.50","create_time":"2020-09-21 09:32:24"},'
-        '{"id":"2","user_id":"x","final_total_amount":"1.5","create_time":"2020-09-21"},'
+        '{"table":"order_info","data":[{"id":"1","user_id":"7","final_total_amount":"12.50","create_time":"2021-03-14 09:26:53"},'
+        '{"id":"2","user_id":"x","final_total_amount":"1.5","create_time":"2021-03-14"},'
         '{"id":"3","user_id":"8","final_total_amount":null,"create_time":null}]}',
         'not json',
     ]
@@ -79,8 +140,8 @@ def test_cdc_ddl_empty_several_and_quoted(spark):
     assert [r.id for r in typed] == [1, 2, 3]
     assert typed[0].user_id == 7 and str(typed[0].final_total_amount) == "12.50"
     assert typed[1].user_id is None            # bad number -> null, not a failed batch
-    assert typed[0].create_date == "2020-09-21" and typed[0].create_hour == "09"
-    assert typed[1].create_date == "2020-09-21" and typed[1].create_hour is None
+    assert typed[0].create_date == "2021-03-14" and typed[0].create_hour == "09"
+    assert typed[1].create_date == "2021-03-14" and typed[1].create_hour is None
     assert typed[2].create_date is None and typed[2].create_hour is None
     routed = cdc.routed(rows).collect()
     assert {r.topic for r in routed} == {"ODS_ORDER_INFO"}
@@ -106,9 +167,9 @@ def test_two_first_orders_of_one_user_in_a_batch(spark):
 
 
 def test_time_string_parts_null_and_date_only(spark):
-    df = spark.createDataFrame([("2020-09-21 09:32:24",), ("2020-09-21",), (None,)], "s string")
+    df = spark.createDataFrame([("2021-03-14 09:26:53",), ("2021-03-14",), (None,)], "s string")
     d, h = time_string_parts(F.col("s"))
-    assert [tuple(r) for r in df.select(d, h).collect()] == [("2020-09-21", "09"), ("2020-09-21", None), (None, None)]
+    assert [tuple(r) for r in df.select(d, h).collect()] == [("2021-03-14", "09"), ("2021-03-14", None), (None, None)]
 
 
 def test_token_match_and_highlight(spark):
@@ -127,20 +188,6 @@ def test_nested_exists(spark):
     assert got == ["a"]
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = bounded_broadcast(small, 100)
-    unhinted = bounded_broadcast(big, 100)
-
-    def has_hint(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert has_hint(hinted)
-    assert not has_hint(unhinted)        # past the bound: AQE decides at run time
-    assert spark.range(100).join(unhinted, "id").count() == 100
-
-
 def test_keyset_page_continues_offset_page(spark):
     from daypulse.operators import sales as S
     from daypulse.sources.tables import read_table
