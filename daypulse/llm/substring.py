@@ -173,10 +173,27 @@ def unpacked(rows: pa.Table, key_type) -> tuple[np.ndarray, ...]:
     return tuple(map(np.concatenate, (number, keys, docs, places)))
 
 
-FOUND_SCHEMA = "doc_id bigint, places binary"
-
-
-def by_document(docs: np.ndarray, places: np.ndarray) -> pa.Table:
+FOUND_SCHEMA = "shard int, docs binary, runs binary, places binary"
+
+
+def found_rows(docs: np.ndarray, places: np.ndarray, shards: int) -> pa.Table:
+    """Found places on the way back to their documents: one row per shard of
+    documents, however many documents a bucket has found."""
+    shard = (_mix(docs.view(np.uint64)) % _U(shards)).astype(np.int32)
+    rows = packed(shard, np.zeros(len(docs), np.uint32), docs, places, True, np.uint32)
+    names = ("docs", "runs", "places")
+    return pa.Table.from_pylist(
+        [{"shard": r["bucket"], **{n: r[n] for n in names}} for r in rows],
+        schema=pa.schema([("shard", pa.int32()), *((n, pa.binary()) for n in names)]))
+
+
+def by_document(rows: pa.Table) -> pa.Table:
+    """All found places of the documents of a shard: one row per document."""
+    docs, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row in rows.to_pylist():
+        docs.append(np.repeat(np.frombuffer(row["docs"], np.int64), np.frombuffer(row["runs"], np.uint32)))
+        places.append(np.cumsum(np.frombuffer(row["places"], np.int32), dtype=np.int64))
+    docs, places = np.concatenate(docs), np.concatenate(places)
     order = np.lexsort((places, docs))
     docs, places = docs[order], places[order].astype(np.int32)
     edges = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1], [True]])) if len(docs) else np.zeros(1, int)
@@ -220,7 +237,7 @@ def seed_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(scan, MEET_SCHEMA)
 
 
-def meet_seeds(rows: pa.Table) -> pa.Table:
+def meet_seeds(rows: pa.Table, shards: int) -> pa.Table:
     """Places of seeds: anchors that two chunks sent, or that a chunk settled."""
     settled = rows.column("settled").to_numpy()
     number, keys, docs, places = unpacked(rows, np.uint32)
@@ -232,7 +249,7 @@ def meet_seeds(rows: pa.Table) -> pa.Table:
     lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
     several = np.bincount(group, number != number[lead][group], minlength=len(lead)) > 0
     mine = several[group] if len(group) else np.zeros(0, bool)
-    return by_document(np.concatenate([docs_known, docs[mine]]), np.concatenate([places_known, places[mine]]))
+    return found_rows(np.concatenate([docs_known, docs[mine]]), np.concatenate([places_known, places[mine]]), shards)
 
 
 def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
@@ -244,7 +261,7 @@ def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) ->
             keys, names, places, shards = [], [], [], []
             for row, hashes in hashed(rows, length):
                 n = len(hashes) - length + 1
-                seeds = np.concatenate([np.frombuffer(p, np.int32) for p in row[2]])
+                seeds = np.frombuffer(row[2], np.int32)
                 open_ = np.zeros(len(hashes) + 2, np.int32)
                 seeds = seeds[seeds < len(hashes)]
                 np.add.at(open_, np.maximum(seeds - (length - gram), 0), 1)
@@ -271,7 +288,7 @@ def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) ->
     return candidates.select("doc_id", "text", "places").mapInArrow(scan, MEET_SCHEMA)
 
 
-def meet_windows(rows: pa.Table) -> pa.Table:
+def meet_windows(rows: pa.Table, shards: int) -> pa.Table:
     """Places of windows that also start in a document with a smaller id."""
     settled = rows.column("settled").to_numpy()
     number, keys, docs, places = unpacked(rows, np.uint64)
@@ -282,12 +299,17 @@ def meet_windows(rows: pa.Table) -> pa.Table:
     docs, places = docs[order], places[order]
     lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
     later = docs != docs[lead][group] if len(group) else np.zeros(0, bool)
-    return by_document(np.concatenate([docs_known, docs[later]]), np.concatenate([places_known, places[later]]))
+    return found_rows(np.concatenate([docs_known, docs[later]]), np.concatenate([places_known, places[later]]), shards)
+
 
+def meet(rows: DataFrame, how, buckets: int) -> DataFrame:
+    """``doc_id, places`` (sorted 32-bit integers) of what the entries' meeting
+    finds: over buckets of keys, then back over shards of documents."""
+    def one(bucket: pa.Table) -> pa.Table:
+        return how(bucket, buckets)
 
-def per_document(found: DataFrame) -> DataFrame:
-    """``doc_id, places``: at most one array per bucket and document."""
-    return found.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    return (rows.groupBy("bucket").applyInArrow(one, FOUND_SCHEMA)
+                .groupBy("shard").applyInArrow(by_document, "doc_id bigint, places binary"))
 
 
 def repeated_windows(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
@@ -295,10 +317,9 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
     """``doc_id, places``: starts of the windows of ``length`` words that also
     start in a document with a smaller id. Rows without an id take no part."""
     buckets = shuffle_tasks(spark)
-    seeds = seed_rows(docs, buckets, length, gram).groupBy("bucket").applyInArrow(meet_seeds, FOUND_SCHEMA)
-    candidates = docs.select("doc_id", "text").join(per_document(seeds), "doc_id")
-    windows = window_rows(candidates, buckets, length, gram)
-    return per_document(windows.groupBy("bucket").applyInArrow(meet_windows, FOUND_SCHEMA))
+    seeds = meet(seed_rows(docs, buckets, length, gram), meet_seeds, buckets)
+    candidates = docs.select("doc_id", "text").join(seeds, "doc_id")
+    return meet(window_rows(candidates, buckets, length, gram), meet_windows, buckets)
 
 
 CUT_SCHEMA = ("doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,stop:int>>, "
@@ -325,7 +346,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
                 kept, spans = words, []
                 if found:
                     change = np.zeros(len(words) + 1, np.int32)
-                    starts = np.unique(np.concatenate([np.frombuffer(p, np.int32) for p in found]))
+                    starts = np.unique(np.frombuffer(found, np.int32))
                     starts = starts[starts + length <= len(words)]
                     change[starts] += 1
                     change[starts + length] -= 1
