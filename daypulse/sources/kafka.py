@@ -1,7 +1,7 @@
-"""Kafka source and sink, configuration-driven (S1, S2, S5).
+"""Kafka source, configuration-driven (S1, S2); the sink is in ``sinks.topics``.
 
 Not exercised here: the image has no Kafka connector and no network. The
-file twin in ``sources.files`` yields and accepts the same columns."""
+file twin in ``sources.files`` yields the same columns."""
 
 from __future__ import annotations
 
@@ -31,9 +31,3 @@ def read_records(spark: SparkSession, bootstrap: str, topic: str, *, streaming:
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"),
                            "topic", "partition", "offset", "timestamp")
 
-
-def write_records(df: DataFrame, bootstrap: str, checkpoint: str):
-    """Per-row topic sink: ``df`` carries ``topic``, ``key`` and ``value``."""
-    return (df.select("topic", "key", "value").writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("checkpointLocation", checkpoint).start())

@@ -89,6 +89,12 @@ def fan_out_job(records: DataFrame, sink: TopicSink, checkpoint: str,
     return start_job(rows, sink, checkpoint, "fan_out_job", interval)
 
 
+def console_preview(rows: DataFrame, n: int = 1000, interval: str = "5 seconds") -> StreamingQuery:
+    """Print sink for inspection (S9, L4): the first ``n`` rows of each batch."""
+    return (rows.writeStream.format("console").option("numRows", n).option("truncate", False)
+            .trigger(processingTime=interval).start())
+
+
 def log_split_job(records: DataFrame, sink: TopicSink, quarantine_path: str, checkpoint: str,
                   interval: str | None = "5 seconds") -> StreamingQuery:
     """Collector split: start logs and event logs to their topics, bad lines to
