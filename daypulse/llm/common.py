@@ -32,6 +32,12 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, ``row``: whatever their names, they
+    cannot clash with those that an operator adds. ``select("row.*")`` undoes it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

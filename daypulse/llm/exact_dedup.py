@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import SPACE_RE, saved, text_or_empty
+from daypulse.llm.common import SPACE_RE, saved, text_or_empty, whole_row
 
 SLOTS_PER_SHARD = 50_000
 GAMMA, LEVELS = 2.0, 40
@@ -17,7 +17,7 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def digested(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_chars_text, digest`` of every row; null text counts as empty.
+    """``doc_id, n_points, digest`` of every row; null text counts as empty.
     The digest is SHA-256 over the text without its white space."""
     bare = F.regexp_replace(text_or_empty(), SPACE_RE, "")
     return docs.select("doc_id", F.length(text_or_empty()).alias("n_points"),
@@ -201,14 +201,12 @@ def dedup(spark: SparkSession, docs: DataFrame, slots_per_shard: int = SLOTS_PER
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``. The join
     keys name single rows, so no group of copies meets in one task."""
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    keys = ["_digest", "_name", "_points"]
-    kept = dedup(spark, docs).where("kept").select(
-        F.col("digest").alias("_digest"), name.alias("_name"), F.col("n_points").alias("_points"))
+    keys = ["digest", "name", "n_points"]
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("name")
+    kept = dedup(spark, docs).where("kept").select("digest", name, "n_points")
     bare = F.unhex(F.sha2(F.regexp_replace(text_or_empty(), SPACE_RE, ""), 256))
-    marked = (docs.withColumn("_digest", bare).withColumn("_name", name)
-                  .withColumn("_points", F.length(text_or_empty())))
-    return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    marked = docs.select(whole_row(docs), bare.alias("digest"), name, F.length(text_or_empty()).alias("n_points"))
+    return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import WORD_RE, saved, text_or_empty
+from daypulse.llm.common import WORD_RE, saved, text_or_empty, whole_row
 
 MAX_REPEATS = 3
 SEED = "mix-1"
@@ -57,35 +57,32 @@ def chance(seed: str, doc_id: str) -> Column:
 
 
 def copies(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """``docs`` with its columns plus ``_size, _source_size, _target, _copies``.
+    """``row`` (all columns of ``docs``), ``doc_id, size, source_size, target, copies``.
 
-    ``_copies`` is floor(rate) plus one Bernoulli copy whose chance is the
+    ``copies`` is floor(rate) plus one Bernoulli copy whose chance is the
     fraction. Rows that repeat a doc_id share its draw. The rates are written
     once, so the planner knows their size: a small table is broadcast by its
     own threshold, a large one is joined by shuffle."""
     rates = saved(spark, source_rates(docs), "mix-rates").select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), F.col("rate").alias("_rate"))
-    whole = F.floor("_rate")
-    extra = (chance(seed, "doc_id") < F.col("_rate") - whole).cast("long")
-    return (docs.join(rates, docs["source"].eqNullSafe(rates["_source"]))
-                .withColumn("_copies", whole + extra).drop("_source", "_rate"))
+        F.col("source").alias("of"), "source_size", "target", "rate")
+    rows = docs.select(whole_row(docs), "doc_id", "source", size_of().alias("size"))
+    whole = F.floor("rate")
+    extra = (chance(seed, "doc_id") < F.col("rate") - whole).cast("long")
+    return rows.join(rates, rows["source"].eqNullSafe(rates["of"])).select(
+        "row", "doc_id", "size", "source_size", "target", (whole + extra).alias("copies"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with the
     columns of ``docs``. Copies of a row are equal rows."""
-    many = copies(spark, docs, seed).where("_copies > 0")
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-                           ).select(*docs.columns)
+    many = copies(spark, docs, seed).where("copies > 0")
+    return many.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op9_mix_sources(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """What the mix takes of every document: taken = copies times size."""
-    cut = copies(spark, docs.select("doc_id", "source", "text"))
-    return cut.select("doc_id", size_of().alias("size"), F.col("_source_size").alias("source_size"),
-                      F.col("_target").alias("target"),
-                      (F.col("_copies") * size_of()).cast("long").alias("taken"))
+    return copies(spark, docs).select("doc_id", "size", "source_size", "target",
+                                      (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 OP9_SQL = r"""

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import saved
+from daypulse.llm.common import saved, text_or_empty, whole_row
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 #: Fingerprints (bounded, by a hashed order) that only choose vantage points.
@@ -40,17 +40,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def text_hash():
+    return F.xxhash64(text_or_empty()).alias("text_hash")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) of every row."""
+    """``doc_id, text_hash, fp`` (signed 64 bits) of every row."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")),
                               np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(fps.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(), "text").mapInArrow(
+        scan, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 # -- vantage-point trees ------------------------------------------------------
@@ -202,7 +208,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
 def near_groups(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED,
                 max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row: the smallest doc_id reachable
+    """``doc_id, text_hash, fp, label, component_id`` of every row: ``label`` is
+    the smallest fingerprint and ``component_id`` the smallest doc_id reachable
     over fingerprints at most ``max_bits`` apart.
 
     Null and empty texts have fingerprint zero and are linked like any other. A
@@ -215,18 +222,19 @@ def near_groups(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, se
         "fp", "first_id", F.coalesce("label", "fp").alias("label"))
     named = saved(spark, named, "simhash-labels")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    names = named.join(least, "label").select("fp", "component_id")
-    return rows.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = named.join(least, "label").select("fp", "label", "component_id")
+    return rows.join(names, "fp").select("doc_id", "text_hash", "fp", "label", "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per component, the one with the smallest id, with the
-    columns of ``docs``."""
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    stay = near_groups(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.select(name.alias("_name")).distinct()
-    return (docs.withColumn("_name", name).join(stay, "_name", "left_semi")
-                .dropDuplicates(["_name"]).select(*docs.columns))
+    """One row of ``docs`` per component, the one with the smallest id (null
+    last), with the columns of ``docs``."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("name")
+    stay = near_groups(spark, docs).groupBy("label").agg(first).select("first.*").select(name, "text_hash")
+    marked = docs.select(whole_row(docs), name, text_hash())
+    return (marked.join(stay, ["name", "text_hash"], "left_semi")
+                  .dropDuplicates(["name", "text_hash"]).select("row.*"))
 
 
 def op5_simhash(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -209,11 +209,23 @@ def test_pipeline_stages_against_brute_force(spark):
 
 def test_stages_take_extra_columns_and_nulls(spark):
     from pyspark.sql import functions as F
-    odd = frame(spark, [(i, t) for i, t in EDGE if i is not None or t]).withColumns(
-        {c: F.lit(1) for c in ("_copies", "score", "label", "fp", "digest", "rank", "target", "n", "kept")})
-    for _, stage in corpus_pipeline.STAGES:
+    extra = ("row", "name", "copies", "score", "label", "fp", "digest", "rank", "target", "n", "kept", "size", "of",
+             "text_hash", "n_points", "source_size", "_part")
+    odd = frame(spark, [*EDGE, (None, "no id either"), (None, "no id")]).withColumns(
+        {c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in extra})
+    for name, stage in corpus_pipeline.STAGES:
         for df in (odd, odd.limit(0)):
             out = stage(spark, df, SF_SMALL)
+            rows = out.collect()
             if stage is not corpus_pipeline.packed:
                 assert out.columns == odd.columns
-            out.collect()
+                assert all(r[c] == f"{c}{'-' if r.doc_id is None else r.doc_id}" for r in rows for c in extra)
+    bare = {re.sub(r"[\x20\x09-\x0D]", "", t or "") for _, t in EDGE} | {"noideither"}
+    kept = corpus_pipeline.without_copies(spark, odd, SF_SMALL).collect()
+    assert len(kept) == len(bare)
+    near = corpus_pipeline.without_near_copies(spark, odd, SF_SMALL).collect()
+    rows = [*EDGE, (None, "no id either"), (None, "no id")]
+    fps = [slow_fingerprint(t) for _, t in rows]
+    # one row per component, also where no row of it has an id
+    roots = {min(j for j in range(len(rows)) if bin(fps[j] ^ f).count("1") <= 2) for f in fps}
+    assert len(near) == len(roots)
