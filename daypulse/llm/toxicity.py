@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import saved, text_or_empty
+from daypulse.llm.common import saved, text_or_empty, whole_row
 from daypulse.llm.simhash import Links
 
 #: Bound on the labelled rows the classifier is fitted on (smallest hashes first).
@@ -353,32 +353,35 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
              .where(F.col("n") >= least).collect()}
     other = {r["feature"]: r["n"] for r in feature_counts(
         rows.where("toxic <> 1"), decoder, frozenset(toxic)).collect()} if toxic else {}
-    # a beginning says more than its words only if several words share it
-    single: dict[str, int] = {}
+    # a beginning says more than its longest words or beginnings only if several
+    # share it: "mor" adds nothing to "moron", "lost" nothing to "lostra"
+    longer: dict[str, float] = {}
     for f, n in toxic.items():
-        if f[0] == "=":
-            for k in PREFIXES:
-                single[f[1:k + 1]] = max(n, single.get(f[1:k + 1], 0))
-    toxic = {f: n for f, n in toxic.items() if f[0] == "=" or n > 1.3 * single.get(f, 0)}
+        for k in PREFIXES:
+            begin, weight = (f[1:k + 1], 1.3 * n) if f[0] == "=" else (f[:k], 1.1 * n)
+            if f[0] == "=" or k < len(f):
+                longer[begin] = max(weight, longer.get(begin, 0))
+    toxic = {f: n for f, n in toxic.items() if f[0] == "=" or n > longer.get(f, 0)}
     bounds = {f: lower_bound(n, n + other.get(f, 0)) for f, n in toxic.items()}
     return Model(decoder, {f: s for f, s in bounds.items() if s >= MIN_PRECISION}, prior)
 
 
-def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
-    """``docs`` with a score for the whole text of every row."""
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``score`` for the whole text of every row."""
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([model.score(t) for t in part], dtype="float64")
 
-    return docs.withColumn(out, score(text_or_empty()))
+    return docs.withColumn("score", score(text_or_empty()))
 
 
 def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns."""
     model = fit(spark, docs, labels)
-    return scored(docs, model, "_score").where(F.col("_score") < THRESHOLD).drop("_score")
+    rows = docs.select(whole_row(docs), "text")
+    return scored(rows, model).where(F.col("score") < THRESHOLD).select("row.*")
 
 
 def op3_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
