@@ -34,7 +34,8 @@ BIT = {name: 1 << k for k, (name, _) in enumerate(RULES)}
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("few_words", "repeated_windows"),
     "v1": ("few_words", "repeated_windows", "symbols"),
-    "v2": ("few_words", "repeated_windows", "symbols", "upper_case", "duplicate_lines"),
+    "v2": ("few_words", "repeated_windows", "symbols", "upper_case"),
+    "strict": ("few_words", "repeated_windows", "symbols", "upper_case", "duplicate_lines", "long_words"),
 }
 CURRENT = "v2"
 
@@ -139,7 +140,7 @@ m AS (
     (length(t) - length(regexp_replace(t, '[A-ZÀ-ÖØ-Þ]', '', 'g')))::BIGINT AS n_upper
   FROM d),
 l AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 win AS (
@@ -149,12 +150,11 @@ rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k)
 cov AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
   FROM rep, (SELECT unnest(range(0, 5)) AS o) GROUP BY doc_id),
 j AS (
-  SELECT m.*, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+  SELECT m.*, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM m LEFT JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM j)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 40 * word_chars
-       OR 100 * n_dup_lines > 30 * n_lines) AS kept
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 40 * word_chars) AS kept
 FROM b
 """
