@@ -17,7 +17,7 @@ def items(docs: DataFrame) -> DataFrame:
     text = text_or_empty()
     return docs.select(
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("link"))
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("link"))
 
 
 def home(n_shards: int) -> Column:
@@ -95,11 +95,10 @@ def shard(spark: SparkSession, docs: DataFrame, n_shards: int = N_SHARDS,
     rows = saved(spark, items(docs).withColumn("home", home(n_shards)), "shard-items")
     total = rows.count()
     quota = saved(spark, quotas(spark, total, n_shards), "shard-quota")
-    groups = rows.groupBy("link").agg(F.count("*").alias("group_size")).where("group_size > 1")
-    groups = saved(spark, groups, "shard-groups")
-    linked = rows.join(groups, "link")
-    mass = linked.groupBy("link", F.col("home").alias("shard")).agg(F.count("*").alias("n"))
-    mass = saved(spark, mass, "shard-mass")
+    # counts per text and shard come first, so that no later step meets the rows of a text
+    mass = saved(spark, rows.groupBy("link", F.col("home").alias("shard")).agg(F.count("*").alias("n")), "shard-home")
+    linked = mass.groupBy("link").agg(F.sum("n").alias("size")).where("size > 1").select("link")
+    mass = saved(spark, mass.join(linked, "link"), "shard-mass")
     for k in range(rounds):
         mass = saved(spark, one_round(mass, quota, k, buckets), f"shard-mass-{k}")
 
@@ -114,13 +113,11 @@ def shard(spark: SparkSession, docs: DataFrame, n_shards: int = N_SHARDS,
     spans = spans.groupBy("link").agg(F.sort_array(F.collect_list(
         F.struct("until", "shard"))).alias("spans"))  # at most n_shards per group
     order = ["doc_id", "text_crc32"]
-    in_group = ranked(linked.select("doc_id", "size", "text_crc32", "link"), ["link"], order,
-                      "nth", buckets)
+    in_group = ranked(rows.drop("home"), ["link"], order, "nth", buckets)
+    # null: rows that nothing links, and those beyond the quota
     placed = in_group.join(spans, "link", "left").withColumn(
         "shard", F.expr("get(filter(spans, s -> nth < s.until), 0).shard")).drop("spans", "nth")
-    free = rows.join(groups, "link", "left_anti").select(
-        "doc_id", "size", "text_crc32", "link").withColumn("shard", F.lit(None).cast("int"))
-    both = saved(spark, placed.unionByName(free), "shard-both")
+    both = saved(spark, placed, "shard-both")
 
     taken = {r["shard"]: r["n"] for r in both.where("shard is not null").groupBy("shard").agg(
         F.count("*").alias("n")).collect()}
