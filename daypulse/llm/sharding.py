@@ -58,6 +58,7 @@ def one_round(mass: DataFrame, quota: DataFrame, round_no: int, buckets: int) ->
     load = mass.groupBy("shard").agg(F.sum("n").alias("load"))
     room = quota.join(load, "shard", "left").select(
         "shard", F.greatest(F.col("quota") - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
+    room = F.broadcast(room)  # one row per shard
     seen = mass.join(room, "shard")
     tie = F.xxhash64("link", "shard", F.lit(round_no))
     # a shard without room can still be the best for the rows that are in it
@@ -103,7 +104,7 @@ def shard(spark: SparkSession, docs: DataFrame, n_shards: int = N_SHARDS,
         mass = saved(spark, one_round(mass, quota, k, buckets), f"shard-mass-{k}")
 
     # cut back shards whose linked rows alone pass the quota
-    over = running_before(mass, ["shard"], ["link"], "n", "before", buckets).join(quota, "shard")
+    over = running_before(mass, ["shard"], ["link"], "n", "before", buckets).join(F.broadcast(quota), "shard")
     mass = over.select("link", "shard", F.greatest(F.least(
         F.col("n"), F.col("quota") - F.col("before")), F.lit(0)).alias("n")).where("n > 0")
     mass = saved(spark, mass, "shard-placed")
