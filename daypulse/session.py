@@ -65,9 +65,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _work_root(spark: SparkSession) -> str:
+    return "/".join([checkpoint_root(spark), "daypulse", spark.sparkContext.applicationId])
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder (one per run, never reused)."""
-    return "/".join([checkpoint_root(spark), "daypulse", *parts, uuid.uuid4().hex])
+    return "/".join([_work_root(spark), *parts, uuid.uuid4().hex])
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what this application has written under the work folder. Results
+    are lazy and read from there: call it once they have been stored."""
+    delete_path(spark, _work_root(spark))
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -246,3 +246,9 @@ def test_one_pass_kpi_equals_two_aggregates(spark):
     two = sorted(tuple(r) for r in kpi_total(daily_active_keys(start_logs(logs)), good_logs(logs),
                                             params.LOG_DAY).collect())
     assert one == two
+
+
+def test_work_folder_is_the_applications_own(spark):
+    from daypulse.session import path_exists, work_path
+    a, b = work_path(spark, "x"), work_path(spark, "x")
+    assert a != b and spark.sparkContext.applicationId in a and not path_exists(spark, a)
