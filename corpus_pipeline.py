@@ -7,32 +7,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daypulse.llm import exact_dedup, mixing, packing, simhash, toxicity
-from daypulse.llm.common import documents, saved, table
+from daypulse.llm.common import documents, saved, table, text_batches
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
-    return toxicity.reject(spark, docs, table(spark, sf_dir, "labels"))
+    return toxicity.reject(text_batches(spark), docs, table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return exact_dedup.keep_one(spark, docs)
+    return exact_dedup.keep_one(text_batches(spark), docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
-    return simhash.keep_one(spark, docs)
+    return simhash.keep_one(text_batches(spark), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; copies are equal rows."""
-    return mixing.mix(spark, docs)
+    return mixing.mix(text_batches(spark), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place."""
-    return packing.pack_documents(spark, docs)
+    return packing.pack_documents(text_batches(spark), docs)
 
 
 STAGES = [

@@ -12,6 +12,19 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
+#: Whole texts travel to Python in batches of this many rows; Spark's default of
+#: 10,000 suits narrow rows and holds hundreds of MB of text per task.
+BATCH_ROWS = 1_000
+
+
+def text_batches(spark: SparkSession) -> SparkSession:
+    """The session with batches of BATCH_ROWS, unless its user has set a size."""
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -8,23 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daypulse.llm import (
     bitpack, chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, toxicity)
-from daypulse.llm.common import documents, table
+from daypulse.llm.common import documents, table, text_batches
 
 
 def _over_documents(operator: Callable[[SparkSession, DataFrame], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return operator(spark, documents(spark, sf_dir))
+        return operator(text_batches(spark), documents(spark, sf_dir))
 
     run.__name__, run.__doc__ = operator.__name__, operator.__doc__
     return run
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.op1_chat_formatting(spark, table(spark, sf_dir, "conversations"))
+    return chat.op1_chat_formatting(text_batches(spark), table(spark, sf_dir, "conversations"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.op3_toxicity(spark, documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return toxicity.op3_toxicity(text_batches(spark), documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
