@@ -16,7 +16,7 @@ from daypulse.llm.common import saved, text_or_empty, whole_row
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 #: Fingerprints (bounded, by a hashed order) that only choose vantage points.
 TREE_SAMPLE = 50_000
-SHARD_POINTS = 16_384
+SHARD_POINTS = 4_096
 BRUTE_POINTS = 1_024
 
 
