@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import defaultdict
 
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+import __spark_entry__ as E
 import corpus_pipeline
 from daypulse.llm import chat, mixing, packing, substring, toxicity
 from daypulse.llm.queries import ORACLE, QUERIES
@@ -32,6 +34,20 @@ def test_query_matches_sql(spark, duck, name):
     assert digest(df.columns, rows)[0] == digest(columns, want)[0]
 
 
+def test_every_operator_and_the_pipeline_are_registered():
+    names = set(E.queries())
+    assert {"pipeline"} | set(QUERIES) <= names and set(ORACLE) <= set(E.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+
+
+def test_an_error_inside_the_subpackage_is_raised(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith("daypulse.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    with pytest.raises(ModuleNotFoundError):
+        E.queries()
+
+
 # -- chat ----------------------------------------------------------------------
 
 def test_escape_is_exact():
