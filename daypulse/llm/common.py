@@ -45,6 +45,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def hashed_sample(df: DataFrame, keys: list[str], bound: int, total: int) -> DataFrame:
+    """At most ``bound`` of the ``total`` rows, those with the smallest hashes of
+    ``keys``. Rows whose hash is surely too large go first, so that no task sends
+    more than its share of the sample."""
+    share = min(1.0, 1.2 * (bound + 1_000) / max(1, total))
+    few = df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    return few.orderBy(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)), *keys).limit(bound)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, ``row``: whatever their names, they
     cannot clash with those that an operator adds. ``select("row.*")`` undoes it."""

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import saved, text_or_empty, whole_row
+from daypulse.llm.common import hashed_sample, saved, text_or_empty, whole_row
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 #: Fingerprints (bounded, by a hashed order) that only choose vantage points.
@@ -157,7 +157,7 @@ def near_links(spark: SparkSession, points: DataFrame, reach: int = MAX_BITS,
     """``a, b``: links that connect distinct fingerprints ``fp`` exactly as all
     pairs at most ``reach`` bits apart do, at most one per point and shard."""
     total = points.count()
-    sample = points.orderBy(F.xxhash64("fp")).limit(tree_sample).collect()
+    sample = hashed_sample(points, ["fp"], tree_sample, total).collect()
     sample = np.array([r["fp"] for r in sample], np.int64).view(np.uint64)
     tree = top_tree(sample, total, reach, shard_points)
 
