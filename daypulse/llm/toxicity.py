@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import saved, text_or_empty, whole_row
+from daypulse.llm.common import hashed_sample, saved, text_or_empty, whole_row
 from daypulse.llm.simhash import Links
 
 #: Bound on the labelled rows the classifier is fitted on (smallest hashes first).
@@ -26,6 +26,8 @@ THRESHOLD = 0.7
 #: One word rejects a text only at this precision; weaker words must add up to it.
 SURE = 0.9
 PREFIXES = range(3, 8)
+#: Longer tokens are parted at their marks, and what is still longer is read in
+#: overlapping windows.
 MAX_TOKEN = 64
 
 # -- channel (fixed values: what a writer may put for a letter) ----------------
@@ -44,6 +46,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 EDGES = ".,;:?\"'()[]{}<>&%*#!|-_~/\\`^="
 _SPACED = re.compile(r"(?<![^\W_])[a-z0-9@$!|+](?:[ .\-_*~/]{1,2}[a-z0-9@$!|+](?![^\W_])){3,}")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_TWICE = re.compile(r"([^\W\d_])\1+")
 
 # -- character language model --------------------------------------------------
 # Symbols: 0 word boundary, 1..26 a to z, 27 any other letter.
@@ -152,9 +155,10 @@ class Decoder:
             paths = after
         ends = [(cost + (self.cost[a][b][0] if b else 0.0), text) for (a, b), (cost, text) in paths.items()]
         found = min(ends)[1].strip() if ends else ""
-        if len(self.known) > 200_000:
-            self.known.clear()
-        self.known[token] = found
+        if len(token) <= MAX_TOKEN:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            self.known[token] = found
         return found
 
 
@@ -184,7 +188,7 @@ def disguised(low: str) -> list[str]:
                 out.append(w.strip(".,;:?\"'"))
         elif len(bare) > MAX_TOKEN:
             # a chain such as a.b.c or a path: its parts stand for themselves
-            out += [p for p in re.split(r"[^\w@$!|+€£]+", bare) if 3 <= len(p) <= MAX_TOKEN and not p.isalpha()]
+            out += [p for p in re.split(r"[^\w@$!|+€£]+", bare) if len(p) >= 3 and not p.isalpha()]
     out += [m.group() for m in _SPACED.finditer(low)]
     return out
 
@@ -207,14 +211,26 @@ def restore(text: str | None, decoder: Decoder) -> str:
     return low
 
 
-def readings(low: str, decoder: Decoder) -> tuple[set[str], list[str]]:
+def squeeze(word: str) -> str:
+    return _TWICE.sub(r"\1", word)
+
+
+def readings(low: str, decoder: Decoder, squeezed: dict[str, str] | None = None) -> tuple[set[str], list[str]]:
     """Words of the restored text: the plain ones with those its disguised
-    tokens decode to; apart, what spaced letters spell without their gaps."""
+    tokens decode to; apart, what spaced letters spell without their gaps.
+    ``squeezed`` names known words by their form without doubled letters. These
+    are common, so a plain word that has some is decoded only if it is known
+    without them; a disguised token stands for a known word of its form."""
     words, spelled = set(WORDS.findall(low)), []
+    if squeezed:
+        for w in [w for w in words if _TWICE.search(w) and squeeze(w) in squeezed]:
+            words.add(decoder.decode(w))
     for token in disguised(low):
         for p in pieces(token):
             found = WORDS.findall(decoder.decode(p))
             words.update(found)
+            if squeezed:
+                words.update(squeezed[squeeze(w)] for w in found if squeeze(w) in squeezed)
             if len(p) >= 7 and p[1] in SEPARATORS and p[3] in SEPARATORS:
                 spelled.append("".join(found))
     return words, spelled
@@ -254,7 +270,8 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound
     """At most ``bound`` labelled rows that are not held out, one per group of
     near copies, so that a text copied a thousand times counts once."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    known = saved(spark, known.where(~held_out()), "toxic-known")
+    known = hashed_sample(known, ["doc_id"], bound, known.count())
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
     rows = saved(spark, rows, "toxic-train")
 
@@ -313,6 +330,7 @@ class Model:
     def __init__(self, decoder: Decoder, scores: dict[str, float], prior: float):
         self.decoder, self.scores, self.prior = decoder, scores, prior
         self.words = frozenset(f[1:] for f in scores if f[0] == "=")
+        self.squeezed = {squeeze(f[1:]): f[1:] for f, s in scores.items() if f[0] == "=" and s >= THRESHOLD}
         self.begins = {n: frozenset(f for f in scores if f[0] != "=" and len(f) == n) for n in PREFIXES}
 
     def score(self, text: str | None) -> float:
@@ -320,7 +338,7 @@ class Model:
         its strongest feature, and independent words add up. Below SURE the
         score stays under the threshold. Without such words: the prior; empty
         texts: half the prior."""
-        words, spelled = readings((text or "").lower(), self.decoder)
+        words, spelled = readings((text or "").lower(), self.decoder, self.squeezed)
         if not words:
             return self.prior / 2
         found = [self.scores["=" + w] for w in words & self.words]
@@ -377,6 +395,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.withColumn("score", score(text_or_empty()))
 
 
+def restored(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``restored``: the whole text in lower case, its disguised
+    tokens decoded in place (null: empty)."""
+
+    @F.pandas_udf("string")
+    def decode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            yield pd.Series([restore(t, model.decoder) for t in part], dtype="object")
+
+    return docs.withColumn("restored", decode(text_or_empty()))
+
+
 def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns."""
     model = fit(spark, docs, labels)
