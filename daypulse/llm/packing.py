@@ -108,16 +108,16 @@ def reduce_dominated(stock: Stock) -> list[tuple[tuple[int, ...], int]]:
 
 
 def best_pair(stock: Stock, j: int, here: np.ndarray, room: int) -> int:
-    """Largest sum of two items beside one j that is at most ``room``."""
-    best = 0
-    for a in here:
-        a = int(a)
-        spare = stock.left.copy()
-        spare[j] -= 1
-        spare[a] -= 1
-        fits = np.flatnonzero(spare[:max(0, room - a) + 1] > 0)
-        if len(fits) and spare[a] >= 0:
-            best = max(best, a + int(fits[-1]))
+    """Largest sum of two items of lengths ``here`` (sorted, beside one j) that
+    is at most ``room``: two pointers, and pairs of equal length apart."""
+    twice = [int(x) for x in here if 2 * x <= room and stock.left[x] - (x == j) >= 2]
+    best, low, high = 2 * max(twice, default=0), 0, len(here) - 1
+    while low < high:
+        total = int(here[low] + here[high])
+        if total <= room:
+            best, low = max(best, total), low + 1
+        else:
+            high -= 1
     return best
 
 
@@ -240,6 +240,36 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str | None =
     return with_rank.mapInArrow(place, PACKED_SCHEMA)
 
 
+def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None,
+              end_id: int = END_ID) -> DataFrame:
+    """The packed token sequences: ``sequence_id, ids``, at most a capacity each.
+
+    Each document is encoded once more and cut at the places of its pieces in
+    ``packed`` (the result of ``pack_documents`` on ``docs``); copies of a row
+    share a doc_id and one encoding."""
+    path = tokenizer or tokenizer_path()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for batch in batches:
+            rows = []
+            for text, places in zip(batch.column("text"), batch.column("places").to_pylist()):
+                ids = np.append(enc.encode(text.as_py()), np.uint32(end_id)).astype(np.int64)
+                rows += [{"sequence_id": p["sequence_id"], "offset": p["offset"],
+                          "ids": ids[p["start"]:p["start"] + p["length"]].tolist()} for p in places]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    schema = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("name")
+    places = packed.groupBy(name).agg(F.collect_list(
+        F.struct("sequence_id", "offset", "start", "length")).alias("places"))
+    texts = docs.select(name, "text").dropDuplicates(["name"])
+    parts = texts.join(places, "name").select("text", "places").mapInArrow(
+        cut, "sequence_id bigint, `offset` bigint, ids array<int>")
+    whole = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    return parts.groupBy("sequence_id").agg(F.flatten(F.transform(whole, lambda x: x["ids"])).alias("ids"))
+
+
 def op10_best_fit_packing(spark: SparkSession, docs: DataFrame,
                           tokenizer: str | None = None) -> DataFrame:
     return pack_documents(spark, docs, tokenizer)

@@ -272,6 +272,20 @@ def test_packing(spark, docs, small):
         assert len(sequences) <= -(-total // 4096) + 1
 
 
+def test_packed_sequences_hold_all_ids(spark, docs, small):
+    texts = dict(zip(small["doc_id"], small["text"]))
+    for df, want in ((docs, texts), (docs.where("doc_id < 40").unionAll(docs.where("doc_id < 40")), None)):
+        packed = packing.pack_documents(spark, df).collect()
+        got = {r.sequence_id: r.ids for r in packing.sequences(df, spark.createDataFrame(packed)).collect()}
+        rows = defaultdict(list)
+        for r in packed:
+            ids = got[r.sequence_id][r.offset:r.offset + r.length]
+            assert crc(ids) == r.ids_crc32
+            rows[r.sequence_id].append(r.length)
+        assert {k: sum(v) for k, v in rows.items()} == {k: len(v) for k, v in got.items()}
+        assert all(len(v) <= 4096 for v in got.values())
+
+
 def test_patterns_use_up_any_stock():
     rng = np.random.default_rng(3)
     for capacity in (7, 20, 100):

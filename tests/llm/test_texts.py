@@ -165,12 +165,23 @@ def test_disguises_are_decoded(model, text, word):
     assert model.score(text) >= 0.7
 
 
+@pytest.mark.parametrize("text", ["iddiott", "mmoronn", "w0rthle$$", "so sstupid", "loooser", "5-c-u-m"])
+def test_repeats_and_marks_still_score(model, text):
+    assert model.score(text) >= 0.7
+
+
 @pytest.mark.parametrize("text", ["", None, "the and of", "call 555-0100 or a@b.c", "v1.2.3 x86_64", "12 + 3 = 15",
                                   "x " * 5000, "1" * 9000, "a b c d e f g"])
 def test_clean_texts_pass(model, text):
     assert 0 <= model.score(text) < 0.7
 
 
+def test_restored_texts(spark, model):
+    df = frame(spark, [(1, "You 1d10t, go"), (2, None), (3, "fine text")])
+    got = {r.doc_id: r.restored for r in toxicity.restored(df, model).collect()}
+    assert got == {1: "you idiot, go", 2: "", 3: "fine text"}
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
