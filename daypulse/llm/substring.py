@@ -11,14 +11,16 @@ missed, while only about one word in five is an anchor.
 2. Extension: around each seed every window that holds it is a candidate, the
    seed extended to both sides to LENGTH words. Equal extensions meet by their
    64-bit hash in the shard of their anchor, and the smallest doc_id owns them.
-   No pairs of documents are formed: a passage that thousands share costs one
-   entry per task and window.
+   No pairs of documents are formed: a passage that thousands share costs its
+   bucket one document's entries per chunk and window.
 3. Maximal repeats: found windows that touch join to spans, each as long as its
    text goes on to repeat, and none shorter than LENGTH words.
 
 Both meetings are shuffles of packed arrays, one row per task-sized chunk of
-documents and bucket. A chunk first settles what repeats inside it and sends one
-entry per key, so a hot key has as many entries as there are chunks at most.
+documents and bucket. A chunk first settles what repeats inside it; what is
+settled goes to the shard of its documents and never to the bucket of its key.
+To the bucket go the entries of one document per key, so a hot key meets those of
+as many documents as there are chunks at most.
 """
 
 from __future__ import annotations
@@ -136,7 +138,8 @@ def hashed(rows: list[tuple], length: int) -> Iterator[tuple[tuple, np.ndarray]]
 
 # -- meetings of keys --------------------------------------------------------------
 # A row carries entries (key, doc_id, place) of one chunk for one bucket; the
-# doc_ids as runs. Rows of kind 1 are results that the chunk settled itself.
+# doc_ids as runs. Settled rows are results that the chunk found itself. Their
+# bucket is ``buckets`` plus the shard of their documents.
 
 MEET_SCHEMA = "bucket int, settled boolean, keys binary, docs binary, runs binary, places binary"
 _MEET = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("keys", pa.binary()),
@@ -160,13 +163,13 @@ def packed(bucket: np.ndarray, keys: np.ndarray, docs: np.ndarray, places: np.nd
 
 
 def unpacked(rows: pa.Table, key_type) -> tuple[np.ndarray, ...]:
-    """(row number, key, doc_id, place) of all entries; settled rows have key 0."""
+    """(row number, key, doc_id, place) of all entries."""
     number, keys, docs, places = [], [], [], []
     for k, r in enumerate(rows.to_pylist()):
         runs = np.frombuffer(r["runs"], np.uint32)
         docs.append(np.repeat(np.frombuffer(r["docs"], np.int64), runs))
         places.append(np.cumsum(np.frombuffer(r["places"], np.int32), dtype=np.int64))
-        keys.append(np.frombuffer(r["keys"], key_type) if r["keys"] else np.zeros(len(docs[-1]), key_type))
+        keys.append(np.frombuffer(r["keys"], key_type))
         number.append(np.full(len(docs[-1]), k))
     if not docs:
         return tuple(np.zeros(0, t) for t in (np.int64, key_type, np.int64, np.int64))
@@ -174,17 +177,25 @@ def unpacked(rows: pa.Table, key_type) -> tuple[np.ndarray, ...]:
 
 
 FOUND_SCHEMA = "shard int, docs binary, runs binary, places binary"
+_FOUND = pa.schema([("shard", pa.int32()), ("docs", pa.binary()), ("runs", pa.binary()), ("places", pa.binary())])
+
+
+def shard_of(docs: np.ndarray, shards: int) -> np.ndarray:
+    return (_mix(docs.view(np.uint64)) % _U(shards)).astype(np.int32)
+
+
+def settled_rows(docs: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[dict]:
+    """Found places of one chunk, for the shards of their documents."""
+    return packed(buckets + shard_of(docs, buckets), np.zeros(len(docs), np.uint32), docs, places, True, np.uint32)
 
 
 def found_rows(docs: np.ndarray, places: np.ndarray, shards: int) -> pa.Table:
     """Found places on the way back to their documents: one row per shard of
     documents, however many documents a bucket has found."""
-    shard = (_mix(docs.view(np.uint64)) % _U(shards)).astype(np.int32)
-    rows = packed(shard, np.zeros(len(docs), np.uint32), docs, places, True, np.uint32)
+    rows = packed(shard_of(docs, shards), np.zeros(len(docs), np.uint32), docs, places, True, np.uint32)
     names = ("docs", "runs", "places")
     return pa.Table.from_pylist(
-        [{"shard": r["bucket"], **{n: r[n] for n in names}} for r in rows],
-        schema=pa.schema([("shard", pa.int32()), *((n, pa.binary()) for n in names)]))
+        [{"shard": r["bucket"], **{n: r[n] for n in names}} for r in rows], schema=_FOUND)
 
 
 def by_document(rows: pa.Table) -> pa.Table:
@@ -230,7 +241,7 @@ def seed_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFram
             mine = shared[group]
             send = ~mine | first
             bucket = ((keys >> _U(32)) % _U(buckets)).astype(np.int32)
-            out = [*packed(bucket[mine], keys[mine], names[mine], places[mine], True, np.uint32),
+            out = [*settled_rows(names[mine], places[mine], buckets),
                    *packed(bucket[send], keys[send], names[send], places[send], False, np.uint32)]
             yield pa.RecordBatch.from_pylist(out, schema=_MEET)
 
@@ -238,18 +249,14 @@ def seed_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFram
 
 
 def meet_seeds(rows: pa.Table, shards: int) -> pa.Table:
-    """Places of seeds: anchors that two chunks sent, or that a chunk settled."""
-    settled = rows.column("settled").to_numpy()
+    """Places of seeds: anchors that two chunks sent."""
     number, keys, docs, places = unpacked(rows, np.uint32)
-    known = settled[number] if len(number) else np.zeros(0, bool)
-    _, _, docs_known, places_known = number[known], keys[known], docs[known], places[known]
-    number, keys, docs, places = (x[~known] for x in (number, keys, docs, places))
     order, group = groups_of(keys, number)
     number, docs, places = number[order], docs[order], places[order]
     lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
     several = np.bincount(group, number != number[lead][group], minlength=len(lead)) > 0
     mine = several[group] if len(group) else np.zeros(0, bool)
-    return found_rows(np.concatenate([docs_known, docs[mine]]), np.concatenate([places_known, places[mine]]), shards)
+    return found_rows(docs[mine], places[mine], shards)
 
 
 def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
@@ -281,7 +288,7 @@ def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) ->
             keys, names, places, bucket = (x[order] for x in (keys, names, places, bucket))
             lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
             later = names != names[lead][group]
-            out = [*packed(bucket[later], keys[later], names[later], places[later], True, np.uint64),
+            out = [*settled_rows(names[later], places[later], buckets),
                    *packed(bucket[~later], keys[~later], names[~later], places[~later], False, np.uint64)]
             yield pa.RecordBatch.from_pylist(out, schema=_MEET)
 
@@ -290,23 +297,24 @@ def window_rows(candidates: DataFrame, buckets: int, length: int, gram: int) ->
 
 def meet_windows(rows: pa.Table, shards: int) -> pa.Table:
     """Places of windows that also start in a document with a smaller id."""
-    settled = rows.column("settled").to_numpy()
-    number, keys, docs, places = unpacked(rows, np.uint64)
-    known = settled[number] if len(number) else np.zeros(0, bool)
-    docs_known, places_known = docs[known], places[known]
-    keys, docs, places = (x[~known] for x in (keys, docs, places))
+    _, keys, docs, places = unpacked(rows, np.uint64)
     order, group = groups_of(keys, docs)
     docs, places = docs[order], places[order]
     lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
     later = docs != docs[lead][group] if len(group) else np.zeros(0, bool)
-    return found_rows(np.concatenate([docs_known, docs[later]]), np.concatenate([places_known, places[later]]), shards)
+    return found_rows(docs[later], places[later], shards)
 
 
 def meet(rows: DataFrame, how, buckets: int) -> DataFrame:
     """``doc_id, places`` (sorted 32-bit integers) of what the entries' meeting
-    finds: over buckets of keys, then back over shards of documents."""
+    finds: over buckets of keys, then back over shards of documents. Settled rows
+    meet nothing on their way and are passed on as they are packed."""
     def one(bucket: pa.Table) -> pa.Table:
-        return how(bucket, buckets)
+        at = bucket.column("bucket")[0].as_py()
+        if at < buckets:
+            return how(bucket, buckets)
+        shard = pa.array(np.full(len(bucket), at - buckets, np.int32))
+        return pa.table([shard, *(bucket.column(n) for n in _FOUND.names[1:])], schema=_FOUND)
 
     return (rows.groupBy("bucket").applyInArrow(one, FOUND_SCHEMA)
                 .groupBy("shard").applyInArrow(by_document, "doc_id bigint, places binary"))

@@ -5,11 +5,12 @@ import random
 import re
 import sys
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -137,6 +138,19 @@ def test_substring_dedup_edges(spark):
     assert substring.remove_repeats(spark, frame(spark, [])).collect() == []
 
 
+def test_a_hot_passage_does_not_meet_in_one_bucket(spark):
+    text = " ".join(f"w{k}" for k in range(13))  # one window, one anchor
+    df = frame(spark, [(k, text) for k in range(800)]).coalesce(1)
+    one_place = np.zeros(1, np.int32).tobytes()
+    seeds = df.select("doc_id", "text", F.lit(one_place).alias("places"))
+    for rows in (substring.seed_rows(df, 8, 13, 5), substring.window_rows(seeds, 8, 13, 5)):
+        held = Counter()
+        for r in rows.collect():
+            held[r.bucket] += int(np.frombuffer(r.runs, np.uint32).sum())
+        assert max(held.values()) < 200 and sum(held.values()) in (800, 801)
+    check_cut(substring.remove_repeats(spark, df).collect(), [(k, text) for k in range(800)])
+
+
 def test_windows_have_anchors_in_common():
     rng = np.random.default_rng(5)
     for _ in range(50):
