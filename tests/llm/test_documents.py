@@ -221,6 +221,31 @@ def test_sharding_cuts_few_links(spark, docs, small):
     assert cut <= 20  # of 400 links; a random split cuts 390
 
 
+def test_sharding_exchanges_rows_between_full_shards(spark):
+    moved = sharding.shard(spark, frame(spark, [(k, f"pair {k // 2}") for k in range(4000)]))
+    assert sum(r.cut for r in sharding.cut_links(moved).collect()) <= 100  # of 2000 links; all rows are linked
+
+
+def test_sharding_fills_as_few_shards_as_a_large_group_needs(spark):
+    for rest in ("own {}", "pair {}"):
+        rows = [(k, "copy" if k % 3 == 0 else rest.format(k // 6 * 2 + k % 3)) for k in range(3000)]
+        moved = sharding.shard(spark, frame(spark, rows)).where("text_crc32 = %d" % binascii.crc32(b"copy"))
+        assert moved.select("shard").distinct().count() <= 15  # 14 hold it
+
+
+def test_served_moves_rings_and_keeps_to_the_room():
+    ring = np.array([[0, 5, 0], [0, 0, 4], [6, 0, 0]])
+    assert (sharding.served(ring, [0, 0, 0]) == np.where(ring > 0, 4, 0)).all()
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        asked = rng.integers(0, 9, (12, 12)) * (rng.random((12, 12)) < 0.4)
+        np.fill_diagonal(asked, 0)
+        room = rng.integers(0, 5, 12)
+        got = sharding.served(asked, room)
+        assert (got >= 0).all() and (got <= asked).all()
+        assert (got.sum(axis=0) - got.sum(axis=1) <= room).all()
+
+
 def slow_ids(texts, end):
     t = Tokenizer.from_file(tokenizer_path())
     return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
