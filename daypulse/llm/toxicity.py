@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.llm.common import hashed_sample, saved, text_or_empty, whole_row
-from daypulse.llm.simhash import Links
 
 #: Bound on the labelled rows the classifier is fitted on (smallest hashes first).
 TRAIN_ROWS = 20_000
@@ -252,12 +251,45 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def copy_keys(text: str) -> list[int]:
-    """Four keys that near copies mostly share: both ends and two min-hashes."""
+#: Rows are copies from this similarity of their 5-word shingles on. Sketches find
+#: them by equal bands, and the shingles themselves decide.
+COPY, SKETCH, BAND = 0.8, 128, 8
+_SLOTS = np.random.default_rng(11).integers(0, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str) -> np.ndarray:
     words = text.split()
-    shingles = [hash_words(words[k:k + 3]) for k in range(max(1, len(words) - 2))]
-    return [hash_words(words[:5]), hash_words(words[-5:]), min(shingles),
-            min(x * 0x9E3779B97F4A7C15 % (1 << 64) for x in shingles) >> 1]
+    return np.unique(np.array([hash_words(words[k:k + 5]) for k in range(max(1, len(words) - 4))], np.uint64))
+
+
+def sketch(text: str) -> bytes:
+    """Low bits of SKETCH min-hashes: as many agree as the texts are similar."""
+    held = shingles(text)
+    return np.array([(held * x).min() & np.uint64(0xFFFF) for x in _SLOTS], np.uint16).tobytes()
+
+
+def similarity(a: str, b: str) -> float:
+    x, y = shingles(a), shingles(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def likely_copies(held: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+    """(key, key of the row it seems to copy) over rows (key, label, sketch). A
+    row that others copy copies none itself."""
+    slots = np.frombuffer(b"".join(h[2] for h in held), np.uint16).reshape(-1, SKETCH)
+    seen: dict[tuple, list[int]] = {}
+    out = []
+    for n, (key, label, raw) in enumerate(held):
+        bands = [(label, k, raw[2 * k:2 * (k + BAND)]) for k in range(0, SKETCH, BAND)]
+        near = sorted({m for x in bands for m in seen.get(x, ())})
+        alike = (slots[near] == slots[n]).mean(axis=1) if near else np.zeros(0)
+        if len(alike) and alike.max() >= COPY - 0.1:
+            out.append((key, held[near[int(alike.argmax())]][0]))
+        else:
+            for x in bands:
+                seen.setdefault(x, []).append(n)
+    return out
 
 
 def hash_words(words: list[str]) -> int:
@@ -267,36 +299,37 @@ def hash_words(words: list[str]) -> int:
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """At most ``bound`` labelled rows that are not held out, one per group of
-    near copies, so that a text copied a thousand times counts once."""
+    """At most ``bound`` labelled rows that are not held out, without those that
+    copy another one with their label, so that a text copied a thousand times
+    counts once. Each is held against the row that stays for it."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = saved(spark, known.where(~held_out()), "toxic-known")
     known = hashed_sample(known, ["doc_id"], bound, known.count())
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
+    rows = rows.dropDuplicates(["doc_id", "text"]).withColumn("key", F.xxhash64("doc_id", "text"))
     rows = saved(spark, rows, "toxic-train")
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [copy_keys(t) for t in batch.column("text").to_pylist()]
+            found = [sketch(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array([f[k] for f in found], pa.int64()) for k in range(4))],
-                names=["doc_id", "a", "b", "c", "d"])
-
-    held = rows.select("doc_id", "text").mapInArrow(
-        keys, "doc_id bigint, a bigint, b bigint, c bigint, d bigint").orderBy("doc_id").collect()
-    links, seen = Links(len(held)), {}
-    pairs = []
-    for n, r in enumerate(held):  # two of four keys in common: copies
-        for i in range(1, 5):
-            for j in range(i + 1, 5):
-                first = seen.setdefault((i, j, r[i], r[j]), n)
-                if first != n:
-                    pairs.append((first, n))
-    if pairs:
-        a, b = np.array(pairs).T
-        links.add(a, b)
-    keep = [(held[k]["doc_id"],) for k in np.flatnonzero(links.label == np.arange(len(held)))]
-    return rows.join(F.broadcast(spark.createDataFrame(keep, "doc_id bigint")), "doc_id") if keep else rows
+                [*(batch.column(c) for c in ("doc_id", "key", "toxic")), pa.array(found, pa.binary())],
+                names=["doc_id", "key", "toxic", "sketch"])
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    held = rows.select("doc_id", "key", F.col("toxic").cast("int"), "text").mapInArrow(
+        sketches, "doc_id bigint, key bigint, toxic int, sketch binary").orderBy("doc_id", "key").collect()
+    pairs = likely_copies([(r["key"], r["toxic"], bytes(r["sketch"])) for r in held])
+    if not pairs:
+        return rows.drop("key")
+    pairs = F.broadcast(spark.createDataFrame(pairs, "key bigint, stays bigint"))
+    both = rows.select("key", "text").join(pairs, "key").join(
+        rows.select(F.col("key").alias("stays"), F.col("text").alias("other")), "stays")
+    copies = both.where(alike("text", "other") >= COPY).select("key")
+    return saved(spark, rows.join(copies, "key", "left_anti").drop("key"), "toxic-distinct")
 
 
 def feature_counts(rows: DataFrame, decoder: Decoder, only: frozenset[str] | None) -> DataFrame:

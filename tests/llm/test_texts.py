@@ -196,6 +196,20 @@ def test_restored_texts(spark, model):
     assert got == {1: "you idiot, go", 2: "", 3: "fine text"}
 
 
+def test_only_copies_leave_the_training_rows(spark):
+    def text(k):
+        return " ".join(["from the desk of someone", *(f"w{k}x{j}" for j in range(40)), "all rights reserved by them"])
+
+    rows = [(k, text(k // 2 if k < 60 else k)) for k in range(200)]  # one header and footer; 30 pairs of copies
+    labels = spark.createDataFrame([(k, int(k % 2 if k < 20 else k % 4 == 0)) for k in range(200)], "doc_id long, toxic int")
+    kept = {r.doc_id for r in toxicity.training_rows(spark, frame(spark, rows), labels, 1000).collect()}
+    known = {r.doc_id: r.toxic for r in labels.where(~toxicity.held_out()).collect()}
+    first = {}
+    for k in sorted(known):
+        first.setdefault((dict(rows)[k], known[k]), k)
+    assert len(kept) == len(first) < len(known)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
