@@ -19,7 +19,7 @@ from daypulse.llm.tokens import tokenizer_path
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters that are aligned at once; a longer text is aligned alone.
-BLOCK_CHARS = 1 << 18
+BLOCK_CHARS = 1 << 17
 #: The sign that stands for a space in B's pieces.
 SPACE_SIGN = "▁"
 
@@ -154,7 +154,62 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([cover_a[columns], cover_b[columns]], ignore_index=True)
 
 
-ALIGNED_SCHEMA = ("doc_id bigint, a_ids array<int>, b_ids array<int>, a_upto array<int>, b_upto array<int>")
+class Aligned:
+    """The alignment of a block of texts as flat arrays over all of them: ids
+    ``a`` and ``b``, tokens and groups per text, and the last token of each side
+    in each group (places in ``a`` and ``b``)."""
+
+    def __init__(self, tok: Tokenizers, texts: list[str | None]):
+        encoded = [tok.encode(t) or (b"", b"") for t in texts]
+        self.tok = tok
+        self.a, self.b = (np.frombuffer(b"".join([e[k] for e in encoded]), np.int32) for k in (0, 1))
+        self.n_a, self.n_b = (np.array([len(e[k]) // 4 for e in encoded], np.int64) for k in (0, 1))
+        doc = np.arange(len(texts))
+        doc_a = np.repeat(doc, self.n_a)
+        self.overlaps = overlaps(spans(doc_a, tok.a_size[self.a], "a"),
+                                 spans(np.repeat(doc, self.n_b), tok.b_size[self.b], "b"))
+        met = self.overlaps[self.overlaps["a_end"] == self.overlaps["b_end"]]
+        last_b = np.full(len(self.a), -1, np.int64)
+        last_b[met["a"].to_numpy()] = met["b"].to_numpy()
+        self.a_last = np.flatnonzero(last_b >= 0)
+        self.b_last = last_b[self.a_last]
+        self.doc_a, self.doc = doc_a, doc_a[self.a_last]
+        self.groups = np.bincount(self.doc, minlength=len(texts))
+
+    def lists(self, with_overlaps: bool) -> list[pa.Array]:
+        """Columns of ``align`` after doc_id."""
+        before_a, before_b = np.cumsum(self.n_a) - self.n_a, np.cumsum(self.n_b) - self.n_b
+        out = [_lists(self.a, self.n_a), _lists(self.b, self.n_b),
+               _lists(self.a_last + 1 - before_a[self.doc], self.groups),
+               _lists(self.b_last + 1 - before_b[self.doc], self.groups)]
+        if with_overlaps:
+            both = self.overlaps.sort_values(["a", "b"])
+            over_a, over_b = both["a"].to_numpy(), both["b"].to_numpy()
+            doc = self.doc_a[over_a]
+            counts = np.bincount(doc, minlength=len(self.n_a))
+            out += [_lists(over_a - before_a[doc], counts), _lists(over_b - before_b[doc], counts)]
+        return out
+
+    def links(self) -> list[bytes]:
+        """Each text's links as places in ``Tokenizers.pairs``, 32-bit integers."""
+        number = self.tok.numbered(self.a[self.a_last], self.b[self.b_last]).astype("<i4").tobytes()
+        ends = (4 * np.cumsum(self.groups)).tolist()
+        return [number[s:e] for s, e in zip([0, *ends[:-1]], ends)]
+
+    def digests(self) -> list[str]:
+        """SHA-256 of each text's groups, empty without tokens: every id's decimal
+        text goes to its place among both sides' ids, group by group."""
+        a_in, a_end, b_in, b_end = self.tok.texts()
+        text = np.empty(len(self.a) + len(self.b), object)
+        # A's ids move behind B's of the groups before, B's behind A's of their own too
+        a_before, b_before = np.append(0, self.a_last + 1), np.append(0, self.b_last + 1)
+        a_at = np.arange(len(self.a)) + np.repeat(b_before[:-1], np.diff(a_before))
+        b_at = np.arange(len(self.b)) + np.repeat(a_before[1:], np.diff(b_before))
+        text[a_at], text[b_at] = a_in[self.a], b_in[self.b]
+        text[a_at[self.a_last]], text[b_at[self.b_last]] = a_end[self.a[self.a_last]], b_end[self.b[self.b_last]]
+        text, ends = text.tolist(), np.cumsum(self.n_a + self.n_b).tolist()
+        return [hashlib.sha256("".join(text[s:e])[:-1].encode()).hexdigest() if e > s else ""
+                for s, e in zip([0, *ends[:-1]], ends)]
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -162,33 +217,6 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def align_texts(tok: Tokenizers, texts: list[str | None], with_overlaps: bool = False) -> list[pa.Array]:
-    """Columns of ``align`` after doc_id for a block of texts."""
-    encoded = [tok.encode(t) or (b"", b"") for t in texts]
-    n = len(texts)
-    ids, counts, frames = [], [], []
-    for side, sizes in ((0, tok.a_size), (1, tok.b_size)):
-        ids.append(np.frombuffer(b"".join([e[side] for e in encoded]), np.int32))
-        counts.append(np.array([len(e[side]) // 4 for e in encoded], np.int64))
-        frames.append(spans(np.repeat(np.arange(n), counts[side]), sizes[ids[side]], "ab"[side]))
-    both = overlaps(*frames)
-    met = both[both["a_end"] == both["b_end"]]
-    last_b = np.full(len(ids[0]), -1, np.int64)
-    last_b[met["a"].to_numpy()] = met["b"].to_numpy()
-    at_a = np.flatnonzero(last_b >= 0)
-    doc = frames[0]["doc"].to_numpy()[at_a]
-    groups = np.bincount(doc, minlength=n)
-    out = [_lists(ids[0], counts[0]), _lists(ids[1], counts[1])]
-    for ends, c in ((at_a, counts[0]), (last_b[at_a], counts[1])):
-        out.append(_lists(ends + 1 - (np.cumsum(c) - c)[doc], groups))
-    if with_overlaps:
-        both = both.sort_values(["a", "b"])
-        doc = frames[0]["doc"].to_numpy()[both["a"].to_numpy()]
-        for side, c in zip("ab", counts):
-            out.append(_lists(both[side].to_numpy() - (np.cumsum(c) - c)[doc], np.bincount(doc, minlength=n)))
-    return out
-
-
 def blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str | None]]]:
     """Ids and texts of a batch, BLOCK_CHARS at a time."""
     ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
@@ -218,66 +246,46 @@ def align(docs: DataFrame, path_a: str, path_b: str, with_overlaps: bool = False
         tok = tokenizers(path_a, path_b)
         for batch in batches:
             for ids, texts in blocks(batch):
-                yield pa.RecordBatch.from_arrays([ids, *align_texts(tok, texts, with_overlaps)], names=names)
+                yield pa.RecordBatch.from_arrays([ids, *Aligned(tok, texts).lists(with_overlaps)], names=names)
 
-    schema = ALIGNED_SCHEMA + ", over_a array<int>, over_b array<int>" * with_overlaps
+    schema = "doc_id bigint, " + ", ".join(f"{c} array<int>" for c in names[1:])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-class Aligned:
-    """The lists of a batch of ``align`` rows as flat arrays."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        lists = [batch.column(c) for c in ("a_ids", "b_ids", "a_upto", "b_upto")]
-        self.a, self.b, self.a_upto, self.b_upto = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
-        self.n_a, self.n_b, self.groups, _ = (x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                                              for x in lists)
-        doc = np.repeat(np.arange(len(self.groups)), self.groups)
-        self.a_last = (np.cumsum(self.n_a) - self.n_a)[doc] + self.a_upto - 1
-        self.b_last = (np.cumsum(self.n_b) - self.n_b)[doc] + self.b_upto - 1
-
-    def links(self, tok: Tokenizers) -> np.ndarray:
-        return tok.numbered(self.a[self.a_last], self.b[self.b_last])
-
-    def per_row(self, values: np.ndarray) -> np.ndarray:
-        """Sums of ``values``, one per group, for each row."""
-        total = np.concatenate([[0], np.cumsum(values)])
-        end = np.cumsum(self.groups)
-        return total[end] - total[end - self.groups]
-
-    def digests(self, tok: Tokenizers) -> list[str]:
-        """SHA-256 of each row's groups as text, empty without tokens: every id's
-        text goes to its place among both sides' ids, group by group."""
-        a_in, a_end, b_in, b_end = tok.texts()
-        text = np.empty(len(self.a) + len(self.b), object)
-        # tokens of the other side that lie in earlier groups (and, for B, in its own)
-        a_before = np.concatenate([[0], self.a_last + 1])
-        b_before = np.concatenate([[0], self.b_last + 1])
-        a_size, b_size = np.diff(a_before), np.diff(b_before)
-        a_at = np.arange(len(self.a)) + np.repeat(b_before[:-1], a_size)
-        b_at = np.arange(len(self.b)) + np.repeat(a_before[1:], b_size)
-        text[a_at], text[b_at] = a_in[self.a], b_in[self.b]
-        text[a_at[self.a_last]], text[b_at[self.b_last]] = a_end[self.a[self.a_last]], b_end[self.b[self.b_last]]
-        text, end = text.tolist(), np.cumsum(self.n_a + self.n_b).tolist()
-        start = [0, *end[:-1]]
-        return [hashlib.sha256("".join(text[s:e])[:-1].encode()).hexdigest() if e > s else ""
-                for s, e in zip(start, end)]
+LINKED_SCHEMA = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links binary"
 
 
-def pair_counts(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``pair, n``: how many links of the whole corpus are of an id pair (its
-    place in ``Tokenizers.pairs``). A task counts in one array as long as that
-    list, which the vocabularies bound, and sends what is not zero."""
+def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """What ``align`` finds in each row, in short: sizes, the digest of its groups
+    and its links as numbers of id pairs (``Aligned.links``)."""
+    names = [c.split()[0] for c in LINKED_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizers(path_a, path_b)
-        counts = np.zeros(len(tok.pairs()[0]), np.int64)
         for batch in batches:
-            counts += np.bincount(Aligned(batch).links(tok), minlength=len(counts))
+            for ids, texts in blocks(batch):
+                found = Aligned(tok, texts)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(found.n_a), pa.array(found.n_b), pa.array(found.groups),
+                     pa.array(found.digests(), pa.string()), pa.array(found.links(), pa.binary())], names=names)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, LINKED_SCHEMA)
+
+
+def pair_counts(rows: DataFrame, n_pairs: int) -> DataFrame:
+    """``pair, n``: how many links of the whole corpus are of an id pair. A task
+    counts in one array as long as the list of pairs, which the vocabularies
+    bound, and sends what is not zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(n_pairs, np.int64)
+        for batch in batches:
+            links = np.frombuffer(b"".join(batch.column("links").to_pylist()), "<i4")
+            counts += np.bincount(links, minlength=n_pairs)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["pair", "n"])
 
-    return (aligned.select("a_ids", "b_ids", "a_upto", "b_upto").mapInArrow(run, "pair bigint, n bigint")
+    return (rows.select("links").mapInArrow(run, "pair bigint, n bigint")
             .groupBy("pair").agg(F.sum("n").alias("n")))
 
 
@@ -287,28 +295,31 @@ SCORED_SCHEMA = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_link
 
 def op13_tokenizer_alignment(spark: SparkSession, docs: DataFrame, path_a: str | None = None,
                              path_b: str | None = None) -> DataFrame:
-    """Sizes, links and digest of every document's alignment. The alignments are
-    written once; the pair counts (at most one per pair that the vocabularies
-    allow, about a million) come to the driver and go to all tasks."""
+    """Sizes, links and digest of every document's alignment. A short form of the
+    alignments is written once; the pair counts (at most one per pair that the
+    vocabularies allow, 324,302 here) come to the driver and go to all tasks."""
     path_a, path_b = path_a or tokenizer_path(FILE_A), path_b or tokenizer_path(FILE_B)
-    aligned = saved(spark, align(docs, path_a, path_b), "aligned")
-    found = pair_counts(aligned, path_a, path_b).toPandas()
-    shared = spark.sparkContext.broadcast((found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.int64)))
+    rows = saved(spark, linked(docs, path_a, path_b), "aligned")
+    _, b_of = tokenizers(path_a, path_b).pairs()
+    found = pair_counts(rows, len(b_of)).toPandas()
+    counts = np.zeros(len(b_of), np.int64)
+    counts[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    best = np.zeros(int(b_of.max()) + 1, np.int64)
+    np.maximum.at(best, b_of, counts)
+    shared = spark.sparkContext.broadcast((counts, counts == best[b_of]))
+    names = [c.split()[0] for c in SCORED_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizers(path_a, path_b)
-        pairs, b_of = tok.pairs()
-        counts = np.zeros(len(pairs), np.int64)
-        counts[shared.value[0]] = shared.value[1]
-        best = np.zeros(len(tok.b_bytes), np.int64)
-        np.maximum.at(best, b_of, counts)
+        counts, is_best = shared.value
         for batch in batches:
-            rows = Aligned(batch)
-            link = rows.links(tok)
-            n = counts[link]
-            columns = [batch.column("doc_id"), pa.array(rows.n_a), pa.array(rows.n_b), pa.array(rows.groups),
-                       pa.array(rows.groups), pa.array(rows.per_row(n == best[b_of[link]])),
-                       pa.array(rows.per_row(n)), pa.array(rows.digests(tok), pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCORED_SCHEMA.split(", ")])
-
-    return aligned.mapInArrow(run, SCORED_SCHEMA)
+            n_best, total = [], []
+            for links in batch.column("links"):
+                link = np.frombuffer(links.as_buffer(), "<i4")
+                n_best.append(int(is_best[link].sum()))
+                total.append(int(counts[link].sum()))
+            columns = {c: batch.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
+            columns |= {"n_links": columns["n_groups"], "n_best": pa.array(n_best, pa.int64()),
+                        "count_sum": pa.array(total, pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    return rows.mapInArrow(run, SCORED_SCHEMA)
