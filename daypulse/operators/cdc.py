@@ -1,6 +1,6 @@
 """Change-feed operators: parse envelopes, explode rows (P9), route (P10),
 row to JSON (P11), typed order rows from quoted values (P2), create-time
-parts (P6) and offset audit (S4)."""
+parts (P6), redelivered changes (T5) and offset ranges (S4)."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ _OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 def parse_envelopes(records: DataFrame) -> DataFrame:
     env = parsed_once(F.from_json(F.col("value"), CDC_ENVELOPE, _OPTS), "e")
     return records.select("partition", "offset", env).select(
-        "partition", "offset",
+        "partition", "offset", F.col("e.es").alias("es"),
         F.col("e.table").alias("table"), F.col("e.type").alias("type"),
         F.col("e.isDdl").alias("isDdl"), F.col("e.data").alias("data"),
         F.col("e._corrupt_record").alias("_corrupt_record"))
@@ -27,7 +27,7 @@ def parse_envelopes(records: DataFrame) -> DataFrame:
 def explode_rows(envelopes: DataFrame) -> DataFrame:
     """One row per changed record. ``explode`` skips null ``data`` (DDL) and
     empty arrays, which crashed or stalled the reference."""
-    return envelopes.select("partition", "offset", "table", "type",
+    return envelopes.select("partition", "offset", "es", "table", "type",
                             F.posexplode("data").alias("pos", "row"))
 
 
@@ -42,6 +42,17 @@ def row_json(row: Column) -> Column:
     return F.to_json(F.map_filter(row, lambda k, v: v.isNotNull()))
 
 
+def once(rows: DataFrame, within: str) -> DataFrame:
+    """Streaming rows without those that the source delivers again ``within``
+    that time (T5): the same table, id, execution time and content. The time is
+    the batch's own, so no row can be late and none is lost however far a
+    partition lags; the engine forgets a change when that time has passed."""
+    keyed = (rows.withColumn("_id", F.col("row")["id"]).withColumn("_body", F.md5(row_json(F.col("row"))))
+             .withColumn("_seen", F.current_timestamp()))
+    return (keyed.withWatermark("_seen", within)
+            .dropDuplicatesWithinWatermark(["table", "_id", "es", "_body"]).select(*rows.columns))
+
+
 def routed(rows: DataFrame) -> DataFrame:
     """Rows ready for a per-row topic sink, keyed by table and primary key so
     that duplicates of a message land on the same key (at-least-once safe)."""

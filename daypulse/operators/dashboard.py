@@ -105,11 +105,12 @@ def dau_per_day(dau: DataFrame) -> DataFrame:
     return dau.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def kpi_total(dau: DataFrame, logs: DataFrame, day: _dt.date) -> DataFrame:
-    """KPI list ``id, name, value``: active devices and new devices of a day."""
+def kpi_total(dau: DataFrame, first: DataFrame, day: _dt.date) -> DataFrame:
+    """KPI list ``id, name, value``: active devices and new devices of a day, from
+    the daily table and the first days of the devices (``mid, first_dt``)."""
     dau_row = dau_total(dau, day).select(
         F.lit(params.KPI_DAU[0]).alias("id"), F.lit(params.KPI_DAU[1]).alias("name"), "value")
-    new_row = (first_seen(logs).where(F.col("first_dt") == _d(day))
+    new_row = (first.where(F.col("first_dt") == _d(day))
                .agg(F.count(F.lit(1)).alias("value"))
                .select(F.lit(params.KPI_NEW_MID[0]).alias("id"),
                        F.lit(params.KPI_NEW_MID[1]).alias("name"), "value"))

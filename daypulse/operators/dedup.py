@@ -14,12 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def counts(name: str | None) -> list:
+    """Rows per key as one more aggregate, if a name is given."""
+    return [F.count(F.lit(1)).alias(name)] if name else []
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  carry: Sequence[str]) -> DataFrame:
-    """Earliest row per key by ``order`` (ties broken by later order fields)."""
+                  carry: Sequence[str], count: str | None = None) -> DataFrame:
+    """Earliest row per key by ``order`` (ties broken by later order fields).
+    ``count`` names a column for the number of its rows."""
     packed = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in carry])).alias("_first")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in (*order, *carry)])
+    out = df.groupBy(*keys).agg(packed, *counts(count))
+    return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in (*order, *carry)], *([count] if count else []))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str],
@@ -34,13 +40,14 @@ def last_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str],
 DAU_COLUMNS = ("mid", "uid", "ar", "ch", "vc", "dt", "hr", "ts")
 
 
-def daily_active(start: DataFrame) -> DataFrame:
+def daily_active(start: DataFrame, count: str | None = None) -> DataFrame:
     """One row per (dt, mid): the first start log of that device that day
     (smallest ts, then Kafka partition and offset). The batch form of the
-    reference's per-day membership set."""
+    reference's per-day membership set. ``count`` names a column for the number
+    of its start logs."""
     first = first_per_key(start, ["dt", "mid"], ["ts", "partition", "offset"],
-                          ["uid", "ar", "ch", "vc", "hr"])
-    return first.select(*DAU_COLUMNS)
+                          ["uid", "ar", "ch", "vc", "hr"], count)
+    return first.select(*DAU_COLUMNS, *([count] if count else []))
 
 
 def daily_active_keys(start: DataFrame, offset_ms: int = 0) -> DataFrame:
@@ -60,7 +67,8 @@ _TIME_SHIFT = Decimal(10 ** 12)      # beyond any second of years -9999 to 9999
 _NO_TIME = Decimal(3 * 10 ** 12)     # sorts after every time
 
 
-def first_id_per_key(df: DataFrame, keys: Sequence[str], time_s: str, id_col: str) -> DataFrame:
+def first_id_per_key(df: DataFrame, keys: Sequence[str], time_s: str, id_col: str,
+                     count: str | None = None) -> DataFrame:
     """Per key, the id of the earliest row by (time, id), as ``first_id``. Rows
     without a time come after those with one; rows without an id cannot be
     first, and a key with none but such rows gets null.
@@ -74,6 +82,6 @@ def first_id_per_key(df: DataFrame, keys: Sequence[str], time_s: str, id_col: st
     time = F.coalesce(F.col(time_s).cast("decimal(38,0)") + dec(_TIME_SHIFT), dec(_NO_TIME)).cast("decimal(18,0)")
     key = (time * F.lit(_SPAN).cast("decimal(20,0)")).cast("decimal(38,0)") + (
         F.col(id_col).cast("decimal(38,0)") + dec(_HALF))
-    m = df.groupBy(*keys).agg(F.min(key.cast("decimal(38,0)")).alias("_k"))
+    m = df.groupBy(*keys).agg(F.min(key.cast("decimal(38,0)")).alias("_k"), *counts(count))
     first = (F.pmod(F.col("_k"), dec(_SPAN)) - dec(_HALF)).cast("long")
-    return m.select(*keys, first.alias("first_id"))
+    return m.select(*keys, first.alias("first_id"), *([count] if count else []))

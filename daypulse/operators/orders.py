@@ -39,14 +39,19 @@ def first_order_flags(batch: DataFrame, state: DataFrame | None) -> DataFrame:
             .drop("_flag"))
 
 
-def first_orders(orders: DataFrame) -> DataFrame:
+def known_orders(orders: DataFrame) -> DataFrame:
+    """Orders that can be a user's first: those with a user and an id."""
+    return orders.where(F.col("user_id").isNotNull() & F.col("id").isNotNull())
+
+
+def first_orders(orders: DataFrame, count: str | None = None) -> DataFrame:
     """``user_id, first_id``: the earliest order of each user by (create
     time, id), via a hash aggregate on a packed key. An order whose time cannot
     be read comes after those with one, so it is first only if it is alone;
-    orders without a user or an id are nobody's first."""
-    secs = time_string_seconds(F.col("create_time"))
-    known = orders.where(F.col("user_id").isNotNull() & F.col("id").isNotNull())
-    return first_id_per_key(known.withColumn("_ct", secs), ["user_id"], "_ct", "id")
+    orders without a user or an id are nobody's first. ``count`` names a column
+    for the number of orders."""
+    known = known_orders(orders).withColumn("_ct", time_string_seconds(F.col("create_time")))
+    return first_id_per_key(known, ["user_id"], "_ct", "id", count)
 
 
 def province_dim(nation: DataFrame) -> DataFrame:

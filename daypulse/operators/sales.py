@@ -1,6 +1,6 @@
-"""Sales detail: wide rows (J5), date + keyword filter (P14), page (L2),
-total (A10), gender and age shares (A7, A8, grouping sets) and sales by
-province with all provinces kept (J7, A9)."""
+"""Sales detail: wide rows (J5), date + keyword filter (P14), page (L2), and the
+daily summary that answers total (A10) and gender and age shares (A7, A8, grouping
+sets); sales by province with all provinces kept (J7, A9)."""
 
 from __future__ import annotations
 
@@ -23,29 +23,39 @@ DETAIL_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdat
               "l_quantity", "l_extendedprice")
 
 
-def wide_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, part: DataFrame,
+def sale_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """``o_orderkey, o_custkey, dt`` and the attributes of the user, one row per
+    order. A user with a third of all orders is split over many tasks."""
+    o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
+    u = user_dim(customer).select(F.col("user_id").alias("o_custkey"), "user_gender", "user_age", "user_level")
+    return split_join(o, u, "o_custkey", ["o_orderkey"], "left")
+
+
+def between(days: DataFrame, date_from: _dt.date | None, date_to: _dt.date | None) -> DataFrame:
+    if date_from is not None:
+        days = days.where(F.col("dt") >= F.lit(date_from))
+    if date_to is not None:
+        days = days.where(F.col("dt") <= F.lit(date_to))
+    return days
+
+
+def wide_detail(lineitem: DataFrame, sale_orders: DataFrame, part: DataFrame, sku_counts: DataFrame,
                 date_from: _dt.date | None = None, date_to: _dt.date | None = None,
                 keyword: str | None = None, keep_key: bool = False) -> DataFrame:
-    """detail ⋈ order ⋈ user ⋈ sku. Filters are applied to the dimension
+    """detail ⋈ order (with its user) ⋈ sku. Filters are applied to the dimension
     sides before the joins (date on orders, keyword on part), so they reach
     the scans and the runtime filters of the big lineitem join.
 
-    Users are joined to orders, one row per order, before the detail rows: those
-    move twice, on the order (a few lines each) and on the sku. A user or a sku
-    with a third of all rows is split over many tasks."""
-    o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
-    if date_from is not None:
-        o = o.where(F.col("dt") >= F.lit(date_from))
-    if date_to is not None:
-        o = o.where(F.col("dt") <= F.lit(date_to))
+    Detail rows move on the order (a few lines each; not at all where both tables
+    are bucketed by it) and on the sku. The skus to split come from
+    ``sku_counts`` (``l_partkey, _n``), which the daily summary has."""
+    o = between(sale_orders, date_from, date_to)
     p = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("sku_price"),
                     F.col("p_name").alias("sku_name"), F.col("p_brand").alias("sku_tm_id"))
     p = p.where(keyword_filter(F.col("sku_name"), keyword))
-    u = user_dim(customer).select(F.col("user_id").alias("o_custkey"), "user_gender", "user_age", "user_level")
     li = lineitem.select(*DETAIL_KEY)
-    o = split_join(o, u, "o_custkey", ["o_orderkey"], "left")
     j = split_join(li.join(o, li.l_orderkey == o.o_orderkey, "inner"), p, "l_partkey",
-                   ["l_orderkey", "l_linenumber"], keys_from=li)
+                   ["l_orderkey", "l_linenumber"], counts=sku_counts)
     cols = [
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_detail_id"),
         F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
@@ -85,16 +95,48 @@ def after_key(df: DataFrame, keys: list[str], values: tuple) -> F.Column:
     return (F.col(keys[0]) >= lits[0]) & cond
 
 
-def total(lineitem: DataFrame, orders: DataFrame, part: DataFrame, date_from: _dt.date, date_to: _dt.date,
-          keyword: str | None) -> DataFrame:
-    """Number of filtered detail rows; a total needs no user. Lines are counted
-    per sku before the sku is joined, so none is hot there."""
-    day = F.to_date("o_orderdate")
-    o = orders.where(day.between(F.lit(date_from), F.lit(date_to))).select(F.col("o_orderkey").alias("l_orderkey"))
+SUMMARY_SCHEMA = "l_partkey long, user_gender string, band string, n long, dt date, month date"
+
+
+def summary(lineitem: DataFrame, sale_orders: DataFrame) -> DataFrame:
+    """``dt, l_partkey, user_gender, band, n``: detail rows per day, sku, gender and
+    age band, with the ``month`` they are kept under. Counts combine before their
+    shuffle, so no sku is hot."""
+    o = sale_orders.select(F.col("o_orderkey").alias("l_orderkey"), "dt", "user_gender", age_band(F.col("user_age")).alias("band"))
+    return (lineitem.select("l_orderkey", "l_partkey").join(o, "l_orderkey")
+            .groupBy("dt", "l_partkey", "user_gender", "band").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("month", F.trunc("dt", "month")))
+
+
+def write_summary(rows: DataFrame, path: str) -> None:
+    """Months of ``rows`` are written whole, the others stay: a day's new orders
+    cost the rows of its month. Inside a month rows lie by day."""
+    (rows.repartition("month").sortWithinPartitions("dt", "l_partkey")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+
+
+def read_summary(table: DataFrame, date_from: _dt.date, date_to: _dt.date) -> DataFrame:
+    """The days asked for: other months are not listed, other days are skipped by
+    the statistics of the files."""
+    return between(table.where(F.col("month").between(F.lit(date_from.replace(day=1)), F.lit(date_to.replace(day=1)))),
+                   date_from, date_to)
+
+
+def sku_counts(summary_rows: DataFrame) -> DataFrame:
+    """``l_partkey, _n``: detail rows per sku."""
+    return summary_rows.groupBy("l_partkey").agg(F.sum("n").alias("_n"))
+
+
+def with_keyword(summary_rows: DataFrame, part: DataFrame, keyword: str | None) -> DataFrame:
+    """Summary rows of the skus whose name has the keyword. A sku has a row per
+    day, gender and band, so the join meets no hot key."""
     p = part.where(keyword_filter(F.col("p_name"), keyword)).select(F.col("p_partkey").alias("l_partkey"))
-    per_sku = (lineitem.select("l_orderkey", "l_partkey").join(o, "l_orderkey")
-               .groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")))
-    return per_sku.join(p, "l_partkey").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    return summary_rows.join(p, "l_partkey")
+
+
+def total(rows: DataFrame) -> DataFrame:
+    """Number of filtered detail rows, from the summary."""
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
 
 def _share(grouped: DataFrame) -> DataFrame:
@@ -106,21 +148,22 @@ def _share(grouped: DataFrame) -> DataFrame:
                           F.round(F.col("value") / F.sum("value").over(w), 4).alias("share"))
 
 
-def gender_share(detail: DataFrame) -> DataFrame:
-    g = detail.groupBy(F.col("user_gender").alias("name")).agg(F.count(F.lit(1)).alias("value"))
-    return _share(g)
+def _counted(rows: DataFrame, name: F.Column) -> DataFrame:
+    return rows.groupBy(name.alias("name")).agg(F.sum("n").alias("value"))
+
+
+def gender_share(rows: DataFrame) -> DataFrame:
+    return _share(_counted(rows, F.col("user_gender")))
 
 
-def age_share(detail: DataFrame) -> DataFrame:
-    g = detail.groupBy(age_band(F.col("user_age")).alias("name")).agg(F.count(F.lit(1)).alias("value"))
-    return _share(g)
+def age_share(rows: DataFrame) -> DataFrame:
+    return _share(_counted(rows, F.col("band")))
 
 
-def stat_sets(detail: DataFrame) -> DataFrame:
+def stat_sets(rows: DataFrame) -> DataFrame:
     """Age bands and genders in one pass (grouping sets)."""
-    d = detail.select(age_band(F.col("user_age")).alias("band"), "user_gender")
-    g = d.groupingSets([["band"], ["user_gender"]], "band", "user_gender").agg(
-        F.count(F.lit(1)).alias("value"), F.grouping("band").alias("_gb"))
+    g = rows.groupingSets([["band"], ["user_gender"]], "band", "user_gender").agg(
+        F.sum("n").alias("value"), F.grouping("band").alias("_gb"))
     return g.select(F.when(F.col("_gb") == 0, F.lit("age")).otherwise(F.lit("gender")).alias("kind"),
                     F.when(F.col("_gb") == 0, F.col("band")).otherwise(F.col("user_gender")).alias("name"),
                     "value")

@@ -55,16 +55,25 @@ NESTED_ROLE = "assistant"
 NESTED_TOKEN = "que"
 HIGHLIGHT_TOKEN = "the"
 SEARCH_TERM_ROLE = "system"
+WEEK_DAYS = 7                            # days of the weekly active devices
+FIRST_SEEN_CUTOFF = _dt.date(2024, 1, 24)   # history before; later days are added one by one
 STREAM_DELAY = "2 days"
 STATE_PARTITIONS = 4                     # fixed for ever at a stream's first start:
                                          # give the cores that the state shall use
 UPSERT_BUCKETS = 8                       # folders of a keyed table, by hash of the key:
                                          # about one per 128 MB the table will reach
+DETAIL_BUCKETS = 16                      # buckets of orders and details by order key (at
+                                         # least the shuffle partitions): 1 per 128 MB
 MERGE_EVERY = 16                         # batches between merges of a table's parts
 DISORDER_PARTITION = 2                   # collector partition that is always ...
 DISORDER_DELAY_MS = 86_400_000           # ... this much late, within STREAM_DELAY
 LOG_WINDOW_MS = 5 * 86_400_000          # arrival window of the log replay
 ORDER_WINDOW_MS = 365 * 86_400_000      # arrival window of the order replay
+AUDIT_BATCH = 500                        # offsets of a partition in an audited micro-batch
+HOLE_EVERY, HOLE_SIZE = 7, 20            # every seventh loses its first offsets,
+OVERLAP_EVERY, OVERLAP_SIZE = 5, 10      # every fifth is followed by one that reads its last again
+REDELIVER_EVERY = 10                     # every tenth change record comes twice
+REDELIVER_WITHIN = "1 hour"              # how long the fan-out knows a change
 STALL_PARTITION = 3                      # collector partition that stalled ...
 STALL_FROM = _dt.date(2024, 1, 10)       # ... for these event days ...
 STALL_TO = _dt.date(2024, 1, 11)

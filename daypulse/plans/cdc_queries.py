@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.functions.time import MS_PER_DAY
-from daypulse.operators import cdc
+from daypulse.operators import cdc, offsets
 from daypulse.plans.oracle_common import ORDERS_CTE
 from daypulse.plans.registry import query
 from daypulse.session import work_path
@@ -159,3 +159,56 @@ def batch_offset_audit(spark, sf_dir):
     batch = F.floor(F.unix_millis("timestamp") / F.lit(MS_PER_DAY)).cast("bigint")
     return cdc.offset_ranges(recs, batch).select(
         "batch_id", "topic", "partition", "from_offset", "until_offset", "n")
+
+
+def audited_batches(spark, sf_dir):
+    """Offset audit of a log topic of which some micro-batches lost their first
+    records and some read the end of the one before again."""
+    n = params.AUDIT_BATCH
+    r = read_table(spark, sf_dir, "events").select(
+        F.lit(params.RAW_LOG_TOPIC).alias("topic"),
+        F.pmod("event_id", F.lit(params.LOG_PARTITIONS)).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / F.lit(params.LOG_PARTITIONS)).alias("offset"))
+    r = r.withColumn("batch", F.floor(F.col("offset") / F.lit(n))).withColumn("nth", F.col("offset") % n)
+    got = r.where(~((F.col("batch") % params.HOLE_EVERY == 3) & (F.col("nth") < params.HOLE_SIZE)))
+    again = r.where((F.col("batch") % params.OVERLAP_EVERY == 4) & (F.col("nth") >= n - params.OVERLAP_SIZE))
+    feed = got.unionByName(again.withColumn("batch", F.col("batch") + 1))
+    return cdc.offset_ranges(feed, F.col("batch"))
+
+
+AUDIT_CTE = f"""
+e AS (SELECT CAST(event_id % {params.LOG_PARTITIONS} AS INTEGER) AS part, event_id // {params.LOG_PARTITIONS} AS o FROM events),
+r AS (SELECT part, o, o // {params.AUDIT_BATCH} AS batch, o % {params.AUDIT_BATCH} AS nth FROM e),
+feed AS (
+  SELECT part, o, batch FROM r WHERE NOT (batch % {params.HOLE_EVERY} = 3 AND nth < {params.HOLE_SIZE})
+  UNION ALL
+  SELECT part, o, batch + 1 FROM r WHERE batch % {params.OVERLAP_EVERY} = 4 AND nth >= {params.AUDIT_BATCH - params.OVERLAP_SIZE}),
+a AS (SELECT part, batch, min(o) AS f, max(o) + 1 AS u FROM feed GROUP BY part, batch)"""
+
+
+@query("offset_continuity", f"""
+WITH {AUDIT_CTE},
+m AS (SELECT a.*, (SELECT max(b.u) FROM a b WHERE b.part = a.part AND b.batch < a.batch) AS reached FROM a)
+SELECT '{params.RAW_LOG_TOPIC}' AS topic, part AS "partition", batch AS batch_id, 'hole' AS kind,
+       reached AS from_offset, f AS until_offset FROM m WHERE f > reached
+UNION ALL
+SELECT '{params.RAW_LOG_TOPIC}', part, batch, 'overlap', f, least(reached, u) FROM m WHERE f < reached
+""")
+def offset_continuity(spark, sf_dir):
+    """Where a micro-batch does not begin where those before it ended: offsets
+    never read and offsets read twice, per partition."""
+    return offsets.continuity(audited_batches(spark, sf_dir))
+
+
+@query("offset_runs", f"""
+WITH {AUDIT_CTE},
+n AS (SELECT part, o, o - row_number() OVER (PARTITION BY part ORDER BY o) AS island
+      FROM (SELECT DISTINCT a.part, x.o FROM a, LATERAL (SELECT unnest(range(a.f, a.u)) AS o) x)),
+i AS (SELECT part, min(o) AS f, max(o) + 1 AS u FROM n GROUP BY part, island)
+SELECT '{params.RAW_LOG_TOPIC}' AS topic, i.part AS "partition", min(a.batch) AS first_batch, max(a.batch) AS last_batch,
+       i.f AS from_offset, i.u AS until_offset
+FROM i JOIN a ON a.part = i.part AND a.f >= i.f AND a.u <= i.u GROUP BY i.part, i.f, i.u
+""")
+def offset_runs(spark, sf_dir):
+    """The unbroken stretches of offsets that were read, per partition."""
+    return offsets.runs(audited_batches(spark, sf_dir))

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.operators import dashboard as dash
+from daypulse.operators import device_sets, dynamic, first_seen
 from daypulse.operators import logs as L
 from daypulse.operators.dedup import daily_active, daily_active_keys
+from daypulse.plans.derived import derived
 from daypulse.plans.oracle_common import DAU_CTE, LOG_DAY, LOGS_CTE
 from daypulse.plans.registry import query
+from daypulse.schemas import APP_LOG
 from daypulse.session import work_path
 from daypulse.sinks.files import archive_raw
 from daypulse.sources.replay import app_log_records
@@ -32,19 +35,34 @@ def dau_keys(spark, sf_dir):
     return daily_active_keys(L.start_logs(parsed_logs(spark, sf_dir)))
 
 
-_daily: dict[tuple[str, str], str] = {}
+LOG_INPUTS = ("events", "customer")
 
 
 def daily_table(spark, sf_dir):
     """The daily active-device table, partitioned by day, as the daily job
-    leaves it for the dashboards: written once per application and input, then
-    read with partition pruning."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _daily:
-        path = work_path(spark, "daily_table")
+    leaves it for the dashboards, read with partition pruning."""
+    def build(path):
         dau_table(spark, sf_dir).repartition("dt").write.partitionBy("dt").parquet(path)
-        _daily[key] = path
-    return spark.read.parquet(_daily[key])
+
+    return spark.read.parquet(derived(spark, sf_dir, "daily_table", LOG_INPUTS, build))
+
+
+def first_seen_table(spark, sf_dir):
+    """First day of every device, one folder per day, as the daily job leaves it."""
+    def build(path):
+        first_seen.start_table(L.good_logs(parsed_logs(spark, sf_dir)).select("mid", "dt"), path)
+
+    return first_seen.read_table(spark, derived(spark, sf_dir, "first_seen", LOG_INPUTS, build))
+
+
+def device_set_table(spark, sf_dir):
+    """Bitmaps of the active devices per day and hour, by day, as the daily job
+    leaves them."""
+    def build(path):
+        start = L.start_logs(parsed_logs(spark, sf_dir)).select("dt", "hr", "mid").distinct()
+        device_sets.write_sets(device_sets.hour_sets(start, device_sets.add_devices(start)), path)
+
+    return device_sets.read_sets(spark, derived(spark, sf_dir, "device_sets", LOG_INPUTS, build))
 
 
 @query("log_source_replay", """
@@ -196,7 +214,91 @@ SELECT first_dt AS dt, count(*) AS n FROM (SELECT mid, min(dt) AS first_dt FROM
 GROUP BY first_dt
 """)
 def new_devices(spark, sf_dir):
-    return dash.new_devices(L.good_logs(parsed_logs(spark, sf_dir)))
+    """Devices first seen per day, from the first-seen table."""
+    return first_seen.new_devices(first_seen_table(spark, sf_dir))
+
+
+@query("first_seen_devices", f"""
+WITH {LOGS_CTE}
+SELECT mid, min(dt) AS first_dt FROM logs GROUP BY mid
+""")
+def first_seen_devices(spark, sf_dir):
+    """First day of every device out of a table that history starts and later days
+    are added to one by one, every second pair of days in the wrong order."""
+    path = work_path(spark, "first_seen_days")
+    logs = spark.read.parquet(derived(
+        spark, sf_dir, "log_devices", LOG_INPUTS,
+        lambda p: L.good_logs(parsed_logs(spark, sf_dir)).select("mid", "dt").distinct()
+        .repartition("dt").write.partitionBy("dt").parquet(p)))
+    first_seen.start_table(logs.where(F.col("dt") < F.lit(params.FIRST_SEEN_CUTOFF)), path)
+    days = sorted(r.dt for r in logs.where(F.col("dt") >= F.lit(params.FIRST_SEEN_CUTOFF)).select("dt").distinct().collect())
+    for k in range(1, len(days), 4):
+        days[k - 1:k + 1] = days[k - 1:k + 1][::-1]
+    for day in days:
+        first_seen.add_day(spark, path, logs.where(F.col("dt") == F.lit(day)), day)
+    return first_seen.read_table(spark, path)
+
+
+@query("device_set_hours", f"""
+WITH {LOGS_CTE},
+s AS (SELECT DISTINCT dt, hr, mid FROM logs WHERE kind = 'start'),
+h AS (SELECT dt, hr, count(*) AS n FROM s GROUP BY dt, hr)
+SELECT h.dt, h.hr, h.n, (SELECT count(DISTINCT mid) FROM s WHERE s.dt = h.dt AND s.hr <= h.hr) AS cum
+FROM h
+""")
+def device_set_hours(spark, sf_dir):
+    """Devices active in each hour and in the day so far, from bitmaps alone."""
+    return device_sets.through_the_day(device_set_table(spark, sf_dir))
+
+
+@query("device_set_days", f"""
+WITH {LOGS_CTE},
+s AS (SELECT DISTINCT dt, mid FROM logs WHERE kind = 'start'),
+d AS (SELECT dt, count(*) AS value FROM s GROUP BY dt)
+SELECT d.dt, d.value,
+  (SELECT count(DISTINCT mid) FROM s WHERE s.dt BETWEEN d.dt - INTERVAL {params.WEEK_DAYS - 1} DAY AND d.dt) AS week,
+  (SELECT count(*) FROM s JOIN s y ON y.mid = s.mid AND y.dt = s.dt - INTERVAL 1 DAY WHERE s.dt = d.dt) AS back
+FROM d
+""")
+def device_set_days(spark, sf_dir):
+    """Devices of each day, of the week up to it, and those back from the day
+    before, from bitmaps alone."""
+    return device_sets.day_figures(device_set_table(spark, sf_dir), params.WEEK_DAYS)
+
+
+@query("log_fields", """
+WITH e AS (SELECT event_type AS t, c.c_nationkey AS ar, json_extract_string(e.props, '$.k') AS k
+           FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id),
+f AS (
+  SELECT 'common' AS path, 'OBJECT' AS kind FROM e
+  UNION ALL SELECT unnest(['common.mid', 'common.uid', 'common.ch']), 'STRING' FROM e
+  UNION ALL SELECT 'common.ar', CASE WHEN ar IS NULL THEN 'VOID' ELSE 'STRING' END FROM e
+  UNION ALL SELECT 'common.vc', CASE WHEN k IS NULL THEN 'VOID' ELSE 'STRING' END FROM e
+  UNION ALL SELECT 'ts', 'BIGINT' FROM e
+  UNION ALL SELECT 'start', CASE WHEN t IN ('view', 'signup') THEN 'OBJECT' WHEN t = 'click' THEN 'STRING' ELSE 'VOID' END
+            FROM e WHERE t IN ('view', 'signup', 'click', 'error')
+  UNION ALL SELECT 'start.entry', 'STRING' FROM e WHERE t IN ('view', 'signup'))
+SELECT path, kind, path <> 'start.entry' AS declared, count(*) AS n FROM f GROUP BY path, kind
+""")
+def log_fields(spark, sf_dir):
+    """Every field that occurs in the logs with the kinds it occurs in, whether a
+    schema declares it or not."""
+    return dynamic.census(dynamic.with_document(app_log_records(spark, sf_dir)), APP_LOG)
+
+
+@query("log_entries", """
+SELECT CAST(ts AS DATE) AS dt, CASE event_type WHEN 'view' THEN 'icon' ELSE 'notice' END AS entry, count(*) AS n
+FROM events
+WHERE event_type IN ('view', 'signup') AND event_id % {a} <> 0 AND event_id % {b} <> 0
+  AND event_id % {c} <> 0 AND event_id % {d} <> 0
+GROUP BY 1, 2
+""".format(a=params.CORRUPT_EVERY, b=params.NO_COMMON_EVERY, c=params.BAD_CLOCK_EVERY, d=params.HUGE_TS_EVERY))
+def log_entries(spark, sf_dir):
+    """Starts per day by ``start.entry``, a field that no schema declares, out of a
+    feed with damaged lines."""
+    good = L.start_logs(parsed_logs(spark, sf_dir, corrupt=True))
+    return (dynamic.with_document(good.select("dt", "value")).groupBy("dt", dynamic.field("$.start.entry").alias("entry"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("hourly_active", f"""
@@ -227,8 +329,9 @@ SELECT '{params.KPI_NEW_MID[0]}', '{params.KPI_NEW_MID[1]}', count(*)
 FROM (SELECT mid, min(dt) AS f FROM logs GROUP BY mid) WHERE f = DATE '{LOG_DAY}'
 """)
 def kpi_total(spark, sf_dir):
-    """Active and new devices of the day, from one aggregate per device."""
-    return dash.kpi_total_from_logs(L.good_logs(parsed_logs(spark, sf_dir)), D)
+    """Active and new devices of the day: that day of the daily table and of the
+    first-seen table."""
+    return dash.kpi_total(daily_table(spark, sf_dir), first_seen_table(spark, sf_dir), D)
 
 
 @query("kpi_dod_rate", f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from daypulse import params
 from daypulse.functions.text import token_pattern
 from daypulse.operators import sales as S
+from daypulse.plans.derived import derived
 from daypulse.plans.oracle_common import USER_DIM_SQL
 from daypulse.plans.registry import query
 from daypulse.sources.tables import read_table
@@ -13,13 +14,60 @@ KW = token_pattern(params.SALES_KEYWORD)
 DFROM, DTO = params.SALES_DATE_FROM.isoformat(), params.SALES_DATE_TO.isoformat()
 
 
+def bucketed(spark, sf_dir, name, inputs, rows, key):
+    """``rows`` as a table bucketed and sorted by ``key``, so that two such tables
+    join on it without moving. The files lie in the work folder; the catalog
+    entry is this session's."""
+    def build(path):
+        buckets = max(params.DETAIL_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows().repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format(
+            "parquet").saveAsTable(table_name(path))
+
+    def table_name(path):
+        return f"daypulse_{name}_{path.rsplit('/', 1)[1]}"
+
+    return spark.table(table_name(derived(spark, sf_dir, name, inputs, build)))
+
+
+def tables(spark, sf_dir):
+    return {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "part")}
+
+
+def orders_by_key(spark, sf_dir):
+    """Orders with their users, laid out by order."""
+    t = tables(spark, sf_dir)
+    return bucketed(spark, sf_dir, "sale_orders", ("orders", "customer"),
+                    lambda: S.sale_orders(t["orders"], t["customer"]), "o_orderkey")
+
+
+def details_by_key(spark, sf_dir):
+    """Order lines, laid out by order."""
+    t = tables(spark, sf_dir)
+    return bucketed(spark, sf_dir, "sale_details", ("lineitem",), lambda: t["lineitem"].select(*S.DETAIL_KEY), "l_orderkey")
+
+
+def summary(spark, sf_dir):
+    """The daily sales summary, kept by month."""
+    def build(path):
+        S.write_summary(S.summary(details_by_key(spark, sf_dir), orders_by_key(spark, sf_dir)), path)
+
+    path = derived(spark, sf_dir, "sale_summary", ("lineitem", "orders", "customer"), build)
+    return spark.read.schema(S.SUMMARY_SCHEMA).parquet(path)
+
+
+def asked(spark, sf_dir):
+    """Summary rows of the page's dates and keyword."""
+    rows = S.read_summary(summary(spark, sf_dir), params.SALES_DATE_FROM, params.SALES_DATE_TO)
+    return S.with_keyword(rows, read_table(spark, sf_dir, "part"), params.SALES_KEYWORD)
+
+
 def detail(spark, sf_dir, filtered=True, keep_key=False):
-    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "part")}
-    if filtered:
-        return S.wide_detail(t["lineitem"], t["orders"], t["customer"], t["part"],
-                             params.SALES_DATE_FROM, params.SALES_DATE_TO, params.SALES_KEYWORD,
-                             keep_key=keep_key)
-    return S.wide_detail(t["lineitem"], t["orders"], t["customer"], t["part"], keep_key=keep_key)
+    frames = (details_by_key(spark, sf_dir), orders_by_key(spark, sf_dir), read_table(spark, sf_dir, "part"))
+    kept = summary(spark, sf_dir)
+    if not filtered:
+        return S.wide_detail(*frames, S.sku_counts(kept), keep_key=keep_key)
+    days = (params.SALES_DATE_FROM, params.SALES_DATE_TO)
+    return S.wide_detail(*frames, S.sku_counts(S.read_summary(kept, *days)), *days, params.SALES_KEYWORD, keep_key)
 
 
 WIDE_SQL = f"""
@@ -59,9 +107,7 @@ def sale_detail_page(spark, sf_dir):
 
 @query("sale_detail_total", f"WITH {FILTERED_SQL}\nSELECT count(*) AS total FROM f")
 def sale_detail_total(spark, sf_dir):
-    t = {n: read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "part")}
-    return S.total(t["lineitem"], t["orders"], t["part"], params.SALES_DATE_FROM, params.SALES_DATE_TO,
-                   params.SALES_KEYWORD)
+    return S.total(asked(spark, sf_dir))
 
 
 @query("sale_gender_share", f"""WITH {FILTERED_SQL}
@@ -69,7 +115,7 @@ SELECT user_gender AS name, count(*) AS value,
        round(count(*) / sum(count(*)) OVER (), 4) AS share
 FROM f GROUP BY user_gender""")
 def sale_gender_share(spark, sf_dir):
-    return S.gender_share(detail(spark, sf_dir))
+    return S.gender_share(asked(spark, sf_dir))
 
 
 AGE_CASE = f"""CASE WHEN user_age < 20 THEN '{params.AGE_BAND_UNDER_20}'
@@ -82,7 +128,7 @@ SELECT {AGE_CASE} AS name, count(*) AS value,
        round(count(*) / sum(count(*)) OVER (), 4) AS share
 FROM f GROUP BY 1""")
 def sale_age_share(spark, sf_dir):
-    return S.age_share(detail(spark, sf_dir))
+    return S.age_share(asked(spark, sf_dir))
 
 
 @query("sale_stat_sets", f"""WITH {FILTERED_SQL},
@@ -92,7 +138,7 @@ SELECT CASE WHEN GROUPING(band) = 0 THEN 'age' ELSE 'gender' END AS kind,
        count(*) AS value
 FROM g GROUP BY GROUPING SETS ((band), (user_gender))""")
 def sale_stat_sets(spark, sf_dir):
-    return S.stat_sets(detail(spark, sf_dir))
+    return S.stat_sets(asked(spark, sf_dir))
 
 
 @query("province_sales", f"""

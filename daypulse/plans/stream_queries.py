@@ -6,19 +6,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daypulse import params
+from daypulse.functions.time import MS_PER_DAY
 from daypulse.plans.cdc_queries import ROUTED_SQL, two_table_records
 from daypulse.plans.oracle_common import DAU_CTE, FIRST_CTE, LOGS_CTE
 from daypulse.plans.order_queries import WIDE_ORDER_SQL, dimensions, wide_columns
 from daypulse.plans.registry import query
 from daypulse.session import work_path
-from daypulse.sinks.files import archive_raw
 from daypulse.sinks.parts import read_parts
 from daypulse.sinks.topics import file_topics
 from daypulse.sources.replay import app_log_records, cdc_records
 from daypulse.streaming import dau as dau_stream
 from daypulse.streaming import jobs
-from daypulse.streaming.first_order import order_table, start_first_order
-from daypulse.streaming.reconcile import late_days, recompute, reconcile, repair
+from daypulse.streaming.first_order import order_table
+from daypulse.streaming.hours import hour_table
+from daypulse.streaming.reconcile import repair_late
 from daypulse.streaming.runner import replay_windows
 
 STATE = params.STATE_PARTITIONS
@@ -45,31 +46,75 @@ def run_state_dedup(spark, records):
     return table, progress
 
 
+def run_dau_job(spark, records):
+    """The device job over all windows: its table, its late rows, its progress."""
+    table, late, ckpt = (work_path(spark, x) for x in ("dau_table", "dau_late", "ckpt_dau"))
+
+    def start(landing):
+        own = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.dau_job(own, table, late, ckpt, params.STREAM_DELAY, interval=None)
+
+    return table, late, replay_windows(spark, records, params.LOG_WINDOW_MS, start)
+
+
+def disordered(spark, sf_dir):
+    """Log records of which one collector partition is always a day late, so that
+    rows come out of order within the watermark's delay."""
+    return delayed(app_log_records(spark, sf_dir), F.col("partition") == params.DISORDER_PARTITION,
+                   params.DISORDER_DELAY_MS)
+
+
 @query("stream_dau", f"""
 WITH {LOGS_CTE}
 SELECT DISTINCT dt, mid FROM logs WHERE kind = 'start'
 """)
 def stream_dau(spark, sf_dir):
-    """(dt, mid) keys kept by the watermarked state-store dedup stream. One
-    collector partition is always a day late, so rows come out of order within
-    the watermark's delay."""
-    records = delayed(app_log_records(spark, sf_dir), F.col("partition") == params.DISORDER_PARTITION,
-                      params.DISORDER_DELAY_MS)
-    table, _ = run_state_dedup(spark, records)
+    """(dt, mid) keys kept by the watermarked state-store dedup stream, rows out
+    of order."""
+    table, _ = run_state_dedup(spark, disordered(spark, sf_dir))
     return dau_stream.stream_keys(spark, table)
 
 
+@query("stream_device_rows", f"""
+WITH {DAU_CTE}
+SELECT mid, uid, ar, ch, vc, dt, hr, ts FROM dau
+""")
+def stream_device_rows(spark, sf_dir):
+    """Device job: the whole first row of each device and day, chosen inside its
+    first micro-batch against the engine's state, read back from the daily table."""
+    table, _, _ = run_dau_job(spark, app_log_records(spark, sf_dir))
+    return dau_stream.daily_table(spark, table)
+
+
 @query("stream_hour_counts", f"""
 WITH {DAU_CTE}
-SELECT dt, hr, count(*) AS n FROM dau GROUP BY dt, hr
+SELECT dt, hr, count(*) AS n FROM dau
+WHERE epoch_ms(CAST(dt AS TIMESTAMP)) + {MS_PER_DAY} <= (SELECT max(ts) FROM logs WHERE kind = 'start') - {params.STREAM_DELAY_MS}
+GROUP BY dt, hr
 """)
 def stream_hour_counts(spark, sf_dir):
-    """Active devices per day and hour, read from the table the
-    first-arrival stream maintains."""
-    table, ckpt = work_path(spark, "dau_table"), work_path(spark, "ckpt_dau_t")
-    replay_windows(spark, app_log_records(spark, sf_dir), params.LOG_WINDOW_MS,
-                   lambda landing: dau_stream.start_table_dedup(spark, landing, table, ckpt, STATE, 1))
-    return dau_stream.daily_table(spark, table).groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
+    """Active devices per hour of every closed day, emitted by the stream: the
+    first log per device and day and the count per hour are two stateful
+    operators of one query. One collector partition is always a day late."""
+    table, ckpt = work_path(spark, "hours"), work_path(spark, "ckpt_hours")
+
+    def start(landing):
+        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.hour_job(records, table, ckpt, params.STREAM_DELAY, interval=None)
+
+    replay_windows(spark, disordered(spark, sf_dir), params.LOG_WINDOW_MS, start)
+    return hour_table(spark, table)
+
+
+def run_order_job(spark, sf_dir, dims=None):
+    table, ckpt = work_path(spark, "orders"), work_path(spark, "ckpt_orders")
+
+    def start(landing):
+        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.order_job(records, table, dims, ckpt, interval=None)
+
+    replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS, start)
+    return order_table(spark, table)
 
 
 @query("stream_first_order", f"""
@@ -77,28 +122,16 @@ WITH {FIRST_CTE}
 SELECT id, user_id, if_first_order FROM firsts
 """)
 def stream_first_order(spark, sf_dir):
-    """First-order flag from keyed state across micro-batches (orders replayed
-    in create-time order, one window per year)."""
-    table, ckpt = work_path(spark, "order_flags"), work_path(spark, "ckpt_first")
-    state = work_path(spark, "user_state")
-    replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS,
-                   lambda landing: start_first_order(spark, landing, table, ckpt, state, STATE, 1))
-    return order_table(spark, table).select("id", "user_id", "if_first_order")
+    """First-order flag from the engine's state per user across micro-batches
+    (orders replayed in create-time order, one window per year)."""
+    return run_order_job(spark, sf_dir).select("id", "user_id", "if_first_order")
 
 
 @query("stream_order_wide", WIDE_ORDER_SQL)
 def stream_order_wide(spark, sf_dir):
-    """Order job: typed, flagged against the user state, province and user
-    merged, saved; read back as wide rows."""
-    table, state, ckpt = (work_path(spark, x) for x in ("orders", "user_state", "ckpt_orders"))
-    provinces, users = dimensions(spark, sf_dir)
-
-    def start(landing):
-        records = jobs.source(spark, STATE, landing=landing, max_files=1)
-        return jobs.order_job(records, table, state, provinces, users, ckpt, interval=None)
-
-    replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS, start)
-    return wide_columns(order_table(spark, table))
+    """Order job: typed, flagged against the user state, province and user of
+    that moment merged, saved; read back as wide rows."""
+    return wide_columns(run_order_job(spark, sf_dir, lambda batch_spark: dimensions(batch_spark, sf_dir)))
 
 
 @query("stream_fan_out", ROUTED_SQL)
@@ -115,6 +148,24 @@ def stream_fan_out(spark, sf_dir):
     return read_parts(spark, out, "topic").select("topic", "key", "value")
 
 
+@query("stream_fan_out_once", ROUTED_SQL)
+def stream_fan_out_once(spark, sf_dir):
+    """Fan-out of a feed of which every tenth record is delivered twice, half of
+    those a window later: each change reaches its topic once."""
+    records = two_table_records(spark, sf_dir)
+    again = records.where(F.pmod("offset", F.lit(params.REDELIVER_EVERY)) == 0)
+    later = F.pmod("offset", F.lit(2 * params.REDELIVER_EVERY)) == 0
+    feed = records.unionByName(delayed(again, later, params.ORDER_WINDOW_MS))
+    out, ckpt = work_path(spark, "topics"), work_path(spark, "ckpt_fan_out")
+
+    def start(landing):
+        own = jobs.source(spark, STATE, landing=landing, max_files=1)
+        return jobs.fan_out_job(own, file_topics(out), ckpt, interval=None, once_within=params.REDELIVER_WITHIN)
+
+    replay_windows(spark, feed, params.ORDER_WINDOW_MS, start)
+    return read_parts(spark, out, "topic").select("topic", "key", "value")
+
+
 @query("stream_log_split", """
 SELECT CASE WHEN e.event_type IN ('view', 'signup') THEN '{start}' ELSE '{event}' END AS topic,
   CAST(e.user_id AS VARCHAR) AS key,
@@ -162,22 +213,13 @@ SELECT a.dt, a.mid, CASE WHEN k.mid IS NOT NULL THEN 'kept' ELSE 'repaired' END
 FROM allk a LEFT JOIN kept k ON k.dt = a.dt AND k.mid = a.mid
 """)
 def dau_reconcile(spark, sf_dir):
-    """Stream with a stalled partition (its rows for two days arrive ten days
-    late): keys whose rows all came after the watermark are missing from the
-    stream table. Only days that can have lost rows are recomputed from the
-    archive; on the others the stream's keys stand."""
+    """Device job with a stalled partition (its rows for two days arrive ten days
+    late): keys whose rows all came after the watermark had closed their day are
+    missing from the stream's table and lie in its late table, from which they
+    are repaired."""
     recs = stalled(app_log_records(spark, sf_dir), params.STALL_PARTITION, params.STALL_FROM,
                    params.STALL_TO, params.STALL_DELAY_MS)
-    archive = spark.read.parquet(archive_raw(spark, recs))   # the collector's raw archive (S6)
-    table, _ = run_state_dedup(spark, recs)
-    days = late_days(archive, params.STREAM_DELAY_MS)
-    keys = dau_stream.stream_keys(spark, table)
-    kept = keys.where(~F.col("dt").isin(days)) if days else keys
-    kept = kept.select("dt", "mid", F.lit("kept").alias("status"))
-    if not days:
-        return kept
-    late = keys.where(F.col("dt").isin(days))
-    batch_rows = recompute(archive, days)
-    repair(table, batch_rows, late)
-    # the stream's own keys leave repairs out, so the status can stay lazy
-    return kept.unionByName(reconcile(late, batch_rows.select("dt", "mid")))
+    table, late, _ = run_dau_job(spark, recs)
+    kept = dau_stream.stream_keys(spark, table).select("dt", "mid", F.lit("kept").alias("status"))
+    repaired = repair_late(spark, table, late)
+    return kept if repaired is None else kept.unionByName(repaired.withColumn("status", F.lit("repaired")))

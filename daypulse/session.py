@@ -93,6 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of the file at ``path`` or of those directly in it."""
+    fs, p = _hadoop_path(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_path(spark, path)
     fs.delete(p, True)

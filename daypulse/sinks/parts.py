@@ -8,7 +8,9 @@ the number of batches.
 
 A merged part counts from the moment its success marker stands; it then stands
 for every part up to its batch, whether those are deleted yet or not. So a crash
-at any point neither loses nor doubles a row. ``part=r`` holds repaired rows."""
+at any point neither loses nor doubles a row. The parts that a merge replaces are
+deleted by the next merge, so a frame built before a merge still finds its files.
+``part=r`` holds repaired rows."""
 
 from __future__ import annotations
 
@@ -73,6 +75,7 @@ def merge_parts(spark: SparkSession, path: str, by: str, values: Iterable, every
         target = f"part=m-{batches[-1].split('-')[1]}"
         rows = spark.read.parquet(*[f"{folder}/{p}" for p in parts])
         resolve(rows).write.mode("overwrite").parquet(f"{folder}/{target}")
-        for name in child_folders(spark, folder):
-            if name not in (target, REPAIR) and name.split("-")[-1] <= target.split("-")[1]:
-                delete_path(spark, f"{folder}/{name}")
+        if parts[0].startswith("part=m-"):
+            for name in child_folders(spark, folder):
+                if name not in (parts[0], REPAIR) and name.split("-")[-1] <= parts[0].split("-")[1]:
+                    delete_path(spark, f"{folder}/{name}")

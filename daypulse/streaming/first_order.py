@@ -2,27 +2,25 @@
 ever seen gets ``if_first_order='1'``. Inside a batch the earliest order by
 (create_time, id) is the first.
 
-``foreachBatch`` computes the per-user minimum (combines map-side, so a user
-with a third of the batch costs no single task), anti-joins it with the
-user-state table and appends the new users. State rows carry the ``batch_id``
-that wrote them and a batch only trusts rows of earlier batches, so a replayed
-batch recomputes the same flags and overwrites its own parts. The state is kept
-by bucket of the user (``sinks.parts``): a batch reads the buckets of its users,
-and merges keep the parts of a bucket bounded."""
+The state is in the engine (``streaming.keyed``): per user, the number of orders
+ever counted. A batch reads the state of its own users, however many are known,
+and a user with a third of the batch costs no single task."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from daypulse import params
 from daypulse.operators import cdc
-from daypulse.operators.orders import enrich, first_orders
-from daypulse.sinks.parts import merge_parts, read_parts, write_batch
-from daypulse.sinks.upsert import bucket_of
-from daypulse.sources.files import stream_records
-from daypulse.streaming.conf import stream_session
+from daypulse.operators.orders import enrich, first_orders, known_orders
+from daypulse.sinks.parts import read_parts, write_batch
+from daypulse.streaming.keyed import EVER, counted, rows_of, touched_keys, with_state
+
+#: Provinces and users as of now; asked for every batch, so that a change in the
+#: dimension tables reaches the next batch.
+Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
 
 def typed_order_stream(records: DataFrame) -> DataFrame:
@@ -30,29 +28,19 @@ def typed_order_stream(records: DataFrame) -> DataFrame:
     return cdc.with_time_parts(cdc.typed_orders(rows))
 
 
-def flag_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_path: str,
-               buckets: int = params.UPSERT_BUCKETS, merge_every: int = params.MERGE_EVERY) -> DataFrame:
-    """Flags for one batch against the state as of the previous batch. The new
-    users are appended to the state; only a user with a first order enters it,
-    so one whose orders had no usable id can still get a flag later."""
-    firsts = first_orders(orders).where(F.col("first_id").isNotNull())
-    firsts = firsts.withColumn("bucket", bucket_of("user_id", buckets)).persist()
-    try:
-        touched = sorted(r.bucket for r in firsts.select("bucket").distinct().collect())
-        new_users = firsts
-        state = read_parts(spark, state_path, "bucket", touched)
-        if state is not None:
-            prior = state.where(F.col("batch_id") < batch_id).select("user_id")
-            new_users = firsts.join(prior, "user_id", "left_anti")
-        write_batch(new_users.repartition("bucket"), state_path, "bucket", batch_id)
-        merge_parts(spark, state_path, "bucket", touched, merge_every)
-    finally:
-        firsts.unpersist()
-    first = F.lit("0")
-    if (written := read_parts(spark, state_path, "bucket", touched)) is not None:
-        mine = written.where(F.col("batch_id") == batch_id).select(F.col("first_id").alias("id"), F.lit("1").alias("_f"))
-        orders, first = orders.join(mine, "id", "left"), F.coalesce("_f", F.lit("0"))
-    return orders.withColumn("if_first_order", first).drop("_f")
+def orders_with_users(orders: DataFrame) -> DataFrame:
+    """Typed orders beside the state of their users. Only a user with an order
+    that can be first is counted, so one whose orders had no usable id can still
+    get a flag later."""
+    return with_state(orders, counted(known_orders(orders), ["user_id"]))
+
+
+def flag_batch(orders: DataFrame, users: DataFrame) -> DataFrame:
+    """Flags of one batch: the first order of each user whose orders, as counted
+    by the state, are all in this batch."""
+    firsts = first_orders(orders, count="n_now").join(users, "user_id")
+    mine = firsts.where(F.col("n_now") == F.col(EVER)).select(F.col("first_id").alias("id"), F.lit("1").alias("_f"))
+    return orders.join(mine, "id", "left").withColumn("if_first_order", F.coalesce("_f", F.lit("0"))).drop("_f")
 
 
 def order_year():
@@ -60,29 +48,21 @@ def order_year():
     return F.coalesce(F.substring("create_date", 1, 4), F.lit("none"))
 
 
-def order_sink(table: str, state_path: str, provinces: DataFrame | None = None, users: DataFrame | None = None):
-    """foreachBatch body over typed orders: flag, join province and user where
-    they are given, save the state and the orders. The batch is parsed once."""
+def order_sink(table: str, dimensions: Dimensions | None = None):
+    """foreachBatch body over ``orders_with_users``: flag, join province and user
+    where they are given, save. The batch is parsed once."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        orders = df.persist()
+        batch = df.persist()
         try:
-            flagged = flag_batch(spark, orders, batch_id, state_path)
-            if provinces is not None and users is not None:
-                flagged = enrich(flagged, provinces, users, orders)
+            orders = rows_of(batch)
+            flagged = flag_batch(orders, touched_keys(batch))
+            if dimensions is not None:
+                flagged = enrich(flagged, *dimensions(df.sparkSession), orders)
             write_batch(flagged.withColumn("year", order_year()), table, "year", batch_id)
         finally:
-            orders.unpersist()
+            batch.unpersist()
     return sink
 
 
-def start_first_order(spark: SparkSession, landing: str, table: str, checkpoint: str, state_path: str,
-                      state_partitions: int, max_files: int | None = None, provinces: DataFrame | None = None,
-                      users: DataFrame | None = None) -> StreamingQuery:
-    records = stream_records(stream_session(spark, state_partitions), landing, max_files)
-    return (typed_order_stream(records).writeStream.foreachBatch(order_sink(table, state_path, provinces, users))
-            .option("checkpointLocation", checkpoint).queryName("first_order").trigger(availableNow=True).start())
-
-
 def order_table(spark: SparkSession, table: str) -> DataFrame:
     return read_parts(spark, table, "year")

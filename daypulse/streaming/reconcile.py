@@ -1,15 +1,20 @@
-"""Late-row repair (T2): compare the stream's active-device keys with a
-batch recompute from the archive of raw records."""
+"""Late-row repair (T2).
+
+The device stream writes the rows it had to drop to a table of their own
+(``dau.device_sink``), so a repair reads those and the keys of their days,
+nothing else. ``recompute`` makes any days anew from the raw archive, for when a
+table is lost or its rule has changed."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.functions.time import MS_PER_DAY
 from daypulse.operators.dedup import daily_active
 from daypulse.operators.logs import parse_logs, start_logs
-from daypulse.sinks.parts import write_parts
+from daypulse.sinks.parts import groups, write_parts
+from daypulse.streaming.dau import late_rows, stream_keys
 
 
 def late_days(archive: DataFrame, delay_ms: int) -> list:
@@ -44,7 +49,7 @@ def reconcile(stream_keys: DataFrame, batch_keys: DataFrame) -> DataFrame:
     return j.select("dt", "mid", status.alias("status"))
 
 
-REPAIR_BATCH = -1
+REPAIR, REPAIR_BATCH = "r", -1
 
 
 def repair(table: str, batch_rows: DataFrame, stream_keys: DataFrame) -> None:
@@ -54,4 +59,19 @@ def repair(table: str, batch_rows: DataFrame, stream_keys: DataFrame) -> None:
     again with the new ones, and any number of runs leave the same table. Later
     micro-batches treat repaired rows as prior keys."""
     missing = batch_rows.join(stream_keys.select("dt", "mid"), ["dt", "mid"], "left_anti")
-    write_parts(missing, table, "dt", "r", REPAIR_BATCH)
+    write_parts(missing, table, "dt", REPAIR, REPAIR_BATCH)
+
+
+def repair_late(spark: SparkSession, table: str, late: str, days: list | None = None) -> DataFrame | None:
+    """Writes the devices of the late table (of ``days``, or of all its days) that
+    the stream does not have into the daily table, and returns their keys; None
+    if nothing came late. Reads the late rows and the keys of their days. Any
+    number of runs leave the same table."""
+    found = groups(spark, late, "dt") if days is None else [str(d) for d in days]
+    rows = late_rows(spark, late, found) if found else None
+    if rows is None:
+        return None
+    known = stream_keys(spark, table, found)
+    missing = rows if known is None else rows.join(known, ["dt", "mid"], "left_anti")
+    write_parts(missing, table, "dt", REPAIR, REPAIR_BATCH)
+    return missing.select("dt", "mid")

@@ -193,7 +193,9 @@ def test_keyset_page_continues_offset_page(spark):
     from daypulse.sources.tables import read_table
     from tests.conftest import SF_SMALL
     t = {n: read_table(spark, SF_SMALL, n) for n in ("lineitem", "orders", "customer", "part")}
-    d = S.wide_detail(t["lineitem"], t["orders"], t["customer"], t["part"], keep_key=True)
+    o = S.sale_orders(t["orders"], t["customer"])
+    counts = S.sku_counts(S.summary(t["lineitem"], o))
+    d = S.wide_detail(t["lineitem"], o, t["part"], counts, keep_key=True)
     keys = [f"_k_{k}" for k in S.DETAIL_KEY]
     first = S.keyset_page(d, None, 15).collect()
     nxt = S.keyset_page(d, tuple(first[-1][k] for k in keys), 10).select(*S.WIDE_COLUMNS).collect()
@@ -236,14 +238,14 @@ def test_reply_shapes(spark):
 
 def test_one_pass_kpi_equals_two_aggregates(spark):
     from daypulse import params
-    from daypulse.operators.dashboard import kpi_total, kpi_total_from_logs
+    from daypulse.operators.dashboard import first_seen, kpi_total, kpi_total_from_logs
     from daypulse.operators.dedup import daily_active_keys
     from daypulse.operators.logs import good_logs
     from daypulse.plans.log_queries import parsed_logs
     from tests.conftest import SF_SMALL
     logs = parsed_logs(spark, SF_SMALL)
     one = sorted(tuple(r) for r in kpi_total_from_logs(good_logs(logs), params.LOG_DAY).collect())
-    two = sorted(tuple(r) for r in kpi_total(daily_active_keys(start_logs(logs)), good_logs(logs),
+    two = sorted(tuple(r) for r in kpi_total(daily_active_keys(start_logs(logs)), first_seen(good_logs(logs)),
                                             params.LOG_DAY).collect())
     assert one == two
 

@@ -8,8 +8,7 @@ import pytest
 from daypulse.plans.catalog import QUERIES as Q
 from tests.conftest import SF_SMALL
 
-STREAMS = {"stream_dau", "stream_hour_counts", "stream_first_order", "stream_order_wide", "stream_fan_out",
-           "stream_log_split", "dau_reconcile"}
+STREAMS = {name for name in Q if name.startswith("stream_")} | {"dau_reconcile"}
 
 
 def plan(df):
@@ -56,10 +55,47 @@ def test_search_request_is_top_k(spark):
 def test_sales_page_is_top_k_and_filters_reach_scans(spark):
     p = plan(Q["sale_detail_page"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
-    scans = [line for line in p.splitlines() if "orders.parquet" in line]
+    scans = [line for line in p.splitlines() if "sale_orders" in line and "PushedFilters" in line]
     assert scans
     for line in scans:
-        assert "GreaterThanOrEqual(o_orderdate" in line and "LessThan" in line, line
+        assert "GreaterThanOrEqual(dt" in line and "LessThanOrEqual(dt" in line, line
+
+
+def test_detail_rows_do_not_move_for_the_order_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes = tree(Q["sale_detail_wide"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [k for k, (_, line) in enumerate(nodes) if line.startswith("SortMergeJoin [l_orderkey")]
+    assert len(joins) == 1 and not any(x.startswith("Exchange") for x in below(nodes, joins[0]))
+
+
+SUMMARY_QUERIES = ["sale_gender_share", "sale_age_share", "sale_stat_sets", "sale_detail_total"]
+
+
+@pytest.mark.parametrize("name", SUMMARY_QUERIES)
+def test_sales_figures_read_the_days_of_the_summary(spark, name):
+    p = plan(Q[name](spark, SF_SMALL))
+    for table in ("lineitem.parquet", "orders.parquet", "customer.parquet", "sale_details", "sale_orders"):
+        assert table not in p
+    scans = [line for line in p.splitlines() if "sale_summary" in line and "PartitionFilters" in line]
+    assert scans and all("month#" in line.split("PartitionFilters: ")[1] and "GreaterThanOrEqual(dt" in line for line in scans)
+
+
+def test_page_counts_hot_skus_on_the_summary(spark):
+    nodes = tree(Q["sale_detail_page"](spark, SF_SMALL))
+    for k, (_, line) in enumerate(nodes):
+        if "Aggregate(" in line:
+            assert not any("sale_details" in x or "lineitem" in x for x in below(nodes, k))
+
+
+def test_new_devices_read_one_folder_a_day(spark):
+    p = plan(Q["kpi_total"](spark, SF_SMALL))
+    assert "events.parquet" not in p
+    found = re.findall(r"PartitionFilters: \[([^\]]*)\]", p)
+    assert len(found) == 2 and all("2024-01-15" in f or "19737" in f for f in found), found
+    assert "events.parquet" not in plan(Q["new_devices"](spark, SF_SMALL))
 
 
 @pytest.mark.parametrize("name", ["dau_total", "dau_hour", "dau_hour_compare", "hour_map_json"])
@@ -82,7 +118,7 @@ def test_dashboard_figures_use_hash_aggregates(spark):
         assert "HashAggregate" in p, name
 
 
-@pytest.mark.parametrize("name", ["dau_info", "order_first_flag", "province_sales", "new_devices", "sale_detail_total"])
+@pytest.mark.parametrize("name", ["dau_info", "order_first_flag", "province_sales", "new_devices", "sale_gender_share"])
 def test_first_row_aggregates_combine_before_the_shuffle(spark, name):
     """Under every final aggregate's exchange stands its partial one."""
     nodes = tree(Q[name](spark, SF_SMALL))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daypulse.functions.joins import split_join
 from daypulse.operators.dedup import daily_active_keys, first_id_per_key, last_per_key
 from daypulse.operators.orders import enrich
-from daypulse.operators.sales import wide_detail
+from daypulse.operators.sales import sale_orders, sku_counts, summary, wide_detail
 from tests.test_plans import below, tree
 
 N = 30_000
@@ -100,9 +100,13 @@ def test_wide_detail_moves_detail_rows_by_order_and_by_split_sku(spark, no_broad
     customer = spark.range(N).select(F.col("id").alias("c_custkey"), F.lit("s").alias("c_mktsegment"))
     part = spark.range(N).select(F.col("id").alias("p_partkey"), F.lit(1.0).alias("p_retailprice"),
                                  F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"))
-    wide = wide_detail(lineitem, orders, customer, part)
+    sold = sale_orders(orders, customer)
+    counts = sku_counts(summary(lineitem, sold)).checkpoint()     # a kept table
+    wide = wide_detail(lineitem, sold, part, counts)
     assert wide.count() == N
-    keys = [line.split("]")[0] for _, line in tree(wide_detail(lineitem, orders, customer, part))
+    parts = wide.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < N / 8
+    keys = [line.split("]")[0] for _, line in tree(wide_detail(lineitem, sold, part, counts))
             if line.startswith("SortMergeJoin")]
     assert len(keys) == 3
     assert sum("l_partkey" in k and "_part" in k for k in keys) == 1

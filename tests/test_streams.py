@@ -4,18 +4,21 @@ batches, resume from checkpoint, merges, repairs and the deployable jobs."""
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from daypulse import params
 from daypulse.operators.logs import parse_logs, start_logs
 from daypulse.schemas import RECORD
 from daypulse.session import child_folders, delete_path
-from daypulse.sinks.parts import live_parts, read_parts
+from daypulse.sinks.parts import live_parts, merge_parts, read_parts, write_batch
 from daypulse.sinks.topics import file_topics
 from daypulse.streaming import dau as S
 from daypulse.streaming import jobs
 from daypulse.streaming.first_order import flag_batch, order_table
-from daypulse.streaming.reconcile import late_days, recompute, reconcile, repair
+from daypulse.streaming.hours import hour_table
+from daypulse.streaming.keyed import with_state
+from daypulse.streaming.reconcile import late_days, recompute, reconcile, repair, repair_late
 from daypulse.streaming.runner import rows_dropped_by_watermark, run_until_done
 from tests.conftest import SF_SMALL
 from tests.test_edges import MIDNIGHT, log
@@ -73,76 +76,143 @@ def test_one_wrong_clock_does_not_stop_the_count(spark, scratch):
     assert {m for _, m in keys} == {"a", "b", "c", "d"}
 
 
-def frame(spark, values):
-    rows = [("k", v, "app_log", 0, i, None) for i, v in enumerate(values)]
-    return start_logs(parse_logs(spark.createDataFrame(rows, RECORD)))
+def run_devices(spark, scratch, batches, delay="2 days", at=None, first=0):
+    """The device job, restarted for each batch. Returns table, late table, progress."""
+    landing, table, late, ckpt = (f"{scratch}/{x}" for x in ("landing", "table", "late", "ckpt"))
+    progress = []
+    for i, vals in enumerate(batches, first):
+        land(spark, landing, i, vals, at)
+        records = jobs.source(spark, PARTS, landing=landing)
+        progress += run_until_done(jobs.dau_job(records, table, late, ckpt, delay, interval=None))
+    return table, late, progress
 
 
-def test_table_dedup_replay_is_idempotent(spark, scratch):
-    table = scratch + "/t"
-    sink = S.table_dedup_sink(table)
-    b0 = frame(spark, [day1("a"), log("a", MIDNIGHT - 20_000, START)])
-    b1 = frame(spark, [day1("a"), day1("b"), day2("a")])
-    sink(b0, 0)
-    sink(b1, 1)
-    before = sorted(tuple(r) for r in S.daily_table(spark, table).collect())
-    sink(b1, 1)                      # at-least-once: batch 1 delivered again
-    assert sorted(tuple(r) for r in S.daily_table(spark, table).collect()) == before
-    keys = sorted((r.mid, str(r.dt), r.ts) for r in S.daily_table(spark, table).collect())
-    assert keys == [("a", "2024-01-01", MIDNIGHT - 20_000), ("a", "2024-01-02", MIDNIGHT),
-                    ("b", "2024-01-01", MIDNIGHT - 10_000)]
+def device_keys(spark, table):
+    return sorted((r.mid, str(r.dt), r.ts) for r in S.daily_table(spark, table).collect())
+
+
+def test_device_job_keeps_the_earliest_row_of_the_first_batch(spark, scratch):
+    early = log("a", MIDNIGHT - 20_000, START)
+    table, late, _ = run_devices(spark, scratch, [[day1("a"), early], [day1("a"), day1("b"), day2("a")],
+                                                 [log("b", MIDNIGHT - 30_000, START)]])
+    assert device_keys(spark, table) == [("a", "2024-01-01", MIDNIGHT - 20_000), ("a", "2024-01-02", MIDNIGHT),
+                                         ("b", "2024-01-01", MIDNIGHT - 10_000)]
+    assert read_parts(spark, late, "dt") is None
+
+
+def test_device_sink_delivered_again_writes_the_same(spark, scratch):
+    """A batch that is delivered again brings the state of before it."""
+    from daypulse.operators.dedup import DAU_COLUMNS
+    rows = (start_logs(parse_logs(spark.createDataFrame([("k", v, "t", 0, i, None) for i, v in enumerate(
+        [day1("a"), day1("a"), day1("b"), day2("c")])], RECORD))).select(*DAU_COLUMNS, "partition", "offset"))
+    touched = spark.createDataFrame([(dt.date(2024, 1, 1), "a", 2), (dt.date(2024, 1, 1), "b", 7)],
+                                    "dt date, mid string, n_ever long")
+    batch = with_state(rows, touched)
+    sink = S.device_sink(scratch + "/t", scratch + "/late")
+    for _ in range(2):
+        sink(batch, 5)
+    assert [k[0] for k in device_keys(spark, scratch + "/t")] == ["a"]          # b was known
+    assert [r.mid for r in S.late_rows(spark, scratch + "/late").collect()] == ["c"]   # its day was closed
+
+
+def test_state_of_known_users_is_not_read(spark, scratch):
+    """Ten times the known users: a batch of one new and one known user updates
+    two state rows, reads one file and writes one."""
+    def order(i, user):
+        return {"id": str(i), "user_id": str(user), "create_time": "2020-01-01 10:00:00"}
+
+    per_batch = {}
+    for known in (30, 300):
+        landing, table, ckpt = (f"{scratch}/{known}/{x}" for x in ("l", "t", "c"))
+        land(spark, landing, 0, [change("order_info", *(order(u, u) for u in range(1, known + 1)))])
+        land(spark, landing, 1, [change("order_info", order(10_001, 5), order(10_002, 9_999))])
+        progress = run_until_done(jobs.order_job(jobs.source(spark, PARTS, landing=landing, max_files=1), table, None,
+                                                 ckpt, interval=None))
+        last = [p for p in progress if p["numInputRows"]][-1]
+        per_batch[known] = (last["numInputRows"], last["stateOperators"][0]["numRowsUpdated"])
+        assert last["stateOperators"][0]["numRowsTotal"] == known + 1
+        flags = {r.id: r.if_first_order for r in order_table(spark, table).collect()}
+        assert flags[10_001] == "0" and flags[10_002] == "1" and len(flags) == known + 2
+        assert sorted(child_folders(spark, f"{scratch}/{known}")) == ["c", "l", "t"]     # no state table
+    assert per_batch[30] == per_batch[300] and per_batch[30][1] == 2
 
 
 def test_parts_do_not_grow_with_batches_and_survive_a_crash_in_a_merge(spark, scratch):
     table = scratch + "/t"
-    sink = S.table_dedup_sink(table, merge_every=3)
     day = f"{table}/dt=2024-01-01"
+
+    def batch(k):
+        write_batch(spark.createDataFrame([(dt.date(2024, 1, 1), f"m{k}")], "dt date, mid string"), table, "dt", k)
+        merge_parts(spark, table, "dt", ["2024-01-01"], 3)
+
+    def mids():
+        return sorted(r.mid for r in read_parts(spark, table, "dt").collect())
+
     for k in range(10):
-        sink(frame(spark, [day1(f"m{k}"), day1("m0")]), k)
-        assert len(child_folders(spark, day)) <= 3
-    mids = sorted(r.mid for r in S.daily_table(spark, table).collect())
-    assert mids == sorted(f"m{k}" for k in range(10))
-    # batch 9 again, as after a crash: its rows are in no part twice
-    sink(frame(spark, [day1("m9"), day1("m0")]), 9)
-    assert sorted(r.mid for r in S.daily_table(spark, table).collect()) == mids
+        batch(k)
+        assert len(live_parts(spark, day)) <= 3 and len(child_folders(spark, day)) <= 8
+    whole = sorted(f"m{k}" for k in range(10))
+    assert mids() == whole
+    batch(9)                # again, as after a crash: its rows are in no part twice
+    assert mids() == whole
     # a merge that was written but whose marker is missing does not count
     merged = [p for p in live_parts(spark, day) if p.startswith("part=m-")][0]
     spark.read.parquet(f"{day}/{merged}").write.parquet(f"{day}/part=m-000000000099")
     delete_path(spark, f"{day}/part=m-000000000099/_SUCCESS")
-    assert sorted(r.mid for r in S.daily_table(spark, table).collect()) == mids
+    assert mids() == whole
+
+
+def test_a_frame_built_before_a_merge_can_be_run_after_it(spark, scratch):
+    table = scratch + "/t"
+    for k in range(5):
+        write_batch(spark.createDataFrame([(dt.date(2024, 1, 1), f"m{k}")], "dt date, mid string"), table, "dt", k)
+    frame = read_parts(spark, table, "dt")
+    merge_parts(spark, table, "dt", ["2024-01-01"], 3)
+    assert frame.count() == 5 == read_parts(spark, table, "dt").count()
 
 
 ORDERS = "id long, user_id long, create_time string"
 
 
-def test_first_order_replay_is_idempotent(spark, scratch):
-    state = scratch + "/state"
-    b0 = spark.createDataFrame([(1, 7, "2020-01-01 00:00:00"), (2, 7, "2020-01-02 00:00:00")], ORDERS)
-    b1 = spark.createDataFrame([(3, 7, "2020-02-01 00:00:00"), (4, 8, "2020-02-01 00:00:00")], ORDERS)
-    f0 = {r.id: r.if_first_order for r in flag_batch(spark, b0, 0, state).collect()}
-    f1 = {r.id: r.if_first_order for r in flag_batch(spark, b1, 1, state).collect()}
-    f1_again = {r.id: r.if_first_order for r in flag_batch(spark, b1, 1, state).collect()}
-    assert f0 == {1: "1", 2: "0"} and f1 == {3: "0", 4: "1"} and f1_again == f1
+def flags(spark, orders, users):
+    got = flag_batch(spark.createDataFrame(orders, ORDERS), spark.createDataFrame(users, "user_id long, n_ever long"))
+    return {(r.id, r.user_id): r.if_first_order for r in got.collect()}
+
+
+def test_first_order_flags_of_a_batch(spark):
+    orders = [(1, 7, "2020-01-02 00:00:00"), (2, 7, "2020-01-01 00:00:00"), (3, 8, "2020-02-01 00:00:00"),
+              (4, 9, None), (None, 10, "2020-01-01 00:00:00"), (5, None, "2020-01-01 00:00:00")]
+    # 7 and 9 have all their orders in the batch, 8 has had two before
+    assert flags(spark, orders, [(7, 2), (8, 3), (9, 1)]) == {
+        (1, 7): "0", (2, 7): "1", (3, 8): "0", (4, 9): "1", (None, 10): "0", (5, None): "0"}
 
 
 def test_user_whose_first_order_had_no_time_is_flagged_once(spark, scratch):
-    state = scratch + "/state"
-    b0 = spark.createDataFrame([(1, 7, None), (None, 8, "2020-01-01 00:00:00")], ORDERS)
-    b1 = spark.createDataFrame([(2, 7, "2020-02-01 00:00:00"), (3, 8, "2020-02-01 00:00:00")], ORDERS)
-    f0 = {(r.id, r.user_id): r.if_first_order for r in flag_batch(spark, b0, 0, state).collect()}
-    f1 = {(r.id, r.user_id): r.if_first_order for r in flag_batch(spark, b1, 1, state).collect()}
-    assert f0 == {(1, 7): "1", (None, 8): "0"} and f1 == {(2, 7): "0", (3, 8): "1"}
+    landing, table = scratch + "/l", scratch + "/t"
+    land(spark, landing, 0, [change("order_info", {"id": "1", "user_id": "7"}, {"user_id": "8", "create_time": "2020-01-01"})])
+    land(spark, landing, 1, [change("order_info", *({"id": str(i), "user_id": str(u), "create_time": "2020-02-01 00:00:00"}
+                                                    for i, u in ((2, 7), (3, 8))))])
+    run_until_done(jobs.order_job(jobs.source(spark, PARTS, landing=landing, max_files=1), table, None, scratch + "/c",
+                                  interval=None))
+    got = {(r.id, r.user_id): r.if_first_order for r in order_table(spark, table).collect()}
+    assert got == {(1, 7): "1", (None, 8): "0", (2, 7): "0", (3, 8): "1"}
+
+
+def test_order_job_delivers_a_batch_again_with_the_same_flags(spark, scratch):
+    """The commit of the last batch is lost: it runs again from the state before it."""
+    landing, table, ckpt = scratch + "/l", scratch + "/t", scratch + "/c"
+    for k, (i, u) in enumerate(((1, 7), (2, 7), (3, 8))):
+        land(spark, landing, k, [change("order_info", {"id": str(i), "user_id": str(u), "create_time": "2020-01-01 00:00:00"})])
 
+    def run():
+        run_until_done(jobs.order_job(jobs.source(spark, PARTS, landing=landing, max_files=1), table, None, ckpt,
+                                      interval=None))
+        return {r.id: r.if_first_order for r in order_table(spark, table).collect()}
 
-def test_state_reads_no_more_files_at_batch_50_than_at_batch_5(spark, scratch):
-    state, seen = scratch + "/state", {}
-    for k in range(51):
-        b = spark.createDataFrame([(k, k, "2020-01-01 00:00:00")], ORDERS)
-        assert flag_batch(spark, b, k, state, buckets=1, merge_every=5).first().if_first_order == "1"
-        seen[k] = len(live_parts(spark, f"{state}/bucket=0"))
-    assert max(seen[k] for k in range(41, 51)) <= max(seen[k] for k in range(1, 11)) <= 5
-    assert len(child_folders(spark, f"{state}/bucket=0")) <= 5
-    assert read_parts(spark, state, "bucket").count() == 51
+    before = run()
+    assert before == {1: "1", 2: "0", 3: "1"}
+    delete_path(spark, f"{ckpt}/commits/2")
+    assert run() == before and order_table(spark, table).count() == 3
 
 
 def test_upsert_versions_and_merges(spark, scratch):
@@ -157,17 +227,18 @@ def test_upsert_versions_and_merges(spark, scratch):
 
 
 def test_a_failed_read_is_not_an_empty_table(spark, scratch):
-    import pytest
-    table = scratch + "/t"
-    S.table_dedup_sink(table)(frame(spark, [day1("a")]), 0)
-    day = f"{table}/dt=2024-01-01"
-    part = child_folders(spark, day)[0]
-    for name in os.listdir(f"{day}/{part}"):
+    table, late = scratch + "/table", scratch + "/late"
+    for path in (table, late):
+        write_batch(spark.createDataFrame([("a", "u", "1", "c", "v", dt.date(2024, 1, 1), "23", 5)],
+                                          "mid string, uid string, ar string, ch string, vc string, dt date, hr string, "
+                                          "ts long"), path, "dt", 0)
+    part = child_folders(spark, f"{table}/dt=2024-01-01")[0]
+    for name in os.listdir(f"{table}/dt=2024-01-01/{part}"):
         if name.endswith(".parquet"):
-            with open(f"{day}/{part}/{name}", "wb") as f:
+            with open(f"{table}/dt=2024-01-01/{part}/{name}", "wb") as f:
                 f.write(b"broken")
     with pytest.raises(Exception):
-        S.table_dedup_sink(table)(frame(spark, [day1("a")]), 1)
+        repair_late(spark, table, late).collect()
 
 
 def test_resume_processes_only_new_files(spark, scratch):
@@ -200,15 +271,61 @@ def finish(q):
         q.stop()
 
 
-def test_dau_job_runs_with_processing_time_trigger_and_audits(spark, scratch):
+def test_dau_job_runs_with_processing_time_trigger(spark, scratch):
     landing = scratch + "/l"
     land(spark, landing, 0, [day1("a"), day1("b"), day2("a")])
-    finish(jobs.dau_job(jobs.source(spark, PARTS, landing=landing), scratch + "/t", scratch + "/audit",
-                        scratch + "/c", interval="1 second"))
+    finish(jobs.dau_job(jobs.source(spark, PARTS, landing=landing), scratch + "/t", scratch + "/late",
+                        scratch + "/c", "2 days", interval="1 second"))
     keys = sorted((r.mid, str(r.dt)) for r in S.daily_table(spark, scratch + "/t").collect())
     assert keys == [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01")]
-    audit = spark.read.parquet(scratch + "/audit").collect()
-    assert sum(r.n for r in audit) == 3 and all(r.until_offset > r.from_offset for r in audit)
+
+
+def test_audit_job_and_rewind(spark, scratch):
+    from daypulse.operators.offsets import continuity, rewind
+    landing, audit = scratch + "/l", scratch + "/audit"
+    for k in range(3):
+        land(spark, landing, k, [day1("a"), day1("b")])     # offsets 0-1, 100-101, 200-201
+    run_until_done(jobs.audit_job(jobs.source(spark, PARTS, landing=landing, max_files=1), audit, scratch + "/c",
+                                  interval=None))
+    rows = spark.read.parquet(audit)
+    assert sum(r.n for r in rows.collect()) == 6
+    assert [(r.kind, r.from_offset, r.until_offset) for r in continuity(rows).orderBy("batch_id").collect()] == [
+        ("hole", 2, 100), ("hole", 102, 200)]
+    assert rewind(rows, 1) == {"app_log": {"0": 100}} and rewind(rows, 9) == {"app_log": {"0": 202}}
+
+
+def test_console_preview_takes_every_batch(spark, scratch):
+    landing = scratch + "/l"
+    land(spark, landing, 0, [day1("seen-on-console")])
+    rows = parse_logs(jobs.source(spark, PARTS, landing=landing)).select("mid", "kind")
+    progress = run_until_done(jobs.console_preview(rows, interval=None))
+    assert sum(p["numInputRows"] for p in progress) == 1 and "Console" in progress[0]["sink"]["description"]
+
+
+def test_fan_out_sends_a_redelivered_change_once(spark, scratch):
+    landing, out = scratch + "/l", scratch + "/out"
+    one, two = change("order_info", {"id": "1"}), change("order_info", {"id": "2"}, {"id": "2", "x": "new"})
+    land(spark, landing, 0, [one, one, two])
+    land(spark, landing, 1, [one, two, change("user_info", {"id": "1"})])
+    run_until_done(jobs.fan_out_job(jobs.source(spark, PARTS, landing=landing, max_files=1), file_topics(out),
+                                    scratch + "/c", None, once_within="1 hour"))
+    got = sorted((r.key, r.value) for r in read_parts(spark, out, "topic").collect())
+    assert got == [("order_info:1", '{"id":"1"}'), ("order_info:2", '{"id":"2","x":"new"}'), ("order_info:2", '{"id":"2"}'),
+                   ("user_info:1", '{"id":"1"}')]
+
+
+def test_hour_job_emits_each_closed_day_once(spark, scratch):
+    landing, table = scratch + "/l", scratch + "/t"
+    hour = 3_600_000
+    land(spark, landing, 0, [log("a", MIDNIGHT + 5 * hour, START), log("b", MIDNIGHT + 6 * hour, START)])
+    land(spark, landing, 1, [log("a", MIDNIGHT + 4 * hour, START), log("a", MIDNIGHT + 7 * hour, START),
+                             log("c", MIDNIGHT + 30 * hour, START)])       # out of order, within the delay
+    land(spark, landing, 2, [log("d", MIDNIGHT + 100 * hour, START)])
+    for _ in range(2):      # a restart emits nothing again
+        run_until_done(jobs.hour_job(jobs.source(spark, PARTS, landing=landing, max_files=1), table, scratch + "/c",
+                                     "2 days", interval=None))
+    got = sorted((str(r.dt), r.hr, r.n) for r in hour_table(spark, table).collect())
+    assert got == [("2024-01-02", "04", 1), ("2024-01-02", "06", 1), ("2024-01-03", "06", 1)]
 
 
 def change(table, *rows):
@@ -246,43 +363,49 @@ def test_order_job_flags_and_enriches(spark, scratch):
     order = {"id": "1", "user_id": "7", "province_id": "5", "create_time": "2020-01-01 10:00:00"}
     land(spark, landing, 0, [change("order_info", order, {**order, "id": "2"})])
     land(spark, landing, 1, [change("order_info", {**order, "id": "3"}, {"id": "4", "user_id": "9", "create_time": "?"})])
-    finish(jobs.order_job(jobs.source(spark, PARTS, landing=landing, max_files=1), scratch + "/t", scratch + "/s",
-                          provinces, users, scratch + "/c", "1 second"))
+    asked = []
+    finish(jobs.order_job(jobs.source(spark, PARTS, landing=landing, max_files=1), scratch + "/t",
+                          lambda _: asked.append(1) or (provinces, users), scratch + "/c", "1 second"))
+    assert len(asked) == 2      # the dimensions are asked for in every batch
     got = sorted((r.id, r.if_first_order, r.province_name, r.user_gender, r.create_hour)
                  for r in order_table(spark, scratch + "/t").collect())
     assert got == [(1, "1", "P5", "F", "10"), (2, "0", "P5", "F", "10"), (3, "0", "P5", "F", "10"), (4, "1", None, None, None)]
 
 
-def test_reconcile_then_repair_makes_table_whole(spark):
+def test_late_rows_and_repair_make_the_table_whole(spark):
     from daypulse.operators.dedup import daily_active
-    from daypulse.plans.stream_queries import run_state_dedup, stalled
+    from daypulse.plans.stream_queries import run_dau_job, stalled
     from daypulse.sinks.files import archive_raw
+    from daypulse.sinks.parts import groups
     from daypulse.sources.replay import app_log_records
     recs = stalled(app_log_records(spark, SF_SMALL), params.STALL_PARTITION, params.STALL_FROM,
                    params.STALL_TO, params.STALL_DELAY_MS)
     archive = spark.read.parquet(archive_raw(spark, recs))
-    table, progress = run_state_dedup(spark, recs)
-    days = late_days(archive, params.STREAM_DELAY_MS)
-    assert days == [params.STALL_FROM, params.STALL_TO]      # the others are not recomputed
+    table, late, progress = run_dau_job(spark, recs)
+    assert rows_dropped_by_watermark(progress) > 0
+    days = [params.STALL_FROM, params.STALL_TO]
+    # only days that the engine closed too soon are read: the second came late, too, but was still open
+    assert groups(spark, late, "dt") == [params.STALL_FROM.isoformat()]
+    assert late_days(archive, params.STREAM_DELAY_MS) == days
     batch = recompute(archive, days)
-    keys = S.stream_keys(spark, table)
-    status = {r.status: r.n for r in reconcile(keys.where(F.col("dt").isin(days)), batch.select("dt", "mid"))
+    keys = S.stream_keys(spark, table, days)
+    status = {r.status: r.n for r in reconcile(keys, batch.select("dt", "mid"))
               .groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert status.get("repaired", 0) > 0 and "extra" not in status
-    assert rows_dropped_by_watermark(progress) > 0
+    assert "extra" not in status
     for _ in range(2):
-        repair(table, batch, keys)
+        assert repair_late(spark, table, late).count() == status["repaired"] > 0
     after = S.daily_table(spark, table)
     whole = daily_active(start_logs(parse_logs(archive)))
     assert after.count() == whole.count() == after.select("dt", "mid").distinct().count()
+    repair(table, batch, keys)      # from the archive: the same rows
+    assert S.daily_table(spark, table).count() == whole.count()
 
 
 def test_second_repair_keeps_the_first(spark, scratch):
-    from daypulse.operators.dedup import daily_active
-    table = scratch + "/t"
-    S.table_dedup_sink(table)(frame(spark, [day1("a")]), 0)
-    for seen in ([day1("a"), day1("late1")], [day1("a"), day1("late1"), day1("late2")]):
-        repair(table, daily_active(frame(spark, seen)), S.stream_keys(spark, table))
-    assert sorted(r.mid for r in S.daily_table(spark, table).collect()) == ["a", "late1", "late2"]
-    S.table_dedup_sink(table)(frame(spark, [day1("late1"), day1("b")]), 1)   # repaired keys are known
-    assert sorted(r.mid for r in S.daily_table(spark, table).collect()) == ["a", "b", "late1", "late2"]
+    at = dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc)
+    table, late, _ = run_devices(spark, scratch, [[day1("a")], [log("x", MIDNIGHT + 6 * DAY, START)], [day1("late1")]],
+                                 at=at)
+    assert [r.mid for r in repair_late(spark, table, late).collect()] == ["late1"]
+    run_devices(spark, scratch, [[day1("late1"), day1("late2"), day1("a")]], at=at, first=3)
+    repair_late(spark, table, late)
+    assert [k[0] for k in device_keys(spark, table)] == ["a", "late1", "late2", "x"]
