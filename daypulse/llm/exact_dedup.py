@@ -6,22 +6,26 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.llm.common import SPACE_RE, saved, text_or_empty, whole_row
 
 SLOTS_PER_SHARD = 50_000
+#: A digest with this share of all rows is looked up in as many tasks as PARTS.
+HOT_SHARE, PARTS = 1_600, 64
 GAMMA, LEVELS = 2.0, 40
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def digested(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_points, digest`` of every row; null text counts as empty.
-    The digest is SHA-256 over the text without its white space."""
+    """``doc_id, n_points, digest, place`` of every row; null text counts as empty.
+    The digest is SHA-256 over the text without its white space; ``place`` tells
+    rows apart that are equal in all else, once the frame is saved."""
     bare = F.regexp_replace(text_or_empty(), SPACE_RE, "")
     return docs.select("doc_id", F.length(text_or_empty()).alias("n_points"),
-                       F.unhex(F.sha2(bare, 256)).alias("digest"))
+                       F.unhex(F.sha2(bare, 256)).alias("digest"),
+                       F.monotonically_increasing_id().alias("place"))
 
 
 def _keys(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,96 +110,96 @@ def _shard(n_shards: int):
                   F.lit(n_shards)).cast("int")
 
 
-INDEX_SCHEMA = ("shard int, levels array<binary>, table binary, keep_ids array<bigint>, "
-                "points array<int>, sizes array<bigint>")
+INDEX_SCHEMA = "shard int, levels array<binary>, table binary, winners array<struct<place:bigint,keep_id:bigint,size:bigint>>"
 
 
-def build_index(history: DataFrame, n_shards: int) -> DataFrame:
-    """One row per shard of a history of distinct ``digest, keep_id, n_points,
-    group_size`` rows. Slots hold the full digest, the locator of the winner
-    (its id and length) and the group's size. Digests spread evenly over
-    shards, so a shard holds about SLOTS_PER_SHARD of them."""
+def build_index(history: DataFrame, n_shards: int, hot: DataFrame) -> DataFrame:
+    """One row per shard of a history of distinct ``digest, place, keep_id,
+    group_size`` rows. Slots hold the full digest, the winner's locator (its place
+    and id) and the group's size. Digests spread evenly over shards, so a shard
+    holds about SLOTS_PER_SHARD of them; the few ``hot`` ones form an index of
+    their own, one copy for each of the negative shards."""
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         digests = _matrix(rows["digest"])
         levels, slot = build_slots(digests)
         order = np.argsort(slot)
-        rows = rows.iloc[order]
-        ids = [None if pd.isna(x) else int(x) for x in rows["keep_id"]]
+        held = rows.iloc[order]
+        winners = [{"place": p, "keep_id": None if pd.isna(i) else int(i), "size": n}
+                   for p, i, n in zip(held["place"], held["keep_id"], held["group_size"])]
         return pd.DataFrame({"shard": [key[0]], "levels": [_pack(levels)],
-                             "table": [digests[order].tobytes()], "keep_ids": [ids],
-                             "points": [rows["n_points"].tolist()],
-                             "sizes": [rows["group_size"].tolist()]})
+                             "table": [digests[order].tobytes()], "winners": [winners]})
 
-    return (history.withColumn("shard", _shard(n_shards)).groupBy("shard")
-            .applyInPandas(build, INDEX_SCHEMA))
+    every = F.sequence(F.lit(-PARTS), F.lit(-1))
+    mine = F.array(_shard(n_shards))
+    dealt = history.join(F.broadcast(hot), "digest", "left").withColumn(
+        "shard", F.explode(F.when(F.col("hot"), every).otherwise(mine)))
+    return dealt.drop("hot").groupBy("shard").applyInPandas(build, INDEX_SCHEMA)
 
 
-FOUND_SCHEMA = "digest binary, member boolean, keep_id bigint, n_points int, group_size bigint"
+FOUND_SCHEMA = ("doc_id bigint, n_points int, digest binary, place bigint, member boolean, "
+                "winner bigint, keep_id bigint, group_size bigint")
 
 
-def look_up(index: DataFrame, n_shards: int, distinct: DataFrame) -> DataFrame:
-    """Each distinct ``digest`` with its slot's winner; ``member`` is false and
-    the rest null where no slot holds the digest. Copies were combined before,
-    so no shard is hot."""
+def look_up(index: DataFrame, n_shards: int, rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Each row with what its digest's slot holds: the place and id of the winner
+    and the group's size. ``member`` is false where no slot holds the digest,
+    compared byte by byte; such a row is a group of its own. Rows of a hot digest
+    are dealt to PARTS shards."""
 
     def probe(key: tuple, rows: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return pd.DataFrame({"digest": [], "member": [], "keep_id": [], "n_points": [],
-                                 "group_size": []})
-        digests = _matrix(rows["digest"])
-        none = pd.Series([None] * len(rows), dtype="object")
-        if not len(shard):
-            return pd.DataFrame({"digest": rows["digest"], "member": False, "keep_id": none.values,
-                                 "n_points": none.values, "group_size": none.values})
-        s = shard.iloc[0]
-        table = np.frombuffer(bytes(s["table"]), np.uint8).reshape(-1, 32)
-        at = find_slots(_unpack(s["levels"]), table, digests)
-        pick = lambda values: [values[i] if i >= 0 else None for i in at]
-        whole = lambda v: None if v is None or v != v else int(v)
-        return pd.DataFrame({
-            "digest": rows["digest"].values, "member": at >= 0,
-            "keep_id": pd.Series([whole(x) for x in pick(list(s["keep_ids"]))], dtype="object"),
-            "n_points": pd.Series([whole(x) for x in pick(list(s["points"]))], dtype="object"),
-            "group_size": pd.Series([whole(x) for x in pick(list(s["sizes"]))], dtype="object")})
-
-    return (distinct.select("digest").withColumn("shard", _shard(n_shards)).groupBy("shard")
-            .cogroup(index.groupBy("shard")).applyInPandas(probe, FOUND_SCHEMA))
-
-
-def group_winners(rows: DataFrame) -> DataFrame:
-    """Per digest: the row with the most code points, then the smallest id, and
-    the number of rows. One hash aggregate with map-side combine."""
+        at = np.full(len(rows), -1, np.int64)
+        winners: list = []
+        if len(shard) and len(rows):
+            s = shard.iloc[0]
+            table = np.frombuffer(bytes(s["table"]), np.uint8).reshape(-1, 32)
+            at, winners = find_slots(_unpack(s["levels"]), table, _matrix(rows["digest"])), list(s["winners"])
+        out = rows.drop(columns="shard")
+        own = zip(rows["place"], rows["doc_id"])
+        found = [(winners[k]["place"], winners[k]["keep_id"], winners[k]["size"]) if k >= 0 else (p, i, 1)
+                 for k, (p, i) in zip(at, own)]
+        out["member"] = at >= 0
+        for k, name in enumerate(("winner", "keep_id", "group_size")):
+            values = [f[k] for f in found]
+            out[name] = pd.Series([None if pd.isna(v) else int(v) for v in values], dtype="object", index=out.index)
+        return out
+
+    part = -1 - F.pmod(F.xxhash64("place"), F.lit(PARTS)).cast("int")
+    dealt = rows.join(F.broadcast(hot), "digest", "left").withColumn(
+        "shard", F.when(F.col("hot"), part).otherwise(_shard(n_shards)))
+    dealt = dealt.select("doc_id", "n_points", "digest", "place", "shard")
+    return dealt.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe, FOUND_SCHEMA)
+
+
+def recorded(rows: DataFrame) -> DataFrame:
+    """The history: every distinct digest with the place and id of its winner (most
+    code points, then smallest id, null ids last) and the number of its rows. One
+    aggregate with map-side combine."""
     best = F.min(F.struct((-F.col("n_points")).alias("short"),
-                          F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+                          F.col("doc_id").isNull().alias("no_id"), "doc_id", "place"))
     return rows.groupBy("digest").agg(best.alias("b"), F.count("*").alias("group_size")).select(
-        "digest", F.col("b.doc_id").alias("keep_id"), (-F.col("b.short")).alias("n_points"),
-        "group_size")
+        "digest", F.col("b.place").alias("place"), F.col("b.doc_id").alias("keep_id"), "group_size")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, slots_per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
     """``doc_id, n_points, digest, keep_id, group_size, kept, member`` per row.
 
-    The history is the digests recorded more than once, the only ones that can
-    remove a row. Every distinct digest is looked up in it: members take the
-    slot's winner, nonmembers form groups of their own. Null text is empty
-    text; a null id is larger than any other; of rows equal in id and text one
-    stays; an empty table gives an empty result."""
+    The index holds the digests recorded more than once, the only ones that can
+    remove a row. Every row looks its digest up in it and nothing else decides: a
+    member stays only where the slot names its own place, a nonmember is a group
+    of its own. Null text is empty text; a null id is larger than any other; of
+    rows equal in id and text one stays; an empty table gives an empty result."""
     rows = saved(spark, digested(docs), "exact-rows")
-    ledger = saved(spark, group_winners(rows), "exact-ledger")
-    repeated = ledger.where("group_size > 1")
-    n_shards = max(1, math.ceil(ledger.count() / slots_per_shard))
-    found = saved(spark, look_up(build_index(repeated, n_shards), n_shards, ledger), "exact-found")
-    apart = found.where("not member").select("digest").join(ledger, "digest")
-    groups = found.where("member").select("digest", "keep_id", "n_points", "group_size", "member"
-                                          ).unionByName(apart.withColumn("member", F.lit(False)))
-    groups = groups.withColumnRenamed("n_points", "keep_points")
-    first = F.row_number().over(Window.partitionBy("digest", "doc_id", "n_points")
-                                .orderBy("doc_id")) == 1
-    wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))
-    return (rows.withColumn("first", first).join(groups, "digest")
-            .select("doc_id", "n_points", "digest", "keep_id", "group_size",
-                    (wins & F.col("first")).alias("kept"), "member"))
+    history = saved(spark, recorded(rows).where("group_size > 1"), "exact-history")
+    total, repeated = rows.count(), history.count()
+    # at most HOT_SHARE digests can have that share of the rows
+    hot = saved(spark, history.where(F.col("group_size") * HOT_SHARE >= total)
+                .select("digest", F.lit(True).alias("hot")), "exact-hot")
+    n_shards = max(1, math.ceil(max(repeated / slots_per_shard, total / (8 * slots_per_shard))))
+    index = saved(spark, build_index(history, n_shards, hot), "exact-index")
+    found = look_up(index, n_shards, rows, hot)
+    return found.select("doc_id", "n_points", "digest", "keep_id", "group_size",
+                        (F.col("winner") == F.col("place")).alias("kept"), "member")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -376,3 +376,35 @@ def test_targets_reshare_the_excess(spark):
     assert got["b"].target == 420
     assert mixing.source_rates(frame(spark, [])).collect() == []
     assert mixing.op9_mix_sources(spark, frame(spark, [])).collect() == []
+
+
+def test_exact_dedup_spreads_a_hot_text_and_only_the_index_decides(spark, monkeypatch):
+    # a third of all rows is one text, most of those without an id
+    rows = [(None if k % 3 == 0 and k % 2 else k, "same  text" if k % 3 == 0 else f"text {k % 700}") for k in range(3000)]
+    got = exact_dedup.dedup(spark, frame(spark, rows)).collect()
+    hot = [r for r in got if r.group_size == 1000]
+    assert len(got) == 3000 and len(hot) == 1000 and {r.keep_id for r in hot} == {0}
+    assert sum(r.kept for r in got) == len({bare(t) for _, t in rows})
+    docs = exact_dedup.digested(frame(spark, rows)).checkpoint()
+    history = exact_dedup.recorded(docs).where("group_size > 1")
+    hot = history.where("group_size = 1000").selectExpr("digest", "true AS hot").checkpoint()
+    index = exact_dedup.build_index(history, 3, hot)
+    assert {r.shard for r in index.select("shard").collect()} == {*range(-exact_dedup.PARTS, 0), 0, 1, 2}
+    found = exact_dedup.look_up(index, 3, docs, hot)
+    assert found.where("member").count() == sum(r.group_size > 1 for r in got)
+    nothing = exact_dedup.look_up(index.limit(0), 3, docs, hot)
+    assert nothing.where("winner <> place OR group_size > 1 OR member").count() == 0    # without it nothing is removed
+
+
+def test_rows_without_ids_draw_for_themselves(spark):
+    rows = [(None if k % 3 == 0 else k, f"w{k} " * 5) for k in range(3000)]
+    df = spark.createDataFrame([(i, t, None, "ab"[k % 2], 0) for k, (i, t) in enumerate(rows)], SCHEMA)
+    got = mixing.op9_mix_sources(spark, df).groupBy("source_size", "target").sum("taken").collect()
+    assert got and all(abs(r["sum(taken)"] - r.target) < 0.06 * r.target for r in got)
+
+
+def test_rows_of_one_id_are_packed_in_a_fixed_order(spark):
+    rows = [(7, f"text {k}") for k in range(300)] + [(None, f"none {k}") for k in range(300)]
+    one, two = ([tuple(r) for r in bitpack.op8_bit_packing(spark, frame(spark, rows).repartition(n)).orderBy("start").collect()]
+                for n in (2, 5))
+    assert one == two and len(one) == 600
