@@ -50,24 +50,26 @@ def source_rates(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     return per.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 
 
-def chance(seed: str, doc_id: str) -> Column:
-    """Uniform in [0, 1), a function of the seed and the id alone (52 bits of MD5)."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
+def chance(seed: str, doc_id: str, text: str = "text") -> Column:
+    """Uniform in [0, 1), a function of the seed, the id and the text alone (52
+    bits of MD5), so that rows without an id draw each for themselves."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"),
+                   F.md5(text_or_empty(text)))
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
 
 
 def copies(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``row`` (all columns of ``docs``), ``doc_id, size, source_size, target, copies``.
 
     ``copies`` is floor(rate) plus one Bernoulli copy whose chance is the
-    fraction. Rows that repeat a doc_id share its draw. The rates are written
+    fraction. Rows that repeat a doc_id and its text share a draw. The rates are written
     once, so the planner knows their size: a small table is broadcast by its
     own threshold, a large one is joined by shuffle."""
     rates = saved(spark, source_rates(docs), "mix-rates").select(
         F.col("source").alias("of"), "source_size", "target", "rate")
-    rows = docs.select(whole_row(docs), "doc_id", "source", size_of().alias("size"))
+    rows = docs.select(whole_row(docs), "doc_id", "source", size_of().alias("size"), chance(seed, "doc_id").alias("draw"))
     whole = F.floor("rate")
-    extra = (chance(seed, "doc_id") < F.col("rate") - whole).cast("long")
+    extra = (F.col("draw") < F.col("rate") - whole).cast("long")
     return rows.join(rates, rows["source"].eqNullSafe(rates["of"])).select(
         "row", "doc_id", "size", "source_size", "target", (whole + extra).alias("copies"))
 
@@ -87,7 +89,7 @@ def op9_mix_sources(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 OP9_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS body,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -107,7 +109,7 @@ r AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::
     ELSE 0.0::DOUBLE END AS rate FROM t)
 SELECT d.doc_id, d.size, r.source_size, r.target,
   (d.size * (floor(rate)::BIGINT + CASE WHEN
-     ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+     ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.body), 1, 13))::BIGINT::DOUBLE
      / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
