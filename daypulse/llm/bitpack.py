@@ -67,7 +67,7 @@ def write_ids(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
     """Encodes every text (null: empty), ends each document with ``end_id`` and
     writes blocks in ascending doc_id order (null ids first). A block closes at
     ``block_ids`` ids; a longer document is a block of its own. Rows that repeat
-    a doc_id are written one after the other. An empty table writes no block."""
+    a doc_id are written one after the other, by the hash of their texts. An empty table writes no block."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
@@ -97,9 +97,12 @@ def write_ids(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
         if held:
             yield close()
 
-    # a salted second key lets the ranges split a doc_id that repeats endlessly
-    ordered = (docs.select("doc_id", "text").repartitionByRange(shuffle_tasks(spark), "doc_id")
-                   .sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id()))
+    # the text's hash lets the ranges split a doc_id that repeats endlessly, and
+    # gives its rows an order that a rerun keeps
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
+    ordered = (docs.select("doc_id", "text", body.alias("body"))
+                   .repartitionByRange(shuffle_tasks(spark), "doc_id", "body")
+                   .sortWithinPartitions("doc_id", "body").withColumn("part", F.spark_partition_id()))
     (ordered.select("part", "doc_id", "text").mapInArrow(blocks, FILE_SCHEMA)
             .write.option("compression", "none").parquet(path))
 
