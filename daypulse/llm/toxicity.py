@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,8 @@ from daypulse.llm.common import hashed_sample, saved, text_or_empty, whole_row
 
 #: Bound on the labelled rows the classifier is fitted on (smallest hashes first).
 TRAIN_ROWS = 20_000
-#: A feature needs this many toxic documents, and this share of them.
-MIN_SUPPORT, MIN_SHARE = 4, 0.01
+#: A feature needs this many toxic documents.
+MIN_SUPPORT = 4
 MIN_PRECISION = 0.3
 THRESHOLD = 0.7
 #: One word rejects a text only at this precision; weaker words must add up to it.
@@ -39,11 +40,21 @@ SEPARATORS = " .-_*~'`^/,"
 #: look-alike, a dropped repeat (in a run of two, in a longer run), a separator
 #: that parts words.
 C_ALIKE, C_JOIN, C_MARK, C_LOST, C_TWICE, C_RUN, C_PART = 0.7, 0.5, 3.0, 12.0, 4.0, 0.3, 9.0
-BEAM = 24
+#: A gap inside a word, between neighbouring chunks of a text.
+C_INSIDE = 2.0
+#: Signs of the channel by the letters they may stand for, one letter for each class.
+CLASS = str.maketrans("0123456789@$!|+€£(", "oizeasgtbgasiitelc", "")
+CLASS_OF_LETTER = str.maketrans("lb", "ig")
+#: Letters of other alphabets that look like Latin ones (what NFKD leaves apart).
+FOREIGN = str.maketrans("авекмнорстухіјѕԁһԛԝɡɩαβεικνορτυχꜱıøłđ", "abekmhopctyxijsdhqwgiabeiknoptuxsiold")
 
 WORDS = re.compile(r"[^\W\d_]+")
 EDGES = ".,;:?\"'()[]{}<>&%*#!|-_~/\\`^="
 _SPACED = re.compile(r"(?<![^\W_])[a-z0-9@$!|+](?:[ .\-_*~/]{1,2}[a-z0-9@$!|+](?![^\W_])){3,}")
+_OTHER = re.compile("[^\x00-\x7f]")
+_FOREIGN = re.compile("[" + "".join(map(chr, FOREIGN)) + "]")
+_CHUNK = re.compile(r"[^\W_]+|[@$!|+€£(_]")
+_MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060\ufeff]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _TWICE = re.compile(r"([^\W\d_])\1+")
 
@@ -57,6 +68,15 @@ _KEEP_BYTE = np.ones(256, bool)
 _KEEP_BYTE[128:192] = False  # continuation bytes
 
 
+def fold(text: str) -> str:
+    """The text in lower case with accents taken off and full-width and foreign
+    look-alike letters as Latin ones: edges of the channel without a choice."""
+    if text.isascii():
+        return text.lower()
+    out = _MARKS.sub("", unicodedata.normalize("NFKD", text.lower())).lower()
+    return out.translate(FOREIGN) if _FOREIGN.search(out) else out
+
+
 def symbol(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
 
@@ -149,9 +169,7 @@ class Decoder:
                         state, total = (b, s), cost + extra + row[s]
                     if state not in after or total < after[state][0]:
                         after[state] = (total, text + out)
-            if len(after) > BEAM:
-                after = dict(sorted(after.items(), key=lambda x: x[1][0])[:BEAM])
-            paths = after
+            paths = after       # every state is kept: at most one per pair of symbols
         ends = [(cost + (self.cost[a][b][0] if b else 0.0), text) for (a, b), (cost, text) in paths.items()]
         found = min(ends)[1].strip() if ends else ""
         if len(token) <= MAX_TOKEN:
@@ -161,6 +179,85 @@ class Decoder:
         return found
 
 
+    def read(self, chunks: list[str], joined: bool) -> tuple[float, str]:
+        """Cost and text of the cheapest reading of neighbouring chunks (letters
+        and signs) as one word, or as the words they are written as. Every sign
+        may be any of its letters."""
+        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        for n, chunk in enumerate(chunks):
+            if n and joined:
+                paths = {state: (cost + C_INSIDE, text) for state, (cost, text) in paths.items()}
+            elif n:
+                paths = {(0, 0): min((cost + (self.cost[a][b][0] if b else 0.0), text + " ")
+                                     for (a, b), (cost, text) in paths.items())}
+            for k, c in enumerate(chunk):
+                after: dict[tuple[int, int], tuple[float, str]] = {}
+                choices = [(c, 0.0)] if c.isalpha() else [(x, C_ALIKE) for x in LOOKALIKES.get(c, "")] or [("", C_MARK)]
+                if k and chunk[k - 1] == c:
+                    choices.append(("", self.repeat(chunk, k)))
+                for (a, b), (cost, text) in paths.items():
+                    for out, extra in choices:
+                        s = symbol(out) if out else -1
+                        state, total = ((b, s), cost + extra + self.cost[a][b][s]) if out else ((a, b), cost + extra)
+                        if state not in after or total < after[state][0]:
+                            after[state] = (total, text + out)
+                paths = after
+        return min((cost + (self.cost[a][b][0] if b else 0.0), text) for (a, b), (cost, text) in paths.items())
+
+
+def classed(text: str) -> str:
+    """Letters and signs as the letter of their class."""
+    return text.translate(CLASS).translate(CLASS_OF_LETTER)
+
+
+class Scattered:
+    """Finds words whose letters a text holds in order with gaps between them, or
+    under accents and foreign letters.
+
+    Only a reading that restores a scored word can change a score, so the chunks
+    of the folded text, written together by class of letter, are searched for the
+    words (Aho-Corasick, whatever the gaps are made of). Where one spans whole
+    chunks, both readings of them are decoded, signs open: the word counts if it
+    is cheaper than the chunks as they are written."""
+
+    def __init__(self, words: Iterable[str], decoder: Decoder):
+        import ahocorasick
+
+        self.decoder, self.words = decoder, frozenset(w for w in words if len(w) > 3 and w.isascii())
+        self.search = ahocorasick.Automaton()
+        for w in self.words:
+            self.search.add_word(classed(w), len(w))
+        if self.words:
+            self.search.make_automaton()
+
+    def find(self, text: str) -> list[str]:
+        if not self.words:
+            return []
+        low = fold(text)
+        chunks = _CHUNK.findall(low)
+        line = classed("".join(chunks))
+        if not line.isascii():
+            line = _OTHER.sub("?", line)
+        hits = list(self.search.iter(line))
+        if not hits:
+            return []
+        plain = low == text.lower()
+        starts = np.cumsum([0, *map(len, chunks)])
+        found = []
+        for end, size in hits:
+            first, last = end + 1 - size, end + 1
+            a, b = np.searchsorted(starts, (first, last))
+            if starts[a] != first or starts[b] != last or (plain and b - a == 1):
+                continue    # part of a chunk, or a word that is read as it stands
+            cost, word = self.decoder.read(chunks[a:b], True)
+            if word in self.words and (b - a == 1 or cost < self.decoder.read(chunks[a:b], False)[0]):
+                found.append(word)
+        return found
+
+    def __reduce__(self):
+        return Scattered, (self.words, self.decoder)
+
+
 def disguised(low: str) -> list[str]:
     """Tokens of a lower-case text that may hide a word: letters mixed with
     look-alikes or marks, runs of a letter, and letters spaced apart."""
@@ -177,9 +274,7 @@ def disguised(low: str) -> list[str]:
             if _RUN.search(bare):
                 out.append(bare)
             if w[0] in "$@!|(" or w.rstrip(".,;:?\"'")[-1:] in ("$", "@", "!", "|"):
-                whole = w.strip(".,;:?\"'")
-                if "$$$" not in whole and "!!" not in whole:
-                    out.append(whole)
+                out.append(w.strip(".,;:?\"'"))
             continue
         if len(bare) >= 3 and len(bare) <= MAX_TOKEN and any(map(str.isalpha, bare)):
             out.append(bare)
@@ -303,10 +398,12 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound
     copy another one with their label, so that a text copied a thousand times
     counts once. Each is held against the row that stays for it."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = saved(spark, known.where(~held_out()), "toxic-known")
-    known = hashed_sample(known, ["doc_id"], bound, known.count())
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
-    rows = rows.dropDuplicates(["doc_id", "text"]).withColumn("key", F.xxhash64("doc_id", "text"))
+    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    # the bound holds for rows, not ids; they are chosen before any text moves
+    chosen = texts.select("doc_id", "key").join(known.where(~held_out()), "doc_id").distinct()
+    chosen = saved(spark, chosen, "toxic-known")
+    chosen = hashed_sample(chosen, ["doc_id", "key"], bound, chosen.count())
+    rows = texts.join(F.broadcast(chosen.drop("doc_id")), "key").dropDuplicates(["key"])
     rows = saved(spark, rows, "toxic-train")
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,29 +429,32 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, bound
     return saved(spark, rows.join(copies, "key", "left_anti").drop("key"), "toxic-distinct")
 
 
-def feature_counts(rows: DataFrame, decoder: Decoder, only: frozenset[str] | None) -> DataFrame:
-    """``feature, n`` documents of ``rows`` that hold a feature (of ``only``)."""
+def feature_counts(rows: DataFrame, decoder: Decoder) -> DataFrame:
+    """``feature, hits, n``: toxic rows and all rows that hold a feature."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        hits, total = Counter(), Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 held = features(text, decoder)
-                total.update(held if only is None else held & only)
+                total.update(held)
+                if toxic == 1:
+                    hits.update(held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-            names=["feature", "n"])
+            [pa.array(list(total), pa.string()), pa.array([hits[f] for f in total], pa.int64()),
+             pa.array(list(total.values()), pa.int64())], names=["feature", "hits", "n"])
 
-    return rows.select("text").mapInArrow(scan, "feature string, n bigint").groupBy("feature").agg(
-        F.sum("n").alias("n"))
+    return (rows.select("text", F.col("toxic").cast("int")).mapInArrow(scan, "feature string, hits bigint, n bigint")
+            .groupBy("feature").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")))
 
 
-def lower_bound(hits: int, total: int, z: float = 1.0) -> float:
-    """Wilson lower bound of hits / total."""
-    p = hits / total
-    middle = p + z * z / (2 * total)
-    spread = z * math.sqrt(p * (1 - p) / total + z * z / (4 * total * total))
-    return (middle - spread) / (1 + z * z / total)
+def precise(counts: DataFrame, support: int, precision: float, z: float = 1.0) -> DataFrame:
+    """Features with that many toxic rows whose Wilson lower bound of hits / n
+    reaches the precision, with the bound as ``score``."""
+    n, p = F.col("n"), F.col("hits") / F.col("n")
+    spread = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+    score = (p + z * z / (2 * n) - spread) / (1 + z * z / n)
+    return counts.where(F.col("hits") >= support).withColumn("score", score).where(F.col("score") >= precision)
 
 
 class Model:
@@ -364,6 +464,7 @@ class Model:
         self.decoder, self.scores, self.prior = decoder, scores, prior
         self.words = frozenset(f[1:] for f in scores if f[0] == "=")
         self.squeezed = {squeeze(f[1:]): f[1:] for f, s in scores.items() if f[0] == "=" and s >= THRESHOLD}
+        self.scattered = Scattered((f[1:] for f, s in scores.items() if f[0] == "=" and s >= THRESHOLD), decoder)
         self.begins = {n: frozenset(f for f in scores if f[0] != "=" and len(f) == n) for n in PREFIXES}
 
     def score(self, text: str | None) -> float:
@@ -372,6 +473,7 @@ class Model:
         score stays under the threshold. Without such words: the prior; empty
         texts: half the prior."""
         words, spelled = readings((text or "").lower(), self.decoder, self.squeezed)
+        words.update(self.scattered.find(text or ""))
         if not words:
             return self.prior / 2
         found = [self.scores["=" + w] for w in words & self.words]
@@ -399,11 +501,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_all = size.get(1, 0), sum(size.values())
     prior = min(0.3, (n_toxic + 1) / (n_all + 10))
-    least = max(MIN_SUPPORT, math.ceil(MIN_SHARE * n_toxic))
-    toxic = {r["feature"]: r["n"] for r in feature_counts(rows.where("toxic = 1"), decoder, None)
-             .where(F.col("n") >= least).collect()}
-    other = {r["feature"]: r["n"] for r in feature_counts(
-        rows.where("toxic <> 1"), decoder, frozenset(toxic)).collect()} if toxic else {}
+    kept = precise(feature_counts(rows, decoder), MIN_SUPPORT, MIN_PRECISION).collect()
+    toxic = {r["feature"]: r["hits"] for r in kept}
     # a beginning says more than its longest words or beginnings only if several
     # share it: "mor" adds nothing to "moron", "lost" nothing to "lostra"
     longer: dict[str, float] = {}
@@ -413,8 +512,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
             if f[0] == "=" or k < len(f):
                 longer[begin] = max(weight, longer.get(begin, 0))
     toxic = {f: n for f, n in toxic.items() if f[0] == "=" or n > longer.get(f, 0)}
-    bounds = {f: lower_bound(n, n + other.get(f, 0)) for f, n in toxic.items()}
-    return Model(decoder, {f: s for f, s in bounds.items() if s >= MIN_PRECISION}, prior)
+    return Model(decoder, {r["feature"]: r["score"] for r in kept if r["feature"] in toxic}, prior)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

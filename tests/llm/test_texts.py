@@ -1,6 +1,8 @@
 """Chat formatting, substring dedup, toxicity and the pipeline."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import sys
@@ -184,6 +186,51 @@ def test_repeats_and_marks_still_score(model, text):
     assert model.score(text) >= 0.7
 
 
+@pytest.mark.parametrize("text", [
+    "m   o   r   o   n", "m\to\tr\to\tn", "i\nd\ni\no\nt", "i, d, i, o, t", "mo ro n", "id iot", "ídíót", "í d í ó t",
+    "ｉｄｉｏｔ", "іdіоt", "m 0 r 0 n", "you are a stu pid one", "mo\u200bron", "l - o - s - e - r"])
+def test_scattered_and_foreign_letters_score(model, text):
+    assert model.score(text) >= 0.7
+
+
+@pytest.mark.parametrize("text", ["the and of to in", "an id ea is it", "idiom ot", "so me on e", "los angeles er", "mor tal on"])
+def test_short_words_stay_words(model, text):
+    assert model.score(text) < 0.7
+
+
+@pytest.mark.parametrize("token", ["1d10t", "m-o", "aab", "s*um", "$!ck", "a.b", "l00ser", "x__y", "!!", "(1t", "ß1é"])
+def test_decoding_equals_the_cheapest_of_all_readings(model, token):
+    """Every path of the lattice, enumerated."""
+    dec = model.decoder
+
+    def cost(path):
+        a, b, total, text = 0, 0, 0.0, ""
+        for out, extra in path:
+            total += extra
+            if out == " ":
+                if not b:
+                    return math.inf, ""
+                total += dec.cost[a][b][0]
+                a, b = 0, 0
+            elif out:
+                s = toxicity.symbol(out)
+                total += dec.cost[a][b][s]
+                a, b = b, s
+            text += out
+        return total + (dec.cost[a][b][0] if b else 0.0), text
+
+    paths = [cost(p) for p in itertools.product(*(dec.options(token, k) for k in range(len(token))))]
+    best = min(c for c, _ in paths)
+    assert dec.decode(token) in {t.strip() for c, t in paths if c <= best + 1e-9}
+
+
+def test_the_bound_holds_for_rows_of_one_id(spark):
+    rows = [(7, f"text number {k} of one document " + " ".join(f"w{k}x{j}" for j in range(8))) for k in range(3000)]
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, toxic int")
+    assert zlib.crc32(b"7") % 3 != 1
+    assert toxicity.training_rows(spark, frame(spark, rows), labels, 100).count() == 100
+
+
 @pytest.mark.parametrize("text", ["", None, "the and of", "call 555-0100 or a@b.c", "v1.2.3 x86_64", "12 + 3 = 15",
                                   "x " * 5000, "1" * 9000, "a b c d e f g"])
 def test_clean_texts_pass(model, text):
