@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import SPACE_RE, saved, text_or_empty, whole_row
+from daypulse.llm.common import SPACE_RE, saved, shuffle_tasks, text_or_empty, whole_row
 
 SLOTS_PER_SHARD = 50_000
 #: A digest with this share of all rows is looked up in as many tasks as PARTS.
@@ -117,7 +117,7 @@ def build_index(history: DataFrame, n_shards: int, hot: DataFrame) -> DataFrame:
     """One row per shard of a history of distinct ``digest, place, keep_id,
     group_size`` rows. Slots hold the full digest, the winner's locator (its place
     and id) and the group's size. Digests spread evenly over shards, so a shard
-    holds about SLOTS_PER_SHARD of them; the few ``hot`` ones form an index of
+    holds SLOTS_PER_SHARD of them at most, about; the few ``hot`` ones form an index of
     their own, one copy for each of the negative shards."""
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -195,7 +195,7 @@ def dedup(spark: SparkSession, docs: DataFrame, slots_per_shard: int = SLOTS_PER
     # at most HOT_SHARE digests can have that share of the rows
     hot = saved(spark, history.where(F.col("group_size") * HOT_SHARE >= total)
                 .select("digest", F.lit(True).alias("hot")), "exact-hot")
-    n_shards = max(1, math.ceil(max(repeated / slots_per_shard, total / (8 * slots_per_shard))))
+    n_shards = max(shuffle_tasks(spark), math.ceil(max(repeated / slots_per_shard, total / (8 * slots_per_shard))))
     index = saved(spark, build_index(history, n_shards, hot), "exact-index")
     found = look_up(index, n_shards, rows, hot)
     return found.select("doc_id", "n_points", "digest", "keep_id", "group_size",
