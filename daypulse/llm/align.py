@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.llm.common import saved
-from daypulse.llm.tokens import tokenizer_path
+from daypulse.llm.tokens import ByteEncoder, byte_level, tokenizer_path
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters that are aligned at once; a longer text is aligned alone.
@@ -23,17 +22,6 @@ BLOCK_CHARS = 1 << 17
 #: The sign that stands for a space in B's pieces.
 SPACE_SIGN = "▁"
 
-#: Letters, digits and white space up to here are the same in every version of Unicode.
-_LATIN = re.compile("[\x00-\u024f]*").fullmatch
-
-
-def byte_level() -> dict[str, int]:
-    """Character of a byte-level vocabulary -> byte. Printable bytes stand for
-    themselves, the others follow from 256 on in their order."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
 
 class Tokenizers:
     """Both tokenizers, the bytes of their tokens, and the pairs that can end
@@ -41,16 +29,14 @@ class Tokenizers:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their names in a text are text
+        self.a = ByteEncoder(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_level()
-        added = {i: t.content for i, t in self.a.get_added_tokens_decoder().items()}
-        size = max(max(self.a.get_vocab().values()), *added) + 1
-        self.a_bytes = [b""] * size
-        for token, i in self.a.get_vocab().items():
+        tokens = self.a.tokenizer.get_vocab()
+        added = {i: t.content for i, t in self.a.tokenizer.get_added_tokens_decoder().items()}
+        self.a_bytes = [b""] * (max(tokens.values()) + 1)
+        for token, i in tokens.items():
             self.a_bytes[i] = added[i].encode() if i in added else bytes(of[c] for c in token)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
@@ -59,37 +45,15 @@ class Tokenizers:
                                 else piece.replace(SPACE_SIGN, " ").encode())
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.fast = self.by_rank(of)
         self._pairs = self._texts = None
 
-    def by_rank(self, of: dict[str, int]):
-        """A's vocabulary as ranks, which encode four times as fast, or None.
-
-        Ranks join any two parts whose bytes are a token, the tokenizer only the
-        two of its merge. Where every token is made from its own bytes by the
-        merges, no other two parts can be left to meet, so both give the same
-        ids; that is asked of every token."""
-        import public_tokenizers
-        import tiktoken
-
-        plain = self.a.get_vocab(with_added_tokens=False)
-        if any(len(self.a.model.tokenize(token)) != 1 for token in plain if not set(token) - of.keys()):
-            return None
-        ranks = {bytes(of[c] for c in token): i for token, i in plain.items() if not set(token) - of.keys()}
-        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode_a(self, text: str) -> list[int]:
-        if self.fast and _LATIN(text):
-            return self.fast.encode_ordinary(text)
-        return self.a.encode(text, add_special_tokens=False).ids
-
     def encode(self, text: str | None) -> tuple[bytes, bytes] | None:
         """Ids of A and of B as 32-bit integers, None where the text is empty or
         the bytes of either are not a space and the text."""
         if not text:
             return None
         whole = " " + text
-        a, b, want = self.encode_a(whole), self.b.encode(text, num_threads=1), whole.encode()
+        a, b, want = self.a.encode(whole), self.b.encode(text, num_threads=1), whole.encode()
         if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
             return None
         return array("i", a).tobytes(), array("i", b).tobytes()

@@ -5,15 +5,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from daypulse.llm.common import shuffle_tasks
-from daypulse.llm.tokens import tokenizer_path
+from daypulse.llm.tokens import ByteEncoder, tokenizer_path
 
 #: Lossless (byte-level) vocabulary; the reserved ids follow its last id.
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -37,42 +37,52 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1\2\3", text)
 
 
+class Turn(NamedTuple):
+    """A turn read from its ids: role, text, the text under the loss mask, and the
+    length of the turn as formatted (control strings of the content escaped)."""
+    role: str
+    text: str
+    trained: str
+    shown: int
+
+
 class Template:
     """Encodes and reads turns; ids from ``first`` on are the reserved ones."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
-        self.first = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.encoder = ByteEncoder(path)
+        self.first = self.encoder.vocab_size
         self.id = {name: self.first + k for k, name in enumerate(RESERVED)}
 
-    def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(escape(text), add_special_tokens=False).ids
-
-    def decode(self, ids: np.ndarray) -> str:
-        return unescape(self.tokenizer.decode(ids.tolist(), skip_special_tokens=False))
-
     def turn(self, role: str, text: str) -> tuple[np.ndarray, int, int]:
         """Ids of a turn, spliced from segments that are encoded apart, and the
         span of its text among them."""
-        head, body = self.encode(role), self.encode(text)
+        head, body = self.encoder.encode(escape(role)), self.encoder.encode(escape(text))
         ids = [self.id[BEGIN], *head, self.id[TEXT], *body, self.id[CLOSE], self.id[END]]
         return np.array(ids, np.int32), len(head) + 2, len(head) + 2 + len(body)
 
-    def read(self, ids: np.ndarray) -> tuple[str, str]:
-        """Role and text of a turn's ids. Only reserved ids part them: no text
-        can hold one."""
+    def read(self, ids: np.ndarray, mask: np.ndarray) -> Turn:
+        """A turn from its ids and mask. Only reserved ids part them: no text can
+        hold one. Each segment is decoded once; where the mask covers a whole
+        one, its text is the trained one."""
         at = np.flatnonzero(ids >= self.first)
         if [int(x) - self.first for x in ids[at]] != [0, 1, 2, 3]:
             raise ValueError("not a formatted turn")
-        return self.decode(ids[1:at[1]]), self.decode(ids[at[1] + 1:at[2]])
+        head, body = (self.encoder.decode(ids[s:e].tolist()) for s, e in ((1, at[1]), (at[1] + 1, at[2])))
+        text = unescape(body)
+        under = np.flatnonzero(mask)
+        if len(under) == at[2] - at[1] - 1 and (not len(under) or under[0] == at[1] + 1):
+            trained = text
+        else:
+            trained = unescape(self.encoder.decode(ids[under].tolist()))
+        return Turn(unescape(head), text, trained, sum(map(len, RESERVED)) + len(head) + len(body))
 
     def render(self, ids: np.ndarray) -> str:
         """The formatted text, control strings of the content still escaped."""
         out, at = [], [*np.flatnonzero(ids >= self.first).tolist(), len(ids)]
         for k, nxt in zip(at, at[1:]):
             out.append(RESERVED[int(ids[k]) - self.first])
-            out.append(self.tokenizer.decode(ids[k + 1:nxt].tolist(), skip_special_tokens=False))
+            out.append(self.encoder.decode(ids[k + 1:nxt].tolist()))
         return "".join(out)
 
 
@@ -178,14 +188,12 @@ def read_back(formatted: DataFrame, tokenizer: str) -> DataFrame:
                         done.append(row())
                     begun, last, state = True, conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 ids = ids.values.to_numpy(zero_copy_only=False)
-                role, text = form.read(ids)
-                mask = loss_mask(len(ids), [(start - first, end - first)])
-                trained = form.decode(ids[mask > 0])
+                turn = form.read(ids, loss_mask(len(ids), [(start - first, end - first)]))
                 state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[2] += len(trained)
-                state[3].update(trained.encode())
-                state[4] += len(form.render(ids))
+                state[1].update(f"{turn.role}\n{turn.text}\n".encode())
+                state[2] += len(turn.trained)
+                state[3].update(turn.trained.encode())
+                state[4] += turn.shown
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], schema=schema)
         if begun:

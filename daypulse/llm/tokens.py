@@ -24,6 +24,52 @@ def tokenizer_path(name: str = DEFAULT_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+#: Letters, digits and white space up to here are the same in every version of Unicode.
+_LATIN = re.compile("[\x00-\u024f]*").fullmatch
+
+
+def byte_level() -> dict[str, int]:
+    """Character of a byte-level vocabulary -> byte. Printable bytes stand for
+    themselves, the others follow from 256 on in their order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class ByteEncoder:
+    """``encode`` equals ``Tokenizer.encode(text, add_special_tokens=False).ids``
+    of a byte-level tokenizer whose special tokens are plain text; ``decode``
+    gives the text back.
+
+    The vocabulary taken as ranks encodes four times as fast. Ranks join any two
+    parts whose bytes are a token, the tokenizer only the two of its merge. Where
+    every token is made from its own bytes by the merges, no other two parts can
+    be left to meet, so both give the same ids; that is asked of every token."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        of = byte_level()
+        plain = {t: i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if not set(t) - of.keys()}
+        self.fast = None
+        if all(len(self.tokenizer.model.tokenize(token)) == 1 for token in plain):
+            import public_tokenizers
+            import tiktoken
+
+            ranks = {bytes(of[c] for c in token): i for token, i in plain.items()}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                          special_tokens={})
+
+    def encode(self, text: str) -> list[int]:
+        if self.fast and _LATIN(text):
+            return self.fast.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def decode(self, ids: list[int]) -> str:
+        return self.fast.decode(ids) if self.fast else self.tokenizer.decode(ids, skip_special_tokens=False)
+
+
 class _Known(dict):
     """Piece -> its ids as bytes; a missing piece is encoded and kept."""
 

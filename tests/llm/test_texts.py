@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(E.queries())
     assert {"pipeline"} | set(QUERIES) <= names and set(ORACLE) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
 
 
 def test_an_error_inside_the_subpackage_is_raised(monkeypatch):
@@ -75,15 +75,19 @@ def test_chat_turns(spark):
         held[r.conv_id].append(r)
     for conv, mine in held.items():
         want = [(a or "", t or "") for c, _, a, t in rows if c == conv]
-        assert [form.read(np.array(r.ids)) for r in mine] == want
         ids = [x for r in mine for x in r.ids]
         mask = chat.loss_mask(len(ids), [(r.loss_start, r.loss_end) for r in mine])
         place = 0
         for r, (role, text) in zip(mine, want):
             assert r.first_id == place
-            inside = np.array(ids)[place:place + len(r.ids)][mask[place:place + len(r.ids)] > 0]
-            assert form.decode(inside) == (text if role == "assistant" else "")
-            assert form.render(np.array(r.ids)) == f"<s>{chat.escape(role)}[INST]{chat.escape(text)}[/INST]</s>"
+            mine_ids, mine_mask = np.array(r.ids), mask[place:place + len(r.ids)]
+            shown = f"<s>{chat.escape(role)}[INST]{chat.escape(text)}[/INST]</s>"
+            assert form.render(mine_ids) == shown
+            assert form.read(mine_ids, mine_mask) == (role, text, text if role == "assistant" else "", len(shown))
+            part = mine_mask.copy()
+            part[:3] = 0    # a mask over part of a text gives that part
+            inside = mine_ids[part > 0].tolist()
+            assert form.read(mine_ids, part).trained == chat.unescape(form.encoder.decode(inside))
             place += len(r.ids)
     assert chat.read_back(chat.format_turns(spark, spark.createDataFrame([], TURNS), path), path).collect() == []
 
