@@ -16,6 +16,8 @@ from daypulse.llm.common import saved
 #: Entries become whole multiples of 1 / SCALE.
 SCALE = 256
 COMPONENTS = 4
+#: Vectors whose scatter is brought to a triangle before it is applied.
+BLOCK = 1024
 #: Spectra that one task combines into one.
 FAN_IN = 8
 #: Steps of the secular solver; it doubles its digits with each.
@@ -156,26 +158,35 @@ class Spectrum:
         return cls(0, np.zeros(dims), np.zeros(dims), np.eye(dims))
 
     def add(self, x: np.ndarray) -> None:
-        """One more vector: a rank-one update by its distance from the mean so far."""
-        self.n += 1
-        away = x - self.mean
-        self.values, self.vectors = rank_one(self.values, self.vectors, away, (self.n - 1) / self.n)
-        self.mean = self.mean + away / self.n
+        """More vectors (rows). Centred on their own mean they are applied one by
+        one as rank-one updates, and the distance of the means as a last one. Of
+        more vectors than dimensions the triangle of their QR is applied: its rows
+        have the same scatter and are as few as the dimensions."""
+        m = len(x)
+        if not m:
+            return
+        own = x.mean(axis=0)
+        y = x - own
+        for row in np.linalg.qr(y, mode="r") if m > y.shape[1] else y:
+            self.values, self.vectors = rank_one(self.values, self.vectors, row, 1.0)
+        self.shift(own, m)
+
+    def shift(self, mean: np.ndarray, m: int) -> None:
+        """The part of a scatter of ``m`` more vectors that lies between the means."""
+        away, n = mean - self.mean, self.n + m
+        if self.n:
+            self.values, self.vectors = rank_one(self.values, self.vectors, away, self.n * m / n)
+        self.mean, self.n = self.mean + away * (m / n), n
 
     def merge(self, other: Spectrum) -> None:
         """The other scatter as successive rank-one updates, one per eigenpair and
         one for the distance of the means."""
         if not other.n:
             return
-        away = other.mean - self.mean
-        n = self.n + other.n
         for value, vector in zip(other.values, other.vectors.T):
             if value > 0:
                 self.values, self.vectors = rank_one(self.values, self.vectors, vector, float(value))
-        if self.n:
-            self.values, self.vectors = rank_one(self.values, self.vectors, away, self.n * other.n / n)
-        self.mean = self.mean + away * (other.n / n)
-        self.n = n
+        self.shift(other.mean, other.n)
 
     def record(self, part: int) -> tuple:
         return (part, self.n, self.mean.tolist(), self.values.tolist(), self.vectors.ravel().tolist())
@@ -206,8 +217,9 @@ def partition_spectra(fit: DataFrame, dims: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 part = batch.column("part")[0].as_py()
-            for x in matrix(batch.column("x")).astype(float):
-                spectrum.add(x)
+            x = matrix(batch.column("x")).astype(float)
+            for k in range(0, len(x), BLOCK):
+                spectrum.add(x[k:k + BLOCK])
         if spectrum.n:
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, spectrum.record(part)))], schema=schema)
 

@@ -109,8 +109,10 @@ def test_incremental_spectrum(name):
     centred = x - x.mean(axis=0)
     scatter = centred.T @ centred
     parts = [W.Spectrum.empty(x.shape[1]) for _ in range(3)]
-    for k, row in enumerate(x):
-        parts[k % 3].add(row)
+    for k, row in enumerate(x[:len(x) // 2]):       # one by one, then in blocks
+        parts[k % 3].add(row[None, :])
+    for k, rows in enumerate(np.array_split(x[len(x) // 2:], 5)):
+        parts[k % 3].add(rows)
     whole = W.Spectrum.empty(x.shape[1])
     for part in parts:
         whole.merge(part)
