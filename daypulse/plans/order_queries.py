@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from daypulse import params
 from daypulse.operators import orders as O
 from daypulse.plans.cdc_queries import typed_orders
+from daypulse.plans.derived import derived
 from daypulse.plans.oracle_common import FIRST_CTE, FLAGS_CTE, USER_DIM_SQL
 from daypulse.plans.registry import query
 from daypulse.session import work_path
@@ -17,10 +18,10 @@ FROM = params.ORDER_STATE_CUTOFF.isoformat()
 
 
 def order_table(spark, sf_dir):
-    """The typed orders between the change-feed job and the order job: written
-    once, so that each reader scans only its columns and times."""
-    path = work_path(spark, "typed_orders")
-    typed_orders(spark, sf_dir).write.parquet(path)
+    """The typed orders between the change-feed job and the order job: a kept
+    table, of which each reader scans only its columns and times."""
+    path = derived(spark, sf_dir, "typed_orders", ("orders", "customer", "lineitem"),
+                   lambda p: typed_orders(spark, sf_dir).write.parquet(p))
     return spark.read.parquet(path)
 
 

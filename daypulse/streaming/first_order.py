@@ -43,9 +43,9 @@ def flag_batch(orders: DataFrame, users: DataFrame) -> DataFrame:
     return orders.join(mine, "id", "left").withColumn("if_first_order", F.coalesce("_f", F.lit("0"))).drop("_f")
 
 
-def order_year():
+def order_month():
     """Folder of an order in the order table; orders without a date share one."""
-    return F.coalesce(F.substring("create_date", 1, 4), F.lit("none"))
+    return F.coalesce(F.substring("create_date", 1, 7), F.lit("none"))
 
 
 def order_sink(table: str, dimensions: Dimensions | None = None):
@@ -58,11 +58,11 @@ def order_sink(table: str, dimensions: Dimensions | None = None):
             flagged = flag_batch(orders, touched_keys(batch))
             if dimensions is not None:
                 flagged = enrich(flagged, *dimensions(df.sparkSession), orders)
-            write_batch(flagged.withColumn("year", order_year()), table, "year", batch_id)
+            write_batch(flagged.withColumn("month", order_month()), table, "month", batch_id)
         finally:
             batch.unpersist()
     return sink
 
 
 def order_table(spark: SparkSession, table: str) -> DataFrame:
-    return read_parts(spark, table, "year")
+    return read_parts(spark, table, "month")

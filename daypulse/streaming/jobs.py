@@ -7,16 +7,17 @@ point (S2, S3); the offset ranges of a batch are in the query's progress."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from daypulse import params
 from daypulse.operators import cdc
 from daypulse.operators.cdc import offset_ranges
 from daypulse.operators.logs import parse_logs, quarantine, route_topic, start_logs
-from daypulse.sinks.parts import write_parts
+from daypulse.sinks.parts import groups, merge_parts, write_parts
 from daypulse.sinks.topics import TopicSink
 from daypulse.sources.files import stream_records
 from daypulse.sources.kafka import read_records
@@ -111,6 +112,16 @@ def console_preview(rows: DataFrame, n: int = 1000, interval: str | None = "5 se
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def compact(spark: SparkSession, table: str, by: str, values: Iterable | None = None,
+            every: int = params.MERGE_EVERY) -> None:
+    """Maintenance of tables that batches only append to (orders by month, topics,
+    audit, quarantine), run beside their stream, daily say: each group (of
+    ``values``) with ``every`` parts or more becomes one part. A reader lists few
+    files again; what is merged is deleted by the next run, so frames built before
+    it still run, and a batch that is delivered again changes nothing."""
+    merge_parts(spark, table, by, groups(spark, table, by) if values is None else values, every)
+
+
 def log_split_job(records: DataFrame, sink: TopicSink, quarantine_path: str, checkpoint: str,
                   interval: str | None = "5 seconds") -> StreamingQuery:
     """Collector split: start logs and event logs to their topics, bad lines to

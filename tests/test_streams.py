@@ -171,6 +171,34 @@ def test_a_frame_built_before_a_merge_can_be_run_after_it(spark, scratch):
     assert frame.count() == 5 == read_parts(spark, table, "dt").count()
 
 
+def test_compaction_of_an_appended_table(spark, scratch):
+    table = scratch + "/t"
+    schema = "month string, id long"
+
+    def batch(k):
+        write_batch(spark.createDataFrame([("2024-01", k), ("2024-02", 100 + k)], schema), table, "month", k)
+
+    def ids():
+        return sorted(r.id for r in read_parts(spark, table, "month").collect())
+
+    for k in range(5):
+        batch(k)
+    frame = read_parts(spark, table, "month")
+    jobs.compact(spark, table, "month", ["2024-01"], every=4)
+    assert [p[:7] for p in live_parts(spark, f"{table}/month=2024-01")] == ["part=m-"]
+    assert len(live_parts(spark, f"{table}/month=2024-02")) == 5
+    whole = [*range(5), *range(100, 105)]
+    assert ids() == whole and frame.count() == 10
+    batch(4)                # delivered again after it was merged
+    assert ids() == whole
+    for k in range(5, 9):
+        batch(k)
+    jobs.compact(spark, table, "month", every=4)
+    assert ids() == [*range(9), *range(100, 109)]
+    assert all(len(live_parts(spark, f"{table}/month=2024-0{m}")) == 1 for m in (1, 2))
+    assert "part=b-000000000001" not in child_folders(spark, f"{table}/month=2024-01")
+
+
 ORDERS = "id long, user_id long, create_time string"
 
 
