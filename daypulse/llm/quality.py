@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypulse.llm.common import saved
+
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -122,11 +124,25 @@ def ablation(kept_ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
         F.sum(F.when(F.col("bits") != 0, F.col("n")).otherwise(0)).alias("n_rejected"))
 
 
+def judge(spark: SparkSession, docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """The ledger of ``docs``, written once and read back, with the verdict of a
+    policy: ``kept``, ``reasons`` (the bits of its rules that failed) and
+    ``n_alone`` (where one rule alone rejects the row: how many rows return if
+    the policy drops that rule, from the ablation; else null)."""
+    held = saved(spark, ledger(docs), "quality-ledger")
+    # one row per rule
+    returns = ablation(held, policy).select(
+        F.element_at(F.create_map(*[x for n, bit in BIT.items() for x in (F.lit(n), F.lit(bit))]), F.col("rule")
+                     ).alias("reasons"), F.col("n_only").cast("long").alias("n_alone"))
+    judged = apply_policy(held, policy).withColumn("reasons", F.col("bits").bitwiseAND(F.lit(mask(policy))))
+    return judged.join(F.broadcast(returns), "reasons", "left")
+
+
 def op6_quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    judged = apply_policy(ledger(docs))
     base = F.col("bits").bitwiseAND(F.lit(mask("base"))) != 0
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                         "n_repeat_words", base.alias("base_failed"), "kept")
+    return judge(spark, docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
+        "kept", "reasons", "n_alone")
 
 
 OP6_SQL = r"""
@@ -153,8 +169,12 @@ j AS (
   SELECT m.*, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM m LEFT JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)),
-b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM j)
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT
+    + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_upper > 40 * word_chars)::INT AS INTEGER) AS reasons
+  FROM j)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 40 * word_chars) AS kept
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 40 * word_chars) AS kept, reasons,
+  CASE WHEN reasons IN (1, 2, 4, 8) THEN count(*) OVER (PARTITION BY reasons) END AS n_alone
 FROM b
 """

@@ -193,6 +193,17 @@ def test_quality_ablation_counts_single_reasons(spark):
     assert {r.n_rejected for r in got.values()} == {3}
 
 
+def test_quality_ledger_serves_other_policies(spark):
+    texts = ["a b", "x " * 30, " ".join(f"w{k}" for k in range(20)), " ".join(f"w{k}%" for k in range(20)),
+             " ".join(f"W{k}X" for k in range(20)), "c d", "% %"]
+    df = frame(spark, list(enumerate(texts)))
+    got = {r.doc_id: (r.kept, r.reasons, r.n_alone) for r in quality.judge(spark, df).collect()}
+    assert got == {0: (False, 1, 2), 1: (False, 2, 1), 2: (True, 0, None), 3: (False, 4, 1), 4: (False, 8, 1),
+                   5: (False, 1, 2), 6: (False, 5, None)}
+    v1 = {r.doc_id: (r.kept, r.reasons) for r in quality.judge(spark, df, "v1").collect()}
+    assert v1[4] == (True, 0) and v1[3] == (False, 4)
+
+
 def test_quality_agrees_with_labels(spark, docs):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     both = quality.op6_quality_rules(spark, docs).join(labels, "doc_id").collect()
