@@ -8,6 +8,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ PREFIXES = range(3, 8)
 #: Longer tokens are parted at their marks, and what is still longer is read in
 #: overlapping windows.
 MAX_TOKEN = 64
+#: Tokens whose looks a worker remembers.
+CACHED = 1 << 17
 
 # -- channel (fixed values: what a writer may put for a letter) ----------------
 LOOKALIKES = {
@@ -42,19 +45,20 @@ SEPARATORS = " .-_*~'`^/,"
 C_ALIKE, C_JOIN, C_MARK, C_LOST, C_TWICE, C_RUN, C_PART = 0.7, 0.5, 3.0, 12.0, 4.0, 0.3, 9.0
 #: A gap inside a word, between neighbouring chunks of a text.
 C_INSIDE = 2.0
-#: Signs of the channel by the letters they may stand for, one letter for each class.
-CLASS = str.maketrans("0123456789@$!|+€£(", "oizeasgtbgasiitelc", "")
-CLASS_OF_LETTER = str.maketrans("lb", "ig")
+#: Signs of the channel and letters as the letter of their class (look-alikes of
+#: several letters put those in one class); all other bytes are gaps.
+_CLASSES = {"o": "0o", "i": "1!|il", "z": "2z", "e": "3e", "a": "4@a", "s": "5$s", "g": "689bg", "t": "7+t", "c": "(c"}
+_CLASSES |= {c: c for c in "dfhjkmnpqruvwxy"}
+CLASS = bytes.maketrans("".join(_CLASSES.values()).encode(), "".join(c * len(x) for c, x in _CLASSES.items()).encode())
+GAPS = bytes(set(range(256)) - set("".join(_CLASSES.values()).encode()))
 #: Letters of other alphabets that look like Latin ones (what NFKD leaves apart).
-FOREIGN = str.maketrans("авекмнорстухіјѕԁһԛԝɡɩαβεικνορτυχꜱıøłđ", "abekmhopctyxijsdhqwgiabeiknoptuxsiold")
+FOREIGN = str.maketrans("авекмнорстухіјѕԁһԛԝɡɩαβεικνορτυχꜱıøłđ€£", "abekmhopctyxijsdhqwgiabeiknoptuxsioldel")
 
 WORDS = re.compile(r"[^\W\d_]+")
 EDGES = ".,;:?\"'()[]{}<>&%*#!|-_~/\\`^="
 _SPACED = re.compile(r"(?<![^\W_])[a-z0-9@$!|+](?:[ .\-_*~/]{1,2}[a-z0-9@$!|+](?![^\W_])){3,}")
-_OTHER = re.compile("[^\x00-\x7f]")
 _FOREIGN = re.compile("[" + "".join(map(chr, FOREIGN)) + "]")
-_CHUNK = re.compile(r"[^\W_]+|[@$!|+€£(_]")
-_MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060\ufeff]")
+_CHUNK = re.compile(r"[a-z0-9]+|[@$!|+(]").findall
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _TWICE = re.compile(r"([^\W\d_])\1+")
 
@@ -69,12 +73,16 @@ _KEEP_BYTE[128:192] = False  # continuation bytes
 
 
 def fold(text: str) -> str:
-    """The text in lower case with accents taken off and full-width and foreign
-    look-alike letters as Latin ones: edges of the channel without a choice."""
-    if text.isascii():
-        return text.lower()
-    out = _MARKS.sub("", unicodedata.normalize("NFKD", text.lower())).lower()
-    return out.translate(FOREIGN) if _FOREIGN.search(out) else out
+    """The text in lower case as ASCII: accents taken off, full-width and foreign
+    look-alike letters as Latin ones, other scripts left out. Edges of the channel
+    without a choice."""
+    low = text.lower()
+    if low.isascii():
+        return low
+    low = unicodedata.normalize("NFKD", low)
+    if _FOREIGN.search(low):
+        low = low.translate(FOREIGN)
+    return low.encode("ascii", "ignore").decode().lower()
 
 
 def symbol(c: str) -> int:
@@ -206,8 +214,8 @@ class Decoder:
 
 
 def classed(text: str) -> str:
-    """Letters and signs as the letter of their class."""
-    return text.translate(CLASS).translate(CLASS_OF_LETTER)
+    """The letters and signs of an ASCII text without its gaps, by their classes."""
+    return text.encode().translate(CLASS, GAPS).decode()
 
 
 class Scattered:
@@ -234,14 +242,10 @@ class Scattered:
         if not self.words:
             return []
         low = fold(text)
-        chunks = _CHUNK.findall(low)
-        line = classed("".join(chunks))
-        if not line.isascii():
-            line = _OTHER.sub("?", line)
-        hits = list(self.search.iter(line))
+        hits = list(self.search.iter(classed(low)))
         if not hits:
             return []
-        plain = low == text.lower()
+        chunks, plain = _CHUNK(low), low == text.lower()
         starts = np.cumsum([0, *map(len, chunks)])
         found = []
         for end, size in hits:
@@ -258,31 +262,34 @@ class Scattered:
         return Scattered, (self.words, self.decoder)
 
 
-def disguised(low: str) -> list[str]:
-    """Tokens of a lower-case text that may hide a word: letters mixed with
-    look-alikes or marks, runs of a letter, and letters spaced apart."""
+@lru_cache(CACHED)
+def hidden(w: str) -> tuple[str, ...]:
+    """What of a token without white space may hide a word: letters mixed with
+    look-alikes or marks, and runs of a letter."""
+    if w.isalpha():
+        return (w,) if len(w) > 3 and _RUN.search(w) else ()
+    bare = w.strip(EDGES)
+    if bare.endswith("'s"):
+        bare = bare[:-2]
     out = []
-    for w in set(low.split()):
-        if w.isalpha():
-            if len(w) > 3 and _RUN.search(w):
-                out.append(w)
-            continue
-        bare = w.strip(EDGES)
-        if bare.endswith("'s"):
-            bare = bare[:-2]
-        if bare.isalpha():
-            if _RUN.search(bare):
-                out.append(bare)
-            if w[0] in "$@!|(" or w.rstrip(".,;:?\"'")[-1:] in ("$", "@", "!", "|"):
-                out.append(w.strip(".,;:?\"'"))
-            continue
-        if len(bare) >= 3 and len(bare) <= MAX_TOKEN and any(map(str.isalpha, bare)):
+    if bare.isalpha():
+        if _RUN.search(bare):
             out.append(bare)
-            if w[0] in "$@!|(" or w[-1] in "$@|":
-                out.append(w.strip(".,;:?\"'"))
-        elif len(bare) > MAX_TOKEN:
-            # a chain such as a.b.c or a path: its parts stand for themselves
-            out += [p for p in re.split(r"[^\w@$!|+€£]+", bare) if len(p) >= 3 and not p.isalpha()]
+        if w[0] in "$@!|(" or w.rstrip(".,;:?\"'")[-1:] in ("$", "@", "!", "|"):
+            out.append(w.strip(".,;:?\"'"))
+    elif len(bare) > MAX_TOKEN:
+        # a chain such as a.b.c or a path: its parts stand for themselves
+        out += [p for p in re.split(r"[^\w@$!|+€£]+", bare) if len(p) >= 3 and not p.isalpha()]
+    elif len(bare) >= 3 and any(map(str.isalpha, bare)):
+        out.append(bare)
+        if w[0] in "$@!|(" or w[-1] in "$@|":
+            out.append(w.strip(".,;:?\"'"))
+    return tuple(out)
+
+
+def disguised(low: str) -> list[str]:
+    """Tokens of a lower-case text that may hide a word, and letters spaced apart."""
+    out = [p for w in set(low.split()) for p in hidden(w)]
     out += [m.group() for m in _SPACED.finditer(low)]
     return out
 
@@ -305,6 +312,7 @@ def restore(text: str | None, decoder: Decoder) -> str:
     return low
 
 
+@lru_cache(CACHED)
 def squeeze(word: str) -> str:
     return _TWICE.sub(r"\1", word)
 
@@ -317,7 +325,7 @@ def readings(low: str, decoder: Decoder, squeezed: dict[str, str] | None = None)
     without them; a disguised token stands for a known word of its form."""
     words, spelled = set(WORDS.findall(low)), []
     if squeezed:
-        for w in [w for w in words if _TWICE.search(w) and squeeze(w) in squeezed]:
+        for w in [w for w in words if squeeze(w) in squeezed and squeeze(w) != w]:
             words.add(decoder.decode(w))
     for token in disguised(low):
         for p in pieces(token):
