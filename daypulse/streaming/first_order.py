@@ -58,7 +58,9 @@ def order_sink(table: str, dimensions: Dimensions | None = None):
             flagged = flag_batch(orders, touched_keys(batch))
             if dimensions is not None:
                 flagged = enrich(flagged, *dimensions(df.sparkSession), orders)
-            write_batch(flagged.withColumn("month", order_month()), table, "month", batch_id)
+            # a file per month, unless a month has much
+            by_month = flagged.withColumn("month", order_month()).hint("rebalance", "month")
+            write_batch(by_month, table, "month", batch_id)
         finally:
             batch.unpersist()
     return sink
