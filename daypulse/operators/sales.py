@@ -102,7 +102,8 @@ def summary(lineitem: DataFrame, sale_orders: DataFrame) -> DataFrame:
     """``dt, l_partkey, user_gender, band, n``: detail rows per day, sku, gender and
     age band, with the ``month`` they are kept under. Counts combine before their
     shuffle, so no sku is hot."""
-    o = sale_orders.select(F.col("o_orderkey").alias("l_orderkey"), "dt", "user_gender", age_band(F.col("user_age")).alias("band"))
+    band = age_band(F.col("user_age")).alias("band")
+    o = sale_orders.select(F.col("o_orderkey").alias("l_orderkey"), "dt", "user_gender", band)
     return (lineitem.select("l_orderkey", "l_partkey").join(o, "l_orderkey")
             .groupBy("dt", "l_partkey", "user_gender", "band").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("month", F.trunc("dt", "month")))

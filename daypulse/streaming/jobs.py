@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from daypulse import params
 from daypulse.operators import cdc
 from daypulse.operators.cdc import offset_ranges
-from daypulse.operators.logs import parse_logs, quarantine, route_topic, start_logs
+from daypulse.operators.logs import parse_logs, quarantine, route_topic
 from daypulse.sinks.parts import groups, merge_parts, write_parts
 from daypulse.sinks.topics import TopicSink
 from daypulse.sources.files import stream_records

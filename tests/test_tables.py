@@ -122,7 +122,8 @@ def test_a_month_is_rewritten_and_the_others_stay(spark, scratch):
     path = scratch + "/s"
     schema = "dt date, l_partkey long, user_gender string, band string, n long, month date"
     jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
-    S.write_summary(spark.createDataFrame([(jan, 1, "F", "x", 3, jan.replace(day=1)), (feb, 1, "F", "x", 4, feb.replace(day=1))], schema), path)
+    rows = [(jan, 1, "F", "x", 3, jan.replace(day=1)), (feb, 1, "F", "x", 4, feb.replace(day=1))]
+    S.write_summary(spark.createDataFrame(rows, schema), path)
     S.write_summary(spark.createDataFrame([(feb, 1, "F", "x", 9, feb.replace(day=1))], schema), path)
     table = spark.read.schema(S.SUMMARY_SCHEMA).parquet(path)
     assert {(r.dt, r.n) for r in table.collect()} == {(jan, 3), (feb, 9)}
