@@ -26,10 +26,15 @@ def upsert(spark: SparkSession, changes: DataFrame, path: str, batch_id: int, ke
     """Apply ``changes`` as batch ``batch_id``: per ``key`` the row with the
     highest ``version`` wins, whatever the order of arrival and however often a
     batch is delivered. ``buckets`` bounds the folders of the table; choose it
-    for its size, as a bucket is merged as a whole."""
-    latest = last_per_key(changes, [key], version, carry).withColumn("bucket", bucket_of(key, buckets))
-    write_batch(latest.repartition("bucket"), path, "bucket", batch_id)
-    merge_parts(spark, path, "bucket", range(buckets), merge_every,
+    for its size, as a bucket is merged as a whole. Buckets that the batch does not
+    touch are neither listed nor merged."""
+    latest = last_per_key(changes, [key], version, carry).withColumn("bucket", bucket_of(key, buckets)).persist()
+    try:
+        write_batch(latest.repartition("bucket"), path, "bucket", batch_id)
+        touched = sorted(r.bucket for r in latest.select("bucket").distinct().collect())
+    finally:
+        latest.unpersist()
+    merge_parts(spark, path, "bucket", touched, merge_every,
                 lambda rows: last_per_key(rows, [key], version, [*carry, "batch_id"]))
 
 
