@@ -275,7 +275,9 @@ def hidden(w: str) -> tuple[str, ...]:
     if bare.isalpha():
         if _RUN.search(bare):
             out.append(bare)
-        if w[0] in "$@!|(" or w.rstrip(".,;:?\"'")[-1:] in ("$", "@", "!", "|"):
+        # runs of marks at an edge are punctuation here; the search for scattered
+        # letters reads them as letters
+        if (w[0] in "$@!|(" or w.rstrip(".,;:?\"'")[-1:] in ("$", "@", "!", "|")) and "!!" not in w:
             out.append(w.strip(".,;:?\"'"))
     elif len(bare) > MAX_TOKEN:
         # a chain such as a.b.c or a path: its parts stand for themselves
