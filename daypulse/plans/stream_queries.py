@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daypulse import params
-from daypulse.functions.time import MS_PER_DAY
 from daypulse.plans.cdc_queries import ROUTED_SQL, two_table_records
 from daypulse.plans.oracle_common import DAU_CTE, FIRST_CTE, LOGS_CTE
 from daypulse.plans.order_queries import WIDE_ORDER_SQL, dimensions, wide_columns
@@ -18,7 +17,7 @@ from daypulse.sources.replay import app_log_records, cdc_records
 from daypulse.streaming import dau as dau_stream
 from daypulse.streaming import jobs
 from daypulse.streaming.first_order import order_table
-from daypulse.streaming.hours import hour_table
+from daypulse.streaming.hours import all_hours
 from daypulse.streaming.reconcile import repair_late
 from daypulse.streaming.runner import replay_windows
 
@@ -88,14 +87,13 @@ def stream_device_rows(spark, sf_dir):
 
 @query("stream_hour_counts", f"""
 WITH {DAU_CTE}
-SELECT dt, hr, count(*) AS n FROM dau
-WHERE epoch_ms(CAST(dt AS TIMESTAMP)) + {MS_PER_DAY} <= (SELECT max(ts) FROM logs WHERE kind = 'start') - {params.STREAM_DELAY_MS}
-GROUP BY dt, hr
+SELECT dt, hr, count(*) AS n FROM dau GROUP BY dt, hr
 """)
 def stream_hour_counts(spark, sf_dir):
-    """Active devices per hour of every closed day, emitted by the stream: the
-    first log per device and day and the count per hour are two stateful
-    operators of one query. One collector partition is always a day late."""
+    """Active devices per hour of every day, by the stream: the first log per
+    device and day and the count per hour are two stateful operators of one query.
+    Closed days are emitted, the last ones are read from its state. One collector
+    partition is always a day late."""
     table, ckpt = work_path(spark, "hours"), work_path(spark, "ckpt_hours")
 
     def start(landing):
@@ -103,7 +101,7 @@ def stream_hour_counts(spark, sf_dir):
         return jobs.hour_job(records, table, ckpt, params.STREAM_DELAY, interval=None)
 
     replay_windows(spark, disordered(spark, sf_dir), params.LOG_WINDOW_MS, start)
-    return hour_table(spark, table)
+    return all_hours(spark, table, ckpt)
 
 
 def run_order_job(spark, sf_dir, dims=None):

@@ -3,7 +3,9 @@
 Two stateful operators in one query: the first start log of each device and day,
 then the devices of each day by the hour of that log. In append mode a row comes
 out once, when the watermark has passed the day: only then can no earlier log
-move a device to another hour. Nothing is read back from a table."""
+move a device to another hour. The days that are still open lie in the engine's
+state, from which their hours as of now are counted. Nothing is read back from a
+table."""
 
 from __future__ import annotations
 
@@ -36,3 +38,28 @@ def hour_sink(table: str):
 
 def hour_table(spark: SparkSession, table: str) -> DataFrame:
     return read_parts(spark, table, "dt").select("dt", "hr", "n")
+
+
+def open_hours(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``dt, hr, n`` of the days that the watermark has not closed, as of the last
+    batch: devices whose first log so far is in the state of the first operator,
+    and hours that the second holds."""
+    hours = []
+    for operator in (0, 1):
+        state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+        dt = F.to_date("key.window.start").alias("dt")
+        if "mid" in state.schema["key"].dataType.names:
+            hr = epoch_ms_to_hour(F.col("value.min")).alias("hr")
+            hours.append(state.groupBy(dt, hr).agg(F.count(F.lit(1)).alias("n")))
+        else:
+            hr, n = state.schema["key"].dataType.names[1], state.schema["value"].dataType.names[0]
+            hours.append(state.select(dt, F.col(f"key.{hr}").alias("hr"), F.col(f"value.{n}").alias("n")))
+    return hours[0].unionByName(hours[1])
+
+
+def all_hours(spark: SparkSession, table: str, checkpoint: str) -> DataFrame:
+    """Hours of every day: those that the stream has emitted and those still open."""
+    still = open_hours(spark, checkpoint)
+    if read_parts(spark, table, "dt") is not None:
+        still = still.unionByName(hour_table(spark, table))
+    return still.groupBy("dt", "hr").agg(F.sum("n").alias("n"))

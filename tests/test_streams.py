@@ -16,7 +16,7 @@ from daypulse.sinks.topics import file_topics
 from daypulse.streaming import dau as S
 from daypulse.streaming import jobs
 from daypulse.streaming.first_order import flag_batch, order_table
-from daypulse.streaming.hours import hour_table
+from daypulse.streaming.hours import all_hours, hour_table
 from daypulse.streaming.keyed import with_state
 from daypulse.streaming.reconcile import late_days, recompute, reconcile, repair, repair_late
 from daypulse.streaming.runner import rows_dropped_by_watermark, run_until_done
@@ -356,6 +356,22 @@ def test_hour_job_emits_each_closed_day_once(spark, scratch):
     assert got == [("2024-01-02", "04", 1), ("2024-01-02", "06", 1), ("2024-01-03", "06", 1)]
 
 
+def test_hours_of_open_days_are_in_the_result(spark, scratch):
+    landing, table, ckpt = scratch + "/l", scratch + "/t", scratch + "/c"
+    hour = 3_600_000
+
+    def hours():
+        run_until_done(jobs.hour_job(jobs.source(spark, PARTS, landing=landing, max_files=1), table, ckpt, "2 days",
+                                     interval=None))
+        return sorted((str(r.dt), r.hr, r.n) for r in all_hours(spark, table, ckpt).collect())
+
+    land(spark, landing, 0, [log("a", MIDNIGHT + 5 * hour, START), log("b", MIDNIGHT + 5 * hour, START)])
+    assert hours() == [("2024-01-02", "05", 2)]         # no day is closed yet
+    land(spark, landing, 1, [log("a", MIDNIGHT + 4 * hour, START), log("c", MIDNIGHT + 100 * hour, START),
+                             log("c", MIDNIGHT + 99 * hour, START)])
+    assert hours() == [("2024-01-02", "04", 1), ("2024-01-02", "05", 1), ("2024-01-06", "03", 1)]
+
+
 def change(table, *rows):
     import json
     return json.dumps({"table": table, "type": "INSERT", "data": list(rows)})
