@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from daypulse.operators import cdc
 from daypulse.operators.orders import enrich, first_orders, known_orders
 from daypulse.sinks.parts import read_parts, write_batch
+from daypulse.streaming.conf import batch_settings
 from daypulse.streaming.keyed import EVER, counted, rows_of, touched_keys, with_state
 
 #: Provinces and users as of now; asked for every batch, so that a change in the
@@ -54,13 +55,14 @@ def order_sink(table: str, dimensions: Dimensions | None = None):
     def sink(df: DataFrame, batch_id: int) -> None:
         batch = df.persist()
         try:
-            orders = rows_of(batch)
-            flagged = flag_batch(orders, touched_keys(batch))
-            if dimensions is not None:
-                flagged = enrich(flagged, *dimensions(df.sparkSession), orders)
-            # a file per month, unless a month has much
-            by_month = flagged.withColumn("month", order_month()).hint("rebalance", "month")
-            write_batch(by_month, table, "month", batch_id)
+            with batch_settings(df.sparkSession):
+                orders = rows_of(batch)
+                flagged = flag_batch(orders, touched_keys(batch))
+                if dimensions is not None:
+                    flagged = enrich(flagged, *dimensions(df.sparkSession), orders)
+                # a file per month, unless a month has much
+                by_month = flagged.withColumn("month", order_month()).hint("rebalance", "month")
+                write_batch(by_month, table, "month", batch_id)
         finally:
             batch.unpersist()
     return sink
