@@ -24,6 +24,12 @@ from daypulse.streaming.runner import replay_windows
 STATE = params.STATE_PARTITIONS
 
 
+def state_tasks(spark) -> int:
+    """State partitions of a stream whose state grows with the orders: the cores
+    that are there, so that a state task's share of a window shrinks with them."""
+    return max(STATE, spark.sparkContext.defaultParallelism)
+
+
 def delayed(records, hit, delay_ms: int):
     """Records where ``hit`` holds are delivered ``delay_ms`` late (their arrival
     ``timestamp`` moves)."""
@@ -41,7 +47,7 @@ def run_state_dedup(spark, records):
     table, ckpt = work_path(spark, "dau_table"), work_path(spark, "ckpt_dau")
     progress = replay_windows(
         spark, records, params.LOG_WINDOW_MS,
-        lambda landing: dau_stream.start_state_dedup(spark, landing, table, ckpt, params.STREAM_DELAY, STATE, 1))
+        lambda landing, files: dau_stream.start_state_dedup(spark, landing, table, ckpt, params.STREAM_DELAY, STATE, files))
     return table, progress
 
 
@@ -49,8 +55,8 @@ def run_dau_job(spark, records):
     """The device job over all windows: its table, its late rows, its progress."""
     table, late, ckpt = (work_path(spark, x) for x in ("dau_table", "dau_late", "ckpt_dau"))
 
-    def start(landing):
-        own = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        own = jobs.source(spark, STATE, landing=landing, max_files=files)
         return jobs.dau_job(own, table, late, ckpt, params.STREAM_DELAY, interval=None)
 
     return table, late, replay_windows(spark, records, params.LOG_WINDOW_MS, start)
@@ -96,8 +102,8 @@ def stream_hour_counts(spark, sf_dir):
     partition is always a day late."""
     table, ckpt = work_path(spark, "hours"), work_path(spark, "ckpt_hours")
 
-    def start(landing):
-        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        records = jobs.source(spark, STATE, landing=landing, max_files=files)
         return jobs.hour_job(records, table, ckpt, params.STREAM_DELAY, interval=None)
 
     replay_windows(spark, disordered(spark, sf_dir), params.LOG_WINDOW_MS, start)
@@ -107,8 +113,8 @@ def stream_hour_counts(spark, sf_dir):
 def run_order_job(spark, sf_dir, dims=None):
     table, ckpt = work_path(spark, "orders"), work_path(spark, "ckpt_orders")
 
-    def start(landing):
-        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        records = jobs.source(spark, state_tasks(spark), landing=landing, max_files=files)
         return jobs.order_job(records, table, dims, ckpt, interval=None)
 
     replay_windows(spark, cdc_records(spark, sf_dir, rows_per_message=1), params.ORDER_WINDOW_MS, start)
@@ -138,8 +144,8 @@ def stream_fan_out(spark, sf_dir):
     every row, read back from the topics."""
     out, ckpt = work_path(spark, "topics"), work_path(spark, "ckpt_fan_out")
 
-    def start(landing):
-        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        records = jobs.source(spark, state_tasks(spark), landing=landing, max_files=files)
         return jobs.fan_out_job(records, file_topics(out), ckpt, interval=None)
 
     replay_windows(spark, two_table_records(spark, sf_dir), params.ORDER_WINDOW_MS, start)
@@ -156,8 +162,8 @@ def stream_fan_out_once(spark, sf_dir):
     feed = records.unionByName(delayed(again, later, params.ORDER_WINDOW_MS))
     out, ckpt = work_path(spark, "topics"), work_path(spark, "ckpt_fan_out")
 
-    def start(landing):
-        own = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        own = jobs.source(spark, state_tasks(spark), landing=landing, max_files=files)
         return jobs.fan_out_job(own, file_topics(out), ckpt, interval=None, once_within=params.REDELIVER_WITHIN)
 
     replay_windows(spark, feed, params.ORDER_WINDOW_MS, start)
@@ -184,8 +190,8 @@ def stream_log_split(spark, sf_dir):
     quarantine."""
     out, bad, ckpt = (work_path(spark, x) for x in ("topics", "quarantine", "ckpt_split"))
 
-    def start(landing):
-        records = jobs.source(spark, STATE, landing=landing, max_files=1)
+    def start(landing, files):
+        records = jobs.source(spark, STATE, landing=landing, max_files=files)
         return jobs.log_split_job(records, file_topics(out), bad, ckpt, interval=None)
 
     replay_windows(spark, app_log_records(spark, sf_dir, corrupt=True), params.LOG_WINDOW_MS, start)

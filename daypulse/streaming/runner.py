@@ -1,7 +1,7 @@
 """Replay a record frame into a stream, one arrival window per micro-batch.
 
 All windows are landed first, in order; then the stream starts once with
-``trigger(availableNow=True)`` and takes one landed file per micro-batch."""
+``trigger(availableNow=True)`` and takes the files of one window per micro-batch."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from daypulse.session import work_path
 from daypulse.sources.files import land_windows
 
-StartFn = Callable[[str], StreamingQuery]
+StartFn = Callable[[str, int], StreamingQuery]
 
 
 def run_until_done(q: StreamingQuery) -> list[dict]:
@@ -27,10 +27,9 @@ def run_until_done(q: StreamingQuery) -> list[dict]:
 
 def replay_windows(spark: SparkSession, records: DataFrame, window_ms: int, start: StartFn,
                    landing: str | None = None) -> list[dict]:
-    """``start(landing)`` must read one file per trigger (``max_files=1``)."""
+    """``start(landing, files)`` must read ``files`` per trigger (``max_files``)."""
     landing = landing or work_path(spark, "landing")
-    land_windows(spark, records, landing, window_ms)
-    return run_until_done(start(landing))
+    return run_until_done(start(landing, land_windows(spark, records, landing, window_ms)))
 
 
 def rows_dropped_by_watermark(progress: list[dict]) -> int:

@@ -330,6 +330,37 @@ def test_console_preview_takes_every_batch(spark, scratch):
     assert sum(p["numInputRows"] for p in progress) == 1 and "Console" in progress[0]["sink"]["description"]
 
 
+def test_a_window_lands_in_many_files_and_is_one_batch(spark, scratch):
+    """No task holds a whole window; small windows are filled up, so that each is
+    still one micro-batch."""
+    from daypulse.sources.files import land_windows
+    sent = [("k" * 30, f"v{i}", "app_log", 0, i, at) for at, n in ((1, 3000), (100, 1), (200, 2000)) for i in range(n)]
+    rows = spark.createDataFrame(sent, "key string, value string, topic string, partition int, offset long, at long")
+    records = rows.withColumn("timestamp", F.timestamp_millis("at")).drop("at").repartition(6)
+    landing, audit = scratch + "/l", scratch + "/audit"
+    files = land_windows(spark, records, landing, 50, file_bytes=8_000)
+    assert files > 1
+    for k, n in enumerate((3000, 1, 2000)):
+        landed = spark.read.parquet(f"{landing}/window-{k:012d}")
+        per_file = [r["count"] for r in landed.where("topic IS NOT NULL").groupBy(F.input_file_name()).count().collect()]
+        assert len({*landed.inputFiles()}) == files and sum(per_file) == n and (n == 1 or max(per_file) < n)
+    run_until_done(jobs.audit_job(jobs.source(spark, PARTS, landing=landing, max_files=files), audit, scratch + "/c",
+                                  interval=None))
+    assert [(r.batch_id, r.n) for r in spark.read.parquet(audit).orderBy("batch_id").collect()] == [(0, 3000), (1, 1), (2, 2000)]
+
+
+def test_order_batch_is_joined_in_the_callers_number_of_tasks(spark, scratch):
+    """The state's few partitions bind the state alone, and are as before after
+    the batch."""
+    from daypulse.streaming.conf import batch_settings, stream_session
+    own = stream_session(spark, 2)
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    own.conf.set(keys[1], "false")                      # as the engine has it in a stream
+    with batch_settings(own):
+        assert [own.conf.get(k) for k in keys] == [spark.conf.get(keys[0]), "true"]
+    assert [own.conf.get(k) for k in keys] == ["2", "false"]
+
+
 def test_fan_out_sends_a_redelivered_change_once(spark, scratch):
     landing, out = scratch + "/l", scratch + "/out"
     one, two = change("order_info", {"id": "1"}), change("order_info", {"id": "2"}, {"id": "2", "x": "new"})
