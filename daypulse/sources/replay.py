@@ -154,22 +154,21 @@ def cdc_records(spark: SparkSession, sf_dir: str, *, rows_per_message: int = par
     a real feed has them."""
     rows = order_rows(spark, sf_dir)
     n = rows_per_message
+    row = F.struct(*ORDER_FIELDS)
     if n == 1:
         # one message per row, sent at its create time (time-ordered feed)
         packed = rows.select(F.col("id").cast("long").alias("msg"),
-                             F.array(_row_map()).alias("data"),
+                             F.array(row).alias("data"),
                              F.col("create_time").alias("first_time"))
     else:
         packed = (rows.withColumn("msg", (F.col("id").cast("long") / F.lit(n)).cast("long"))
                   .groupBy("msg")
-                  .agg(F.collect_list(_row_map()).alias("data"),
+                  .agg(F.collect_list(row).alias("data"),
                        F.min(F.col("create_time")).alias("first_time")))
-    body = F.to_json(F.struct(
-        F.lit("order_info").alias("table"),
-        F.lit("INSERT").alias("type"),
-        F.lit(False).alias("isDdl"),
-        F.col("msg").alias("es"),
-        F.col("data").alias("data")))
+    # rows move as values only; their field names, nulls included, are in the text
+    body = F.concat(F.lit('{"table":"order_info","type":"INSERT","isDdl":false,'),
+                    F.coalesce(F.concat(F.lit('"es":'), F.col("msg").cast("string"), F.lit(",")), F.lit("")),
+                    F.lit('"data":'), F.to_json("data", {"ignoreNullFields": "false"}), F.lit("}"))
     msgs = packed.select(
         F.col("msg").cast("string").alias("key"),
         body.alias("value"),
