@@ -21,6 +21,10 @@ WIDE_COLUMNS = ("order_detail_id", "order_id", "user_id", "sku_id", "user_gender
 # (l_orderkey, l_linenumber) repeats in the supplied lineitem; this key is total.
 DETAIL_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
               "l_quantity", "l_extendedprice")
+#: All that wide rows and the summary take from a detail row.
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey")
+#: Parts that a month of the summary is counted and written in, by day and sku.
+SUMMARY_SLICES = 8
 
 
 def sale_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -53,7 +57,7 @@ def wide_detail(lineitem: DataFrame, sale_orders: DataFrame, part: DataFrame, sk
     p = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("sku_price"),
                     F.col("p_name").alias("sku_name"), F.col("p_brand").alias("sku_tm_id"))
     p = p.where(keyword_filter(F.col("sku_name"), keyword))
-    li = lineitem.select(*DETAIL_KEY)
+    li = lineitem.select(*(DETAIL_KEY if keep_key else LINE_KEY))
     j = split_join(li.join(o, li.l_orderkey == o.o_orderkey, "inner"), p, "l_partkey",
                    ["l_orderkey", "l_linenumber"], counts=sku_counts)
     cols = [
@@ -100,19 +104,25 @@ SUMMARY_SCHEMA = "l_partkey long, user_gender string, band string, n long, dt da
 
 def summary(lineitem: DataFrame, sale_orders: DataFrame) -> DataFrame:
     """``dt, l_partkey, user_gender, band, n``: detail rows per day, sku, gender and
-    age band, with the ``month`` they are kept under. Counts combine before their
-    shuffle, so no sku is hot."""
+    age band, with the ``month`` they are kept under. They move once: a slice of a
+    month is counted where it is written. A hot sku's days are dealt to the
+    slices of their months."""
     band = age_band(F.col("user_age")).alias("band")
     o = sale_orders.select(F.col("o_orderkey").alias("l_orderkey"), "dt", "user_gender", band)
+    month = F.coalesce(F.year("dt") * 12 + F.month("dt"), F.lit(0))
+    part = F.pmod(F.xxhash64("dt", "l_partkey"), F.lit(SUMMARY_SLICES)).cast("int")
     return (lineitem.select("l_orderkey", "l_partkey").join(o, "l_orderkey")
-            .groupBy("dt", "l_partkey", "user_gender", "band").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("month", F.trunc("dt", "month")))
+            .select("dt", "l_partkey", "user_gender", "band", (month * SUMMARY_SLICES + part).alias("_slice"))
+            .repartition("_slice")
+            .groupBy("_slice", "dt", "l_partkey", "user_gender", "band").agg(F.count(F.lit(1)).alias("n"))
+            .drop("_slice").withColumn("month", F.trunc("dt", "month")))
 
 
 def write_summary(rows: DataFrame, path: str) -> None:
     """Months of ``rows`` are written whole, the others stay: a day's new orders
-    cost the rows of its month. Inside a month rows lie by day."""
-    (rows.repartition("month").sortWithinPartitions("dt", "l_partkey")
+    cost the rows of its month. Inside a file rows lie by day. ``rows`` do not move:
+    ``summary`` has laid them out by month."""
+    (rows.sortWithinPartitions("month", "dt", "l_partkey")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
 
 

@@ -40,16 +40,23 @@ def orders_by_key(spark, sf_dir):
                     lambda: S.sale_orders(t["orders"], t["customer"]), "o_orderkey")
 
 
+def lines_by_key(spark, sf_dir):
+    """Keys of the order lines, laid out by order."""
+    t = tables(spark, sf_dir)
+    return bucketed(spark, sf_dir, "sale_lines", ("lineitem",), lambda: t["lineitem"].select(*S.LINE_KEY), "l_orderkey")
+
+
 def details_by_key(spark, sf_dir):
-    """Order lines, laid out by order."""
+    """Order lines with the columns that pages are ordered by, laid out by order."""
     t = tables(spark, sf_dir)
     return bucketed(spark, sf_dir, "sale_details", ("lineitem",), lambda: t["lineitem"].select(*S.DETAIL_KEY), "l_orderkey")
 
 
-def summary(spark, sf_dir):
-    """The daily sales summary, kept by month."""
+def summary(spark, sf_dir, lines=lines_by_key):
+    """The daily sales summary, kept by month. Counted on the table that ``lines``
+    gives; both have the same rows."""
     def build(path):
-        S.write_summary(S.summary(details_by_key(spark, sf_dir), orders_by_key(spark, sf_dir)), path)
+        S.write_summary(S.summary(lines(spark, sf_dir), orders_by_key(spark, sf_dir)), path)
 
     path = derived(spark, sf_dir, "sale_summary", ("lineitem", "orders", "customer"), build)
     return spark.read.schema(S.SUMMARY_SCHEMA).parquet(path)
@@ -62,8 +69,9 @@ def asked(spark, sf_dir):
 
 
 def detail(spark, sf_dir, filtered=True, keep_key=False):
-    frames = (details_by_key(spark, sf_dir), orders_by_key(spark, sf_dir), read_table(spark, sf_dir, "part"))
-    kept = summary(spark, sf_dir)
+    lines = details_by_key if keep_key else lines_by_key
+    frames = (lines(spark, sf_dir), orders_by_key(spark, sf_dir), read_table(spark, sf_dir, "part"))
+    kept = summary(spark, sf_dir, lines)
     if not filtered:
         return S.wide_detail(*frames, S.sku_counts(kept), keep_key=keep_key)
     days = (params.SALES_DATE_FROM, params.SALES_DATE_TO)

@@ -131,6 +131,53 @@ def test_a_month_is_rewritten_and_the_others_stay(spark, scratch):
     assert S.read_summary(table, dt.date(2024, 1, 6), feb).count() == 1
 
 
+def sales(spark, n=4_000):
+    ids = spark.range(n)
+    lineitem = ids.selectExpr(
+        "id div 4 AS l_orderkey", "CAST(id % 4 AS INT) AS l_linenumber", "IF(id % 3 = 0, 0, id % 50) AS l_partkey",
+        "id AS l_suppkey", "'d' AS l_shipdate", "1.0D AS l_quantity", "1.0D AS l_extendedprice")
+    orders = ids.where(f"id < {n // 4}").selectExpr(
+        "id AS o_orderkey", "id % 70 AS o_custkey",
+        "IF(id % 9 = 0, NULL, date_add(DATE'2024-01-01', CAST(id % 60 AS INT))) AS o_orderdate")
+    customer = spark.range(70).selectExpr("id AS c_custkey", "'s' AS c_mktsegment")
+    part = spark.range(50).selectExpr("id AS p_partkey", "1.0D AS p_retailprice", "'n' AS p_name", "'b' AS p_brand")
+    return {"lineitem": lineitem, "orders": orders, "customer": customer, "part": part}
+
+
+def test_summary_rows_move_once_and_are_counted_where_they_are_written(spark, scratch):
+    t = sales(spark)
+    sold = S.sale_orders(t["orders"], t["customer"]).checkpoint()
+    rows = S.summary(t["lineitem"], sold)
+    keys = ["dt", "l_partkey", "user_gender"]
+    per = t["lineitem"].join(sold, F.expr("l_orderkey = o_orderkey")).groupBy(*keys).count()
+    got = rows.groupBy(*keys).agg(F.sum("n").alias("count"))
+    assert got.exceptAll(per).count() == per.exceptAll(got).count() == 0
+    assert rows.count() == rows.dropDuplicates(["dt", "l_partkey", "user_gender", "band"]).count()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        S.write_summary(S.summary(t["lineitem"], sold), scratch + "/s")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    table = spark.read.schema(S.SUMMARY_SCHEMA).parquet(scratch + "/s")
+    files = table.select("month", F.input_file_name().alias("f")).groupBy("month").agg(F.countDistinct("f").alias("f"))
+    assert len(files.collect()) == 3 and 1 < files.agg(F.max("f")).first()[0] <= 8
+    assert table.agg(F.sum("n")).first()[0] == per.agg(F.sum("count")).first()[0]
+
+
+def test_wide_rows_lay_out_the_keys_of_the_lines_only(spark, scratch):
+    import pyarrow.dataset as ds
+    from daypulse.plans import sales_queries as Q
+    for name, df in sales(spark).items():
+        df.write.parquet(f"{scratch}/in/{name}.parquet")
+    wide = Q.sale_detail_wide(spark, scratch + "/in")
+    assert wide.count() == 4_000
+    columns = [set(ds.dataset(f.replace("file://", "")).schema.names) for f in wide.inputFiles()]
+    lines = [c for c in columns if "l_orderkey" in c]
+    assert lines and all(c == {"l_orderkey", "l_linenumber", "l_partkey"} for c in lines)
+
+
 def test_kept_tables_are_made_again_when_cleared_or_when_an_input_changes(spark, scratch):
     from daypulse.plans.derived import derived
     from daypulse.session import delete_path
